@@ -9,28 +9,32 @@ from pyspark.sql import functions as F
 
 
 def last_per_key(
-    changes: DataFrame, key: str, one_partition_per_key: bool = True
+    changes: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+    one_partition_per_key: bool = True,
 ) -> DataFrame:
-    """The last change of each key, by log position.
+    """The last change of each key, by log position; all columns, or those named.
 
     One aggregation: each task first reduces its own rows to one per key, so a
-    key with a third of all changes crosses the shuffle as one row per task.
-    Where a key may appear in several log partitions, pass
-    ``one_partition_per_key=False`` to order by record time first.
+    key with a third of all changes crosses the shuffle as one row per task, and
+    only the named columns do.  Where a key may appear in several log
+    partitions, pass ``one_partition_per_key=False`` to order by record time first.
     """
+    wanted = list(columns or changes.columns)
     position = [F.col("partition").cast("int"), F.col("offset").cast("bigint")]
     order = [position[1]] if one_partition_per_key else [F.col("ts").cast("timestamp"), *position]
-    others = [c for c in changes.columns if c != key]
+    image = F.struct(*(F.col(f"`{c}`") for c in wanted if c != key))
     last = changes.groupBy(F.col(f"`{key}`").alias(key)).agg(
-        F.max_by(F.struct(*(F.col(f"`{c}`") for c in others)), F.struct(*order)).alias("_last")
+        F.max_by(image, F.struct(*order) if len(order) > 1 else order[0]).alias("_last")
     )
-    return last.select(*(f"`{c}`" if c == key else f"_last.`{c}`" for c in changes.columns))
+    return last.select(*(f"`{c}`" if c == key else f"_last.`{c}`" for c in wanted))
 
 
-def current_rows(changes: DataFrame, key: str, columns: Sequence[str], **kw: bool) -> DataFrame:
+def current_rows(changes: DataFrame, key: str, columns: Sequence[str], **order: bool) -> DataFrame:
     """The table the changes lead to: keys whose last change is not a delete."""
-    last = last_per_key(changes, key, **kw)
-    return last.where("op <> 'd'").select(*(f"`{c}`" for c in columns))
+    last = last_per_key(changes, key, ["op", *columns], **order)
+    return last.where("op <> 'd'").drop("op")
 
 
 def delete_where(rows: DataFrame, condition: str) -> DataFrame:

@@ -12,6 +12,7 @@ from streamsync.functions.json import fields_once
 
 OPS = ("c", "u", "d")
 META = ("ts", "topic", "partition", "offset")
+SKIPPED = "skipped"
 QUARANTINE = ("value", "topic", "partition", "offset", "reason")
 
 
@@ -43,15 +44,15 @@ def decode(
 ) -> DataFrame:
     """Parse each record once and take the row image its operation calls for.
 
-    Creates and updates give the new image, deletes the old one.  The result has
-    ``op``, the columns, the record metadata as text, ``reason`` and ``value``.
-    ``reason`` is null for a usable row; ``value`` keeps the raw text of the
-    others only.  With ``key`` a row without it is unusable; ``check`` may name a
-    further reason from ``op`` and the columns.  Records without a value
-    (the tombstone that follows a delete) are dropped.
+    Creates and updates give the new image, deletes the old one.  There is one row
+    per record: ``op``, the columns, the record metadata as text, ``reason`` and
+    ``value``.  ``reason`` is null for a usable row; ``value`` keeps the raw text
+    of the others only.  With ``key`` a row without it is unusable; ``check`` may
+    name a further reason from ``op`` and the columns.  A record without a value
+    (the tombstone that follows a delete) is ``skipped``.
     """
     names = clean_names(columns)
-    parsed = log.where(F.col("value").isNotNull()).select(
+    parsed = log.select(
         fields_once(F.col("value"), envelope_schema(names)),
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").cast("string").alias("ts"),
@@ -63,7 +64,8 @@ def decode(
         op.alias("op"),
         *(image.getField(n).alias(n) for n in names),
         *META,
-        F.when(F.col("payload").isNull(), F.lit("unreadable"))
+        F.when(F.col("value").isNull(), F.lit(SKIPPED))
+        .when(F.col("payload").isNull(), F.lit("unreadable"))
         .when(op.isNull() | ~op.isin(list(ops)), F.lit("unsupported op"))
         .alias("reason"),
         "value",
@@ -85,7 +87,7 @@ def accepted(decoded: DataFrame) -> DataFrame:
 
 def quarantined(decoded: DataFrame) -> DataFrame:
     """The unusable records with their raw text and the reason."""
-    return decoded.where("reason is not null").select(*QUARANTINE)
+    return decoded.where(F.col("reason") != SKIPPED).select(*QUARANTINE)
 
 
 def flatten(

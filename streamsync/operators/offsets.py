@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,17 +21,27 @@ def topic_totals(records: DataFrame) -> DataFrame:
     return records.groupBy("topic").agg(F.count("*").alias("n"))
 
 
-def latest_offsets(recorded: DataFrame) -> DataFrame:
-    """The position recorded last for each application, topic and partition."""
-    return recorded.groupBy("app", "topic", "partition").agg(
+def progress(records: DataFrame, **counts: Column) -> DataFrame:
+    """G5, G6 in one pass: records, next offset and further counts per topic and partition."""
+    return records.groupBy(
+        F.col("topic"), F.col("partition").cast("int").alias("partition")
+    ).agg(
+        (F.max(F.col("offset").cast("bigint")) + 1).alias("next_offset"),
+        F.count("*").alias("n"),
+        *(c.alias(name) for name, c in counts.items()),
+    )
+
+
+def latest_offsets(recorded: DataFrame, app: str) -> DataFrame:
+    """The position an application recorded last for each topic and partition."""
+    return recorded.where(F.col("app") == app).groupBy("topic", "partition").agg(
         F.max_by("next_offset", F.struct("recorded_at", "batch_id")).alias("next_offset")
     )
 
 
-def running_totals(metrics: DataFrame) -> DataFrame:
-    """Records per application and topic over all batches; a repeated batch counts once."""
-    once = metrics.groupBy("app", "query_id", "batch_id", "topic").agg(F.max("n").alias("n"))
-    return once.groupBy("app", "topic").agg(F.sum("n").alias("total"))
+def running_totals(recorded: DataFrame) -> DataFrame:
+    """Records per application and topic over all recorded batches."""
+    return recorded.groupBy("app", "topic").agg(F.sum("n").alias("total"))
 
 
 def starting_offsets(positions: DataFrame) -> DataFrame:

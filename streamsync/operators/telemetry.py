@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from streamsync.functions.json import fields_once
 from streamsync.functions.text import last_segment
 from streamsync.functions.times import millis_to_text, now_text
+from streamsync.operators.envelope import SKIPPED
 
 # The signal texts looked for, the record's keys, the output columns.
 SIGNALS = ("event.suprKnkSrv", "gps.", "rolling.")
@@ -35,46 +36,57 @@ def decode(
     zone: str = "Asia/Shanghai",
     deterministic_id: bool = True,
 ) -> DataFrame:
-    """Signal rows plus ``reason`` and the raw text of the unusable ones.
+    """One row per record, with ``reason`` and the raw text of the unusable ones.
 
+    A record that mentions no wanted signal is not parsed but ``skipped``.
     With ``deterministic_id`` the row id is a digest of the record's place in the
     log, so that a repeated batch gives the same ids; otherwise a random UUID.
     """
     schema = StructType([StructField(k, StringType()) for k in KEYS])
-    place = [F.col(c).cast("string") for c in ("topic", "partition", "offset")]
-    raw = log.select(F.col("value").cast("string").alias("raw"), *(c.alias(n) for c, n in zip(place, ("topic", "partition", "offset"))))
-    parsed = raw.where(mentions(F.col("raw"), signals)).select(
-        fields_once(F.col("raw"), schema), "raw", "topic", "partition", "offset"
+    places = ("topic", "partition", "offset")
+    text = F.col("value").cast("string")
+    masked = log.select(
+        F.when(mentions(text, signals), text).alias("raw"),
+        *(F.col(c).cast("string").alias(c) for c in places),
     )
+    parsed = masked.select(fields_once(F.col("raw"), schema), "raw", *places)
     # Thirteen characters of milliseconds: digits, or a sign and twelve digits.
     stamped = F.col("ts").rlike("^([0-9]{13}|[+-][0-9]{12})")
     millis = F.when(stamped, F.substring("ts", 1, 13).try_cast("bigint"))
     row_id = F.sha2(F.concat_ws("|", "topic", "partition", "offset"), 256) if deterministic_id else F.uuid()
-    reason = F.when(F.col("st").isNull(), "no signal").when(
-        ~F.coalesce(stamped, F.lit(False)), "no event time"
+    reason = (
+        F.when(F.col("raw").isNull(), SKIPPED)
+        .when(F.col("st").isNull(), "no signal")
+        .when(~F.coalesce(stamped, F.lit(False)), "no event time")
     )
-    text = F.lit(None).cast("string")
+    unknown = F.lit(None).cast("string")
     return parsed.select(
         row_id.alias("data_id"),
         "vin", "st", F.col("val").alias("value"), "ts", "ct", "oem", "rc",
         last_segment(F.col("st")).alias("sts"),
         millis_to_text(millis, zone).alias("ts_time"),
         now_text().alias("creation_date"),
-        text.alias("province"), text.alias("city"), F.lit("N").alias("knk_flag"),
+        unknown.alias("province"), unknown.alias("city"), F.lit("N").alias("knk_flag"),
         "topic", "partition", "offset",
         reason.alias("reason"),
         F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
     )
 
 
-def ingest(log: DataFrame, **options: object) -> DataFrame:
+def accepted(decoded: DataFrame) -> DataFrame:
     """the usable signal rows, 14 columns."""
-    return decode(log, **options).where("reason is null").select(*COLUMNS)
+    return decoded.where("reason is null").select(*COLUMNS)
+
+
+def ingest(log: DataFrame, signals: Sequence[str] = SIGNALS, **options: object) -> DataFrame:
+    """F2, P11-P16, F4 in one go: raw records to usable signal rows."""
+    wanted = log.where(mentions(F.col("value").cast("string"), signals))
+    return accepted(decode(wanted, signals, **options))
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
     """the unusable records with their raw text and the reason."""
-    return decoded.where("reason is not null").select(
+    return decoded.where(F.col("reason") != SKIPPED).select(
         F.col("raw").alias("value"), "topic", "partition", "offset", "reason"
     )
 

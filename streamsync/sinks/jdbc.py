@@ -19,6 +19,8 @@ from pyspark.sql.types import StructField, StructType
 from streamsync.operators.casting import cast_columns
 from streamsync.operators.changes import last_per_key
 
+STAGING_ATTEMPTS = 3
+
 
 @dataclass(frozen=True)
 class JdbcTarget:
@@ -134,15 +136,13 @@ def read(
 def create_table(
     spark: SparkSession, target: JdbcTarget, schema: StructType, pk: str | None = None
 ) -> bool:
-    """K6: create the table if missing; ``op`` is not stored.  True if it was created.
+    """K6: create the table if missing; true if it was created.
 
     A numeric key becomes a ``BIGINT``, a text key a ``VARCHAR(255)`` primary key.
     """
     if table_exists(spark, target):
         return False
-    fields = [
-        StructField(f.name, f.dataType, f.name != pk) for f in schema.fields if f.name != "op"
-    ]
+    fields = [StructField(f.name, f.dataType, f.name != pk) for f in schema.fields]
     writer = spark.createDataFrame([], StructType(fields)).write
     if pk is not None:
         key_type = next(f.dataType.simpleString() for f in fields if f.name == pk)
@@ -156,8 +156,8 @@ def create_table(
 
 
 def verify_columns(spark: SparkSession, target: JdbcTarget, columns: Sequence[str]) -> None:
-    """K7: the table has exactly these columns in this order (``op`` aside)."""
-    wanted = [c for c in columns if c != "op"]
+    """K7: the table has exactly these columns in this order."""
+    wanted = list(columns)
     actual = read(spark, target).columns
     if len(actual) != len(wanted):
         raise ValueError(f"{target.table}: {len(actual)} table columns, {len(wanted)} row columns")
@@ -179,16 +179,28 @@ def delete_where(spark: SparkSession, target: JdbcTarget, condition: str) -> int
     return run(spark, target, [f"DELETE FROM {table_name(spark, target)} WHERE {condition}"])[0]
 
 
-def stage(rows: DataFrame, target: JdbcTarget) -> JdbcTarget:
-    """Write rows in parallel to a fresh staging table next to the target."""
+def stage(rows: DataFrame, target: JdbcTarget, pk: str) -> JdbcTarget:
+    """Write rows in parallel to a fresh staging table next to the target.
+
+    A task can be run again after it has committed, when its executor is lost
+    before the driver hears of it.  The staging table's primary key then refuses
+    the second copy, and the whole staging write starts afresh.
+    """
     spark = rows.sparkSession
     staging = target.sibling("_staging")
-    drop_table(spark, staging)
-    rows.write.jdbc(
-        staging.url, table_name(spark, staging), mode="errorifexists",
-        properties=staging.properties(),
-    )
-    return staging
+    for attempt in range(1, STAGING_ATTEMPTS + 1):
+        drop_table(spark, staging)
+        create_table(spark, staging, rows.schema, pk)
+        try:
+            rows.write.jdbc(
+                staging.url, table_name(spark, staging), mode="append",
+                properties=staging.properties(),
+            )
+            return staging
+        except Exception:
+            if attempt == STAGING_ATTEMPTS:
+                raise
+    raise AssertionError("unreachable")
 
 
 def upsert(changes: DataFrame, target: JdbcTarget, pk: str) -> None:
@@ -199,25 +211,12 @@ def upsert(changes: DataFrame, target: JdbcTarget, pk: str) -> None:
     """
     spark = changes.sparkSession
     columns = [c for c in changes.columns if c != "op"]
-    flag = "is_delete"
-    while flag in columns:
-        flag += "_"
-    rows = changes.select(
-        *(f"`{c}`" for c in columns), F.when(F.col("op") == "d", 1).otherwise(0).alias(flag)
-    )
-    if dict(rows.dtypes)[pk] == "string":
-        target_rows = rows.write.option("createTableColumnTypes", f"`{pk}` VARCHAR(255)")
-        staging = target.sibling("_staging")
-        drop_table(spark, staging)
-        target_rows.jdbc(
-            staging.url, table_name(spark, staging), mode="errorifexists",
-            properties=staging.properties(),
-        )
-    else:
-        staging = stage(rows, target)
+    flag = _unused("is_delete", columns)
+    gone = F.when(F.col("op") == "d", 1).otherwise(0)
+    staging = stage(changes.select(*(f"`{c}`" for c in columns), gone.alias(flag)), target, pk)
     into, source = table_name(spark, target), table_name(spark, staging)
     key, mark = quoted(spark, target, pk), quoted(spark, target, flag)
-    names = ", ".join(quoted(spark, target, c) for c in columns)
+    names = _names(spark, target, columns)
     run(
         spark,
         target,
@@ -229,6 +228,22 @@ def upsert(changes: DataFrame, target: JdbcTarget, pk: str) -> None:
     drop_table(spark, staging)
 
 
+def _unused(name: str, columns: Sequence[str]) -> str:
+    while name in columns:
+        name += "_"
+    return name
+
+
+def _names(spark: SparkSession, target: JdbcTarget, columns: Sequence[str]) -> str:
+    return ", ".join(quoted(spark, target, c) for c in columns)
+
+
+def _stage_numbered(rows: DataFrame, target: JdbcTarget) -> JdbcTarget:
+    """Stage rows that have no key under a unique row number."""
+    number = _unused("row_no", rows.columns)
+    return stage(rows.withColumn(number, F.monotonically_increasing_id()), target, number)
+
+
 def sync(
     changes: DataFrame, target: JdbcTarget, pk: str, types: Mapping[str, str], **order: bool
 ) -> None:
@@ -237,10 +252,10 @@ def sync(
     ``changes`` are flat text rows of one batch, with their log position.
     """
     spark = changes.sparkSession
-    last = last_per_key(changes, pk, **order)
-    typed = cast_columns(last.select("op", *(f"`{c}`" for c in types)), types)
-    create_table(spark, target, typed.schema, pk)
-    verify_columns(spark, target, typed.columns)
+    typed = cast_columns(last_per_key(changes, pk, ["op", *types], **order), types)
+    stored = typed.drop("op")
+    create_table(spark, target, stored.schema, pk)
+    verify_columns(spark, target, stored.columns)
     upsert(typed, target, pk)
 
 
@@ -251,31 +266,33 @@ def append_batch(rows: DataFrame, target: JdbcTarget, app: str, batch_id: int) -
     """
     spark = rows.sparkSession
     ledger = target.sibling("_batches")
+    ledger_name = table_name(spark, ledger)
     if not table_exists(spark, ledger):
         run(
             spark,
             ledger,
             [
-                f"CREATE TABLE {table_name(spark, ledger)} (app VARCHAR(200) NOT NULL, "
+                f"CREATE TABLE {ledger_name} (app VARCHAR(200) NOT NULL, "
                 "batch_id BIGINT NOT NULL, PRIMARY KEY (app, batch_id))"
             ],
         )
-    if _known(spark, ledger, app, batch_id):
-        return False
+    known = f"SELECT 1 FROM {ledger_name} WHERE app = ? AND batch_id = ?"
+    connection = connect(spark, ledger)
+    try:
+        query = _prepared(connection, known, app, batch_id)
+        if query.executeQuery().next():
+            return False
+    finally:
+        connection.close()
     create_table(spark, target, rows.schema)
-    staging = stage(rows, target)
-    names = ", ".join(quoted(spark, target, c) for c in rows.columns)
+    staging = _stage_numbered(rows, target)
+    names = _names(spark, target, rows.columns)
     connection = connect(spark, target)
     try:
         connection.setAutoCommit(False)
         try:
-            mark = connection.prepareStatement(
-                f"INSERT INTO {table_name(spark, ledger)} (app, batch_id) VALUES (?, ?)"
-            )
-            mark.setString(1, app)
-            mark.setObject(2, int(batch_id))
-            mark.executeUpdate()
-            mark.close()
+            mark = f"INSERT INTO {ledger_name} (app, batch_id) VALUES (?, ?)"
+            _prepared(connection, mark, app, batch_id).executeUpdate()
             _execute(
                 connection,
                 f"INSERT INTO {table_name(spark, target)} ({names}) "
@@ -291,27 +308,19 @@ def append_batch(rows: DataFrame, target: JdbcTarget, app: str, batch_id: int) -
     return True
 
 
-def _known(spark: SparkSession, ledger: JdbcTarget, app: str, batch_id: int) -> bool:
-    connection = connect(spark, ledger)
-    try:
-        query = connection.prepareStatement(
-            f"SELECT 1 FROM {table_name(spark, ledger)} WHERE app = ? AND batch_id = ?"
-        )
-        query.setString(1, app)
-        query.setObject(2, int(batch_id))
-        found = query.executeQuery().next()
-        query.close()
-        return found
-    finally:
-        connection.close()
+def _prepared(connection: JavaObject, sql: str, app: str, batch_id: int) -> JavaObject:
+    statement = connection.prepareStatement(sql)
+    statement.setString(1, app)
+    statement.setObject(2, int(batch_id))
+    return statement
 
 
 def overwrite(rows: DataFrame, target: JdbcTarget) -> None:
     """K9 in complete mode: replace all rows in one transaction."""
     spark = rows.sparkSession
     create_table(spark, target, rows.schema)
-    staging = stage(rows, target)
-    names = ", ".join(quoted(spark, target, c) for c in rows.columns)
+    staging = _stage_numbered(rows, target)
+    names = _names(spark, target, rows.columns)
     into = table_name(spark, target)
     run(
         spark,

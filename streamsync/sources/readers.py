@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # The record log's columns, as a Kafka source gives them.
-LOG_SCHEMA = StructType.fromDDL(
-    "value string, topic string, partition int, offset bigint, timestamp timestamp"
-)
+LOG_SCHEMA = "value string, topic string, partition int, offset bigint, timestamp timestamp"
 
 
 def kafka_options(
