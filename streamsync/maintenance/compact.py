@@ -49,6 +49,7 @@ def compact(
     target_mib: int = 256,
     partition_by: Sequence[str] = (),
     stream_stopped: bool = False,
+    nested: bool = False,
 ) -> int:
     """M1, M4: compact a Parquet folder in place; gives the number of files written to.
 
@@ -57,8 +58,9 @@ def compact(
     partitioned by columns is rebalanced by them instead, which splits a large
     partition over several files.  The new folder replaces the old one by two
     renames, after the row counts agree and nothing else has changed the folder;
-    running it again gives the same rows.  A folder a file stream writes to
-    is refused unless the caller says the stream has ended.
+    a folder that has no more files than wanted is left as it is.  A folder a file stream writes to
+    is refused unless the caller says the stream has ended.  ``nested`` takes the
+    files of all folders below and ignores the folders' names.
     """
     _recover(spark, path)
     fs, place = file_system(spark, path)
@@ -67,9 +69,13 @@ def compact(
         raise RuntimeError(f"{path} belongs to a file stream; stop it and pass stream_stopped=True")
     before = _state(spark, path)
     files = partition_count(spark, path, target_mib)
+    marker = fs.exists(jvm_path(f"{path}/_SUCCESS"))
+    if not partition_by and not nested and before[0] - marker <= files:
+        return files
     run = uuid.uuid4().hex
     fresh, old = f"{path}_compact_{run}", f"{path}_old_{run}"
-    rows = spark.read.parquet(path)
+    reader = spark.read.option("recursiveFileLookup", True) if nested else spark.read
+    rows = reader.parquet(path)
     if partition_by:
         packed = rows.hint("rebalance", *partition_by)
         packed.write.partitionBy(*partition_by).option("compression", "snappy").parquet(fresh)

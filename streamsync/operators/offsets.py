@@ -40,8 +40,11 @@ def latest_offsets(recorded: DataFrame, app: str) -> DataFrame:
 
 
 def running_totals(recorded: DataFrame) -> DataFrame:
-    """Records per application and topic over all recorded batches."""
-    return recorded.groupBy("app", "topic").agg(F.sum("n").alias("total"))
+    """Records per application and topic over all recorded batches, a repeated one once."""
+    once = recorded.groupBy("app", "query_id", "batch_id", "topic", "partition").agg(
+        F.max("n").alias("n")
+    )
+    return once.groupBy("app", "topic").agg(F.sum("n").alias("total"))
 
 
 def starting_offsets(positions: DataFrame) -> DataFrame:

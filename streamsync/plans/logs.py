@@ -13,6 +13,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread a small table over all cores before work that is heavy per row.
+
+    Only a scan with fewer tasks than the session has cores is shuffled, so at
+    most one scan task's data per core; a larger scan is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def stamp(offset: Column) -> Column:
     """A record time: one second per offset."""
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
@@ -64,7 +74,7 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nation": F.col("c_nationkey"),
         "segment": F.col("c_mktsegment"),
     }
-    return change_log(table(spark, sf_dir, "customer"), "c_custkey", columns, "nation", "customer")
+    return change_log(spread(table(spark, sf_dir, "customer")), "c_custkey", columns, "nation", "customer")
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +86,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cents": F.round(F.col("o_totalprice") * 100).cast("bigint"),
         "day": F.timestamp_diff("MILLISECOND", epoch, F.col("o_orderdate")),
     }
-    return change_log(table(spark, sf_dir, "orders"), "o_orderkey", columns, "cents", "orders")
+    return change_log(spread(table(spark, sf_dir, "orders")), "o_orderkey", columns, "cents", "orders")
 
 
 # DuckDB texts of the same logs: one row per event, with its columns.

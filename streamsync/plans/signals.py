@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamsync.functions.times import utc_to_millis
 from streamsync.operators import telemetry
-from streamsync.plans.logs import table
+from streamsync.plans.logs import spread, table
 
 # Columns that neither the clock nor a random number decides.
 FIXED = [c for c in telemetry.COLUMNS if c != "creation_date"]
@@ -19,7 +19,7 @@ def signal_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every 13th record has no usable time, every 17th no signal name, every 19th
     is cut off; a fifth of the event types gives signals nobody asked for.
     """
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     i = F.col("event_id")
     millis = utc_to_millis(F.col("ts"))
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "ts")

@@ -207,12 +207,13 @@ def upsert(changes: DataFrame, target: JdbcTarget, pk: str) -> None:
     """K5: apply typed ``op`` + columns, at most one row per key, in one transaction.
 
     Keys are deleted, then all but the deletes are inserted, so applying the same
-    batch again changes nothing.
+    batch again changes nothing.  Rows without an ``op`` column are all inserted.
     """
     spark = changes.sparkSession
     columns = [c for c in changes.columns if c != "op"]
     flag = _unused("is_delete", columns)
-    gone = F.when(F.col("op") == "d", 1).otherwise(0)
+    deleted = F.col("op") == "d" if "op" in changes.columns else F.lit(False)
+    gone = F.when(deleted, 1).otherwise(0)
     staging = stage(changes.select(*(f"`{c}`" for c in columns), gone.alias(flag)), target, pk)
     into, source = table_name(spark, target), table_name(spark, staging)
     key, mark = quoted(spark, target, pk), quoted(spark, target, flag)

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamsync.maintenance.compact import compact
 from streamsync.operators.envelope import SKIPPED
 from streamsync.operators.offsets import latest_offsets, progress
+from streamsync.scratch import file_system
 
 PROGRESS = (
     "topic string, partition int, next_offset bigint, n bigint, "
     "app string, query_id string, batch_id bigint, recorded_at timestamp"
 )
+QUARANTINE = "value string, topic string, partition string, offset string, reason string"
 
 
 @dataclass(frozen=True)
@@ -44,16 +48,27 @@ class State:
     def _write(self, rows: DataFrame, kind: str, query_id: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch={query_id}_{batch_id}")
 
+    def _read(self, spark: SparkSession, kind: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.path}/{kind}")
+
     def recorded(self, spark: SparkSession) -> DataFrame:
         """All recorded positions, one row per batch, topic and partition."""
-        return spark.read.schema(PROGRESS).parquet(f"{self.path}/progress").drop("batch")
+        return self._read(spark, "progress", PROGRESS)
 
     def positions(self, spark: SparkSession) -> DataFrame:
         """Where to go on."""
         return latest_offsets(self.recorded(spark), self.app)
 
     def quarantined(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/quarantine").drop("batch")
+        """All records set aside, each once."""
+        return self._read(spark, "quarantine", QUARANTINE).dropDuplicates(["topic", "partition", "offset"])
+
+    def condense(self, spark: SparkSession) -> None:
+        """Merge the batches' small files; run it while the job is stopped."""
+        for kind in ("progress", "quarantine"):
+            fs, place = file_system(spark, f"{self.path}/{kind}")
+            if fs.exists(place):
+                compact(spark, f"{self.path}/{kind}", nested=True)
 
 
 def batch_writer(
@@ -87,7 +102,8 @@ def batch_writer(
             if any(r.bad for r in rows):
                 state.quarantine(quarantined(decoded), query_id, batch_id)
             if rows:
-                positions = spark.createDataFrame(rows, seen.schema).drop("good", "bad")
+                known = pa.Table.from_pylist([r.asDict() for r in rows])
+                positions = spark.createDataFrame(known, seen.schema).drop("good", "bad")
                 state.record(positions.coalesce(1), query_id, batch_id)
         finally:
             decoded.unpersist()

@@ -72,7 +72,11 @@ def read_log(spark: SparkSession, config: SyncConfig, state: State | None) -> Da
         here = positions.where(positions.topic == config.kafka.topic)
         text = starting_offsets(here).first()[0] if not here.isEmpty() else text
     options = readers.kafka_options(
-        config.kafka.brokers, topic=config.kafka.topic, starting_offsets=text
+        config.kafka.brokers,
+        topic=config.kafka.topic,
+        starting_offsets=text,
+        max_offsets_per_trigger=config.kafka.max_offsets_per_trigger,
+        min_partitions=config.kafka.min_partitions,
     )
     return readers.kafka(spark, options)
 
