@@ -8,11 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _without_tail(text: Column, body: Column, parts: Column) -> Column:
-    only_separators = (F.length(text) > 0) & (F.length(body) == 0)
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(parts)
-
-
 def java_split(text: Column, separator: str) -> Column:
     """Split on one character and drop trailing empty parts only.
 
@@ -20,17 +15,25 @@ def java_split(text: Column, separator: str) -> Column:
     a text made of separators only gives no part at all.
     """
     body = F.rtrim(text, F.lit(separator))
-    return _without_tail(text, body, F.split(body, re.escape(separator) if separator != " " else " "))
+    only_separators = (F.length(text) > 0) & (F.length(body) == 0)
+    pattern = separator if separator == " " else re.escape(separator)
+    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(body, pattern))
 
 
-def java_split_runs(text: Column, one: str) -> Column:
-    """The same with runs of a character class as separator; ``one`` is the class, such as ``\\W``.
+def without_empty_tail(parts: Column) -> Column:
+    """The same for a split on runs of separators, given its parts.
 
-    The trailing run is found with a look-behind and a possessive quantifier, so
-    a long run of separators costs linear time wherever it stands.
+    Runs leave one empty part at the end at most, and two empty parts for a text
+    made of separators only.  A single part is a text without any separator.
     """
-    body = F.regexp_replace(text, f"(?<!{one}){one}++\\z", "")
-    return _without_tail(text, body, F.split(body, f"{one}+"))
+    count = F.size(parts)
+    ended = F.element_at(parts, -1) == ""
+    nothing = (count == 2) & (F.element_at(parts, 1) == "")
+    return (
+        F.when((count == 1) | ~ended, parts)
+        .when(nothing, F.array().cast("array<string>"))
+        .otherwise(F.slice(parts, F.lit(1), count - 1))
+    )
 
 
 def last_segment(text: Column, separator: str = ".") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from streamsync.functions.json import fields_once
+from streamsync.functions.decoding import fields_once
 
 OPS = ("c", "u", "d")
 META = ("ts", "topic", "partition", "offset")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamsync.functions.text import java_split, java_split_runs
+from streamsync.functions.decoding import once
+from streamsync.functions.text import java_split, without_empty_tail
 
 
 def words(lines: DataFrame) -> DataFrame:
@@ -15,8 +16,8 @@ def words(lines: DataFrame) -> DataFrame:
 
 def timed_words(lines: DataFrame) -> DataFrame:
     """One row per word between non-word characters, with the line's ``timestamp``."""
-    parts = java_split_runs(F.col("value"), r"\W")
-    return lines.select(F.explode(parts).alias("word"), "timestamp")
+    split = lines.select(F.split("value", r"\W+").alias("parts"), "timestamp")
+    return split.select(F.explode(without_empty_tail(F.col("parts"))).alias("word"), "timestamp")
 
 
 def word_count(rows: DataFrame) -> DataFrame:
@@ -28,10 +29,11 @@ def word_count(rows: DataFrame) -> DataFrame:
 
 def stamped_words(lines: DataFrame) -> DataFrame:
     """``timestamp,word`` lines to ``ts`` and ``word``, with ``reason`` for bad ones."""
-    parts = java_split(F.col("value"), ",")
+    split = lines.select(once(java_split(F.col("value"), ",")).alias("parts"), "value")
+    parts = F.col("parts")
     ts = F.get(parts, 0).try_cast("timestamp_ntz")
     word = F.get(parts, 1)
-    return lines.select(
+    return split.select(
         ts.alias("ts"),
         word.alias("word"),
         F.when(word.isNull(), "no word").when(ts.isNull(), "no time").alias("reason"),

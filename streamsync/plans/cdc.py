@@ -160,18 +160,26 @@ from (select 'u' op, case when event_id%3=0 then 0 else user_id end id, event_ty
 qualify row_number() over (partition by id order by event_id desc) = 1"""
 
 
-def cdc_sink_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the catalog and the JDBC sink store, one under the other."""
+def cdc_catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: what the catalog sink stores."""
     flat = envelope.flatten(customer_log(spark, sf_dir), CUSTOMER)
-    hive = envelope.for_sink(flat, "hive", CUSTOMER).withColumn("sink", F.lit("hive"))
-    jdbc = envelope.for_sink(flat, "jdbc", CUSTOMER).withColumn("sink", F.lit("jdbc"))
-    return hive.unionByName(jdbc, allowMissingColumns=True)
+    return envelope.for_sink(flat, "hive", CUSTOMER)
 
 
-CDC_SINK_PROJECTION = f"""with {CUSTOMER_EVENTS},
+CDC_CATALOG_COLUMNS = f"""with {CUSTOMER_EVENTS},
 flat as (select op, k::varchar id, name, nation::varchar nation, segment, {CUSTOMER_META} from customer_events)
-select id, name, nation, segment, op, ts, 'hive' sink from flat
-union all select id, name, nation, segment, op, null, 'jdbc' from flat"""
+select id, name, nation, segment, op, ts from flat"""
+
+
+def cdc_jdbc_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: what the JDBC sink stores."""
+    flat = envelope.flatten(order_log(spark, sf_dir), ORDER)
+    return envelope.for_sink(flat, "jdbc", ORDER)
+
+
+CDC_JDBC_COLUMNS = f"""with {ORDER_EVENTS}
+select k::varchar id, customer::varchar customer, status, cents::varchar cents, epoch_ms(day)::varchar as day, op
+from order_events"""
 
 
 def cdc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +236,8 @@ QUERIES = {
     "cdc_current_state": (cdc_current_state, CDC_CURRENT_STATE),
     "cdc_last_change": (cdc_last_change, CDC_LAST_CHANGE),
     "cdc_hot_keys": (cdc_hot_keys, CDC_HOT_KEYS),
-    "cdc_sink_projection": (cdc_sink_projection, CDC_SINK_PROJECTION),
+    "cdc_catalog_columns": (cdc_catalog_columns, CDC_CATALOG_COLUMNS),
+    "cdc_jdbc_columns": (cdc_jdbc_columns, CDC_JDBC_COLUMNS),
     "next_offsets": (next_offsets, NEXT_OFFSETS),
     "starting_offsets_json": (starting_offsets_json, STARTING_OFFSETS_JSON),
     "topic_totals": (topic_totals, TOPIC_TOTALS),

@@ -79,15 +79,20 @@ from signals where {GOOD}"""
 
 
 def telemetry_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = telemetry.ingest(signal_log(spark, sf_dir)).select("vin", "value", "st", "sts", "ts_time")
-    short = telemetry.with_signal(rows, "knkRatio").withColumn("by", F.lit("short"))
-    full = telemetry.with_full_signal(rows, "ROLLING.engtrq").withColumn("by", F.lit("full"))
-    return short.unionByName(full)
+    """F5 by short name."""
+    return telemetry.with_signal(telemetry.ingest(signal_log(spark, sf_dir)), "knkRatio").select(*FIXED)
 
 
-TELEMETRY_SIGNAL = f"""with {SIGNAL_EVENTS}
-select vin, val as "value", st, sts, ts_time, case sts when 'engTrq' then 'full' else 'short' end as "by"
-from signals where {GOOD} and sts in ('engTrq', 'knkRatio')"""
+TELEMETRY_SIGNAL = f"{TELEMETRY_PARSE} and sts = 'knkRatio'"
+
+
+def telemetry_full_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 by full name in any case."""
+    rows = telemetry.ingest(signal_log(spark, sf_dir))
+    return telemetry.with_full_signal(rows, "ROLLING.engtrq").select(*FIXED)
+
+
+TELEMETRY_FULL_SIGNAL = f"{TELEMETRY_PARSE} and lower(st) = 'rolling.engtrq'"
 
 
 def telemetry_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,5 +108,6 @@ from signals where i%19=0 or (st<>'body.door' and (i%17=0 or i%13=0))"""
 QUERIES = {
     "telemetry_parse": (telemetry_parse, TELEMETRY_PARSE),
     "telemetry_signal": (telemetry_signal, TELEMETRY_SIGNAL),
+    "telemetry_full_signal": (telemetry_full_signal, TELEMETRY_FULL_SIGNAL),
     "telemetry_quarantine": (telemetry_quarantine, TELEMETRY_QUARANTINE),
 }

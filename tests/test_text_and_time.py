@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from streamsync.functions.text import java_split, java_split_runs, last_segment
+from streamsync.functions.text import java_split, last_segment, without_empty_tail
 from streamsync.operators import telemetry, windows, words
 
 # What Java's String.split gives.
@@ -25,12 +25,15 @@ def split_all(spark, cases, split):
 def test_java_split(spark):
     assert split_all(spark, SPACE, lambda c: java_split(c, " ")) == SPACE
     assert split_all(spark, COMMA, lambda c: java_split(c, ",")) == COMMA
-    assert split_all(spark, NONWORD, lambda c: java_split_runs(c, r"\W")) == NONWORD
+    assert split_all(spark, NONWORD, lambda c: without_empty_tail(F.split(c, r"\W+"))) == NONWORD
 
 
 def test_long_runs_of_separators_take_linear_time(spark):
     df = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit("-"), 2_000_000), F.lit("b")).alias("v"))
-    assert df.select(java_split_runs(F.col("v"), r"\W")).first()[0] == ["a", "b"]
+    lines = df.select(F.col("v").alias("value"), F.lit(0).alias("timestamp"))
+    assert [r.word for r in words.timed_words(lines).collect()] == ["a", "b"]
+    spaces = df.select(F.translate("v", "-", " ").alias("value"))
+    assert words.words(spaces).where("value <> ''").count() == 2
 
 
 def test_last_segment(spark):
