@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamsync.config import load
 from streamsync.maintenance.compact import compact
@@ -96,6 +97,24 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.groupBy("start", "end", "word").agg(F.max_by("n", "batch").alias("n"))
 
 
+def stream_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over the time of each line's file; every word is in two of them."""
+    work = work_dir(spark, "ingest")
+    text.event_lines(spark, sf_dir).select("value").write.text(f"{work}/in")
+    lines = readers.text_lines(spark, f"{work}/in", timestamp=True)
+    counted = windows.count_by_window(
+        words.timed_words(lines), "timestamp", "word", "4 minutes", "2 minutes"
+    )
+    whole = last_result(counted, "complete", work)
+    return whole.groupBy("word").agg(F.sum("n").alias("n"), F.count_if(F.col("end") <= F.col("start")).alias("empty"))
+
+
+STREAM_INGEST_TIME = r"""
+select word, (2*count(*))::bigint n, 0::bigint as "empty"
+from (select unnest(regexp_split_to_array(
+        regexp_replace(event_type || ' ' || props, '\W+$', ''), '\W+')) word from events) group by 1"""
+
+
 def stream_sorted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines from files, complete mode, sorted in the stream."""
     work = work_dir(spark, "sorted")
@@ -138,6 +157,20 @@ def stream_filter_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_result(words.adults_by_name(stream), "complete", work)
 
 
+def bound_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns in another order and width, bound to a schema."""
+    wide = table(spark, sf_dir, "customer").select(
+        "c_mktsegment", F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name"), "c_custkey"
+    )
+    schema = T.StructType([
+        T.StructField("name", T.StringType()), T.StructField("nation", T.LongType()),
+    ])
+    return readers.bind(wide, schema)
+
+
+BOUND_BY_NAME = "select c_name as name, c_nationkey::bigint nation from customer"
+
+
 def file_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the flat changes as a CSV, JSON, ORC and Parquet file stream each."""
     work = work_dir(spark, "files")
@@ -380,9 +413,11 @@ def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_word_count": (stream_word_count, STREAM_WORD_COUNT),
     "stream_sliding": (stream_sliding, text.SLIDING_4_2),
+    "stream_ingest_time": (stream_ingest_time, STREAM_INGEST_TIME),
     "stream_sorted_windows": (stream_sorted_windows, text.SLIDING_10_5_SORTED),
     "stream_watermark": (stream_watermark, STREAM_WATERMARK),
     "stream_filter_count": (stream_filter_count, text.FILTER_GROUP_COUNT),
+    "bound_by_name": (bound_by_name, BOUND_BY_NAME),
     "file_sinks": (file_sinks, FILE_SINKS),
     "catalog_append": (catalog_append, CATALOG_APPEND),
     "catalog_batches": (catalog_batches, CATALOG_BATCHES),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def append(
@@ -29,11 +28,12 @@ def write_batch(
     """
     spark = rows.sparkSession
     if not spark.catalog.tableExists(table):
-        empty = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).limit(0)
-        writer = empty.write.format(provider).partitionBy("batch_id")
-        if path is not None:
-            writer = writer.option("path", path)
-        writer.saveAsTable(table)
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        place = f" LOCATION '{path}'" if path is not None else ""
+        spark.sql(
+            f"CREATE TABLE {table} ({fields}, batch_id BIGINT) USING {provider} "
+            f"PARTITIONED BY (batch_id){place}"
+        )
     columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != "batch_id")
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "

@@ -122,3 +122,8 @@ def rate(
 def table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table."""
     return spark.table(name)
+
+
+def bind(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The schema's columns by name, in its order and with its types."""
+    return rows.to(schema)

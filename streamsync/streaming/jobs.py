@@ -123,7 +123,7 @@ def run_sync(
         rows = envelope.for_sink(envelope.flatten(log, config.columns), "file", config.columns)
         writer = file_stream(
             rows, config.file.path, config.file.checkpoint, config.file.fmt,
-            config.file.mode, config.file.partition_by,
+            config.file.mode, config.file.partition_by, **config.file.options,
         )
         return start(writer, interval)
     typed = config.write_type == "jdbc" and config.save_mode == "upsert"

@@ -334,3 +334,19 @@ def test_resume_without_the_checkpoint(spark, tmp_path):
     assert changes.current_rows(
         envelope.flatten(readers.record_log(spark, f"{tmp_path}/log", streaming=False), COLUMNS), "id", COLUMNS
     ).count() == 2
+
+
+def test_last_per_key_on_a_stream_equals_the_batch(spark, tmp_path):
+    fill(spark, f"{tmp_path}/log")
+
+    def last(streaming):
+        options = {"maxFilesPerTrigger": 1} if streaming else {}
+        log = readers.record_log(spark, f"{tmp_path}/log", streaming=streaming, **options)
+        good = envelope.accepted(envelope.decode(log, COLUMNS, key="id"))
+        return changes.last_per_key(good, "id", ["op", "id", "name"])
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{tmp_path}/last")
+
+    finish(for_each_batch(last(True), write, f"{tmp_path}/c", "complete"))
+    assert set(map(tuple, spark.read.parquet(f"{tmp_path}/last").collect())) == set(map(tuple, last(False).collect()))
