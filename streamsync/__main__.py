@@ -1,4 +1,4 @@
-"""``spark-submit ... -m streamsync (file|hdfs) <config.json>``: run one sync job."""
+"""``python -m streamsync (file|hdfs) <config.json> [once]``: run one sync job."""
 
 from __future__ import annotations
 
@@ -11,7 +11,9 @@ from streamsync.streaming.jobs import run_sync
 
 
 def main(arguments: list[str]) -> None:
-    if len(arguments) != 2:
+    """Run the job for ever, or with ``once`` through what is there."""
+    once = arguments[2:] == ["once"]
+    if len(arguments) != 2 and not once:
         raise SystemExit("need two arguments: file or hdfs, and the path of the configuration")
     spark = (
         SparkSession.builder.config("spark.sql.session.timeZone", "UTC")
@@ -19,7 +21,7 @@ def main(arguments: list[str]) -> None:
         .enableHiveSupport()
         .getOrCreate()
     )
-    run_sync(spark, load(spark, *arguments)).awaitTermination()
+    run_sync(spark, load(spark, *arguments[:2]), once).awaitTermination()
 
 
 if __name__ == "__main__":

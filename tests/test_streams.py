@@ -287,7 +287,7 @@ def test_compaction_leaves_a_changing_folder_alone(spark, tmp_path, monkeypatch)
 
     path = f"{tmp_path}/t"
     small_files(spark, path)
-    states = iter([(1, 1), (2, 2)])
+    states = iter([(40, 1), (41, 2)])
     monkeypatch.setattr(module, "_state", lambda *_: next(states))
     with pytest.raises(RuntimeError, match="changed"):
         compact(spark, path)
@@ -350,3 +350,23 @@ def test_last_per_key_on_a_stream_equals_the_batch(spark, tmp_path):
 
     finish(for_each_batch(last(True), write, f"{tmp_path}/c", "complete"))
     assert set(map(tuple, spark.read.parquet(f"{tmp_path}/last").collect())) == set(map(tuple, last(False).collect()))
+
+
+def test_the_program(spark, tmp_path):
+    from streamsync.__main__ import main
+
+    fill(spark, f"{tmp_path}/log")
+    document = {
+        "syncSpark": {"sparkAppName": "app", "interval": 1, "writeType": "file"},
+        "syncColumns": [{"colIndex": 1, "typeName": "number", "colName": "id"}],
+        "syncFile": {
+            "checkpointLocation": f"{tmp_path}/c", "format": "csv", "writePath": f"{tmp_path}/out",
+            "options": {"nullValue": "-"},
+        },
+        "syncSource": {"path": f"{tmp_path}/log"},
+    }
+    (tmp_path / "job.json").write_text(json.dumps(document))
+    main(["file", str(tmp_path / "job.json"), "once"])
+    assert spark.read.csv(f"{tmp_path}/out").count() == 10
+    with pytest.raises(SystemExit):
+        main(["file"])
