@@ -13,10 +13,7 @@ MAX_MILLIS = 253402300799999
 def millis_to_utc(millis: Column) -> Column:
     """Epoch milliseconds to the UTC wall clock (``timestamp_ntz``); null outside years 1-9999."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = (millis.cast("decimal(18,0)") / F.lit(1000)).cast("decimal(18,6)")
-    inside = millis.between(MIN_MILLIS, MAX_MILLIS)
-    zero = F.lit(0)
-    return F.when(inside, epoch + F.make_dt_interval(zero, zero, zero, seconds))
+    return F.when(millis.between(MIN_MILLIS, MAX_MILLIS), F.timestamp_add("MILLISECOND", millis, epoch))
 
 
 def utc_to_millis(wall_clock: Column) -> Column:
@@ -26,9 +23,20 @@ def utc_to_millis(wall_clock: Column) -> Column:
 
 
 def millis_to_text(millis: Column, zone: str) -> Column:
-    """Epoch milliseconds to ``yyyy-MM-dd HH:mm:ss`` text in a time zone."""
+    """Epoch milliseconds to ``yyyy-MM-dd HH:mm:ss`` text in a time zone.
+
+    In a UTC session the shifted instant is formatted as it is, which is faster.
+    In another zone that would fail where its clocks jump, so the text is taken
+    from the wall clock.  The session zone is a constant of the plan, so the
+    optimizer keeps one of the two only.
+    """
+    inside = millis.between(MIN_MILLIS, MAX_MILLIS)
+    shifted = F.from_utc_timestamp(F.timestamp_millis(millis), zone)
+    fast = F.date_format(shifted, "yyyy-MM-dd HH:mm:ss")
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), millis_to_utc(millis))
-    return F.substring(local.cast("string"), 1, 19)
+    exact = F.substring(local.cast("string"), 1, 19)
+    in_utc = F.current_timezone().isin("UTC", "Etc/UTC", "GMT", "Z")
+    return F.when(in_utc, F.when(inside, fast)).otherwise(exact)
 
 
 def now_text() -> Column:

@@ -43,6 +43,18 @@ def _recover(spark: SparkSession, path: str) -> None:
         return
 
 
+def packed(rows: DataFrame, files: int) -> DataFrame:
+    """Rows in as many tasks as files are wanted.
+
+    With enough files to keep the cluster busy, scan tasks are merged and no row
+    crosses a shuffle.  With fewer, merging would leave a few tasks to open all
+    the small files, so the small files are read in parallel and shuffled; that
+    is at most one target file's data per core.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(files) if files >= cores else rows.repartition(files)
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -53,9 +65,7 @@ def compact(
 ) -> int:
     """M1, M4: compact a Parquet folder in place; gives the number of files written to.
 
-    The scan packs small files together, and ``coalesce`` merges its tasks into
-    the wanted number of files, so no row crosses a shuffle.  A folder
-    partitioned by columns is rebalanced by them instead, which splits a large
+    A folder partitioned by columns is rebalanced by them, which splits a large
     partition over several files.  The new folder replaces the old one by two
     renames, after the row counts agree and nothing else has changed the folder;
     a folder that has no more files than wanted is left as it is.  A folder a file stream writes to
@@ -77,10 +87,10 @@ def compact(
     reader = spark.read.option("recursiveFileLookup", True) if nested else spark.read
     rows = reader.parquet(path)
     if partition_by:
-        packed = rows.hint("rebalance", *partition_by)
-        packed.write.partitionBy(*partition_by).option("compression", "snappy").parquet(fresh)
+        balanced = rows.hint("rebalance", *partition_by)
+        balanced.write.partitionBy(*partition_by).option("compression", "snappy").parquet(fresh)
     else:
-        rows.coalesce(files).write.option("compression", "snappy").parquet(fresh)
+        packed(rows, files).write.option("compression", "snappy").parquet(fresh)
     same_rows = rows.count() == spark.read.parquet(fresh).count()
     if not same_rows or _state(spark, path) != before:
         fs.delete(jvm_path(fresh), True)

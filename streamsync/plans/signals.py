@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamsync.functions.decoding import once
 from streamsync.functions.times import utc_to_millis
 from streamsync.operators import telemetry
 from streamsync.plans.logs import spread, table
@@ -41,10 +42,9 @@ def signal_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 5 == 0, F.lit("112")).alias("rc"),
         F.when(i % 17 == 0, signal).alias("note"),
     )
-    text = F.to_json(record)
+    cut = F.expr("rtrim('}', to_json(named_struct('st', 'gps.lon', 'val', event_id)))")
     return e.select(
-        F.when(i % 19 == 0, F.expr("rtrim('}', to_json(named_struct('st', 'gps.lon', 'val', event_id)))"))
-        .otherwise(text).alias("value"),
+        once(F.when(i % 19 == 0, cut).otherwise(F.to_json(record))).alias("value"),
         F.lit("signals").alias("topic"),
         (i % 8).cast("int").alias("partition"),
         i.alias("offset"),

@@ -16,7 +16,7 @@ from streamsync.config import load
 from streamsync.maintenance.compact import compact
 from streamsync.operators import casting, changes, envelope, windows, words
 from streamsync.plans import cdc, signals, text
-from streamsync.plans.logs import CUSTOMER, customer_log, table
+from streamsync.plans.logs import CUSTOMER, PER_KEY, customer_log, table
 from streamsync.scratch import file_system, work_dir
 from streamsync.sinks import catalog, files, jdbc
 from streamsync.sources import readers
@@ -30,13 +30,15 @@ from streamsync.streaming.jobs import (
     start,
 )
 
+# At least so many micro-batches, and at most so many files in one.
 BATCHES = 3
+MAX_FILES = 4096
 
 
 def files_per_batch(spark: SparkSession, path: str) -> int:
-    """Files per micro-batch that make a fixed number of batches of any folder."""
+    """Files per micro-batch: a few batches of a small folder, bounded ones of a large one."""
     fs, place = file_system(spark, path)
-    return max(1, -(-fs.getContentSummary(place).getFileCount() // BATCHES))
+    return min(MAX_FILES, max(1, -(-fs.getContentSummary(place).getFileCount() // BATCHES)))
 
 
 def stored_log(log: DataFrame, path: str, per_key_steps: bool = True) -> dict[str, object]:
@@ -368,6 +370,19 @@ def jdbc_section(target: jdbc.JdbcTarget, save_mode: str) -> dict[str, object]:
     }
 
 
+def read_in_ranges(
+    spark: SparkSession,
+    sf_dir: str,
+    target: jdbc.JdbcTarget,
+    column: str,
+    factor: int = 1,
+    condition: str | None = None,
+) -> DataFrame:
+    """S8 in parallel ranges of a column that goes up to the customer keys times a factor."""
+    low, high = table(spark, sf_dir, "customer").agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    return jdbc.read(spark, target, condition, column, (low * factor, (high + 1) * factor), 4)
+
+
 def sync_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job into a JDBC table, batch after batch."""
     work, target = work_dir(spark, "sync"), derby(spark, "customers")
@@ -376,7 +391,7 @@ def sync_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, work, "jdbc", options,
         syncFile={"checkpointLocation": f"{work}/checkpoint"}, syncJdbc=jdbc_section(target, "upsert"),
     )
-    return jdbc.read(spark, target)
+    return read_in_ranges(spark, sf_dir, target, "id")
 
 
 SYNC_JDBC = """
@@ -394,8 +409,7 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         jdbc.sync(flat, target, "id", types)
     nation = jdbc.quoted(spark, target, "nation")
     jdbc.delete_where(spark, target, f"{nation} = 7")
-    low, high = table(spark, sf_dir, "customer").agg(F.min("c_custkey"), F.max("c_custkey")).first()
-    return jdbc.read(spark, target, "nation > 3", "id", (low, high + 1), 4)
+    return read_in_ranges(spark, sf_dir, target, "id", condition="nation > 3")
 
 
 JDBC_ROUNDTRIP = f"select * from ({SYNC_JDBC}) where nation <> 7 and nation > 3"
@@ -405,9 +419,11 @@ def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: all flat columns appended batch by batch, each batch once."""
     work, target = work_dir(spark, "jdbc"), derby(spark, "changes")
     options = stored_log(customer_log(spark, sf_dir), f"{work}/log")
-    rows = envelope.flatten(readers.record_log(spark, f"{work}/log", **options), CUSTOMER)
+    flat = envelope.flatten(readers.record_log(spark, f"{work}/log", **options), CUSTOMER)
+    rows = flat.withColumn("offset", F.col("offset").cast("bigint"))
     run_jdbc_append(rows, target, "changes", f"{work}/checkpoint", interval=None).awaitTermination()
-    return jdbc.read(spark, target)
+    written = read_in_ranges(spark, sf_dir, target, "offset", PER_KEY)
+    return written.withColumn("offset", F.col("offset").cast("string"))
 
 
 QUERIES = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamsync.functions.decoding import once
 from streamsync.operators import windows, words
 from streamsync.plans.logs import spread, table
 
@@ -63,7 +64,7 @@ def timed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 70 == 0, F.concat(F.lit("today,"), "event_type"))
         .otherwise(F.concat(second, F.lit(","), "event_type"))
     )
-    return spread(table(spark, sf_dir, "events")).select(line.alias("value"))
+    return spread(table(spark, sf_dir, "events")).select(once(line).alias("value"))
 
 
 def sliding_10_5_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ from streamsync.operators.casting import cast_columns
 from streamsync.operators.changes import last_per_key
 
 STAGING_ATTEMPTS = 3
+# Fixed value: how many connections a write may hold, unless the options say otherwise.
+MAX_CONNECTIONS = 200
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,8 @@ class JdbcTarget:
 
     def properties(self) -> dict[str, str]:
         login = {"user": self.user, "password": self.password, "driver": self.driver}
-        return {**{k: v for k, v in login.items() if v}, **self.options}
+        given = {k: v for k, v in login.items() if v}
+        return {"numPartitions": str(MAX_CONNECTIONS), **given, **self.options}
 
     def sibling(self, suffix: str) -> JdbcTarget:
         """A helper table next to this one."""

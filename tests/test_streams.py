@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamsync.config import parse
-from streamsync.maintenance.compact import coalesce_count, compact, compact_table, partition_count
+from streamsync.maintenance.compact import coalesce_count, compact, compact_table, packed, partition_count
 from streamsync.operators import changes, envelope, offsets, words
 from streamsync.sinks import catalog, files, jdbc
 from streamsync.sources import readers
@@ -268,10 +268,11 @@ def test_compaction_twice(spark, tmp_path):
     assert os.listdir(tmp_path) == ["t"]
 
 
-def test_compaction_needs_no_shuffle(spark, tmp_path):
+def test_compaction_shuffles_only_what_few_files_hold(spark, tmp_path):
     small_files(spark, f"{tmp_path}/t")
-    plan = spark.read.parquet(f"{tmp_path}/t").coalesce(1)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    plan = lambda files: packed(rows, files)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(4) and "Exchange" in plan(3)
 
 
 def test_compaction_after_a_crash_between_the_renames(spark, tmp_path):
