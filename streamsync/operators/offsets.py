@@ -8,6 +8,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the offset that means a partition's beginning.
+EARLIEST = -2
+
 
 def next_offsets(records: DataFrame) -> DataFrame:
     """The offset after the last record of each topic and partition, as a long."""

@@ -6,12 +6,13 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from streamsync.config import SyncConfig
+from streamsync.config import KafkaSource, SyncConfig
 from streamsync.operators import envelope, telemetry
 from streamsync.operators.casting import cast_failure
-from streamsync.operators.offsets import after, starting_offsets
+from streamsync.operators.offsets import EARLIEST, after, seed, starting_offsets
 from streamsync.scratch import file_system
 from streamsync.sinks import catalog, jdbc
 from streamsync.sinks.files import file_stream
@@ -67,18 +68,29 @@ def read_log(spark: SparkSession, config: SyncConfig, state: State | None) -> Da
         if positions is None or fs.exists(checkpoint):
             return log
         return after(log, positions)
-    text = config.kafka.default_offset
-    if positions is not None:
-        here = positions.where(positions.topic == config.kafka.topic)
-        text = starting_offsets(here).first()[0] if not here.isEmpty() else text
-    options = readers.kafka_options(
-        config.kafka.brokers,
-        topic=config.kafka.topic,
-        starting_offsets=text,
-        max_offsets_per_trigger=config.kafka.max_offsets_per_trigger,
-        min_partitions=config.kafka.min_partitions,
+    return readers.kafka(spark, kafka_options(config.kafka, positions))
+
+
+def kafka_options(kafka: KafkaSource, positions: DataFrame | None) -> dict[str, str]:
+    """The topic from the recorded positions on, else from the default offset.
+
+    Kafka wants a position for every partition of the topic.  With a known number
+    of partitions, one that had no record yet starts at its beginning.
+    """
+    topic: dict[str, str] = {"topic": kafka.topic, "starting_offsets": kafka.default_offset}
+    here = None if positions is None else positions.where(F.col("topic") == kafka.topic)
+    if here is not None and not here.isEmpty():
+        if kafka.partitions is None:
+            topic["starting_offsets"] = starting_offsets(here).first()[0]
+        else:
+            assign, starts = seed(here, {kafka.topic: kafka.partitions}, missing=EARLIEST)
+            topic = {"assign": assign, "starting_offsets": starts}
+    return readers.kafka_options(
+        kafka.brokers,
+        max_offsets_per_trigger=kafka.max_offsets_per_trigger,
+        min_partitions=kafka.min_partitions,
+        **topic,
     )
-    return readers.kafka(spark, options)
 
 
 def sync_writer(spark: SparkSession, config: SyncConfig) -> Callable[[DataFrame, int], None]:

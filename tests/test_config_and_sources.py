@@ -86,6 +86,24 @@ def test_seed_lists_every_partition(spark):
     assert text == '{"s":{"1":7},"t":{"0":12,"2":%d,"10":4}}' % big
 
 
+def test_kafka_goes_on_at_the_recorded_positions(spark):
+    from streamsync.config import KafkaSource
+    from streamsync.streaming.jobs import kafka_options
+
+    positions = spark.createDataFrame(
+        [("t", 0, 12), ("s", 0, 1)], "topic string, partition int, next_offset bigint"
+    )
+    known = KafkaSource("h:1", "t", "latest", partitions=2, max_offsets_per_trigger=1000)
+    options = kafka_options(known, positions)
+    assert json.loads(options["assign"]) == {"t": [0, 1]} and "subscribe" not in options
+    assert json.loads(options["startingOffsets"]) == {"t": {"0": 12, "1": -2}}
+    assert options["maxOffsetsPerTrigger"] == "1000"
+    unknown = kafka_options(KafkaSource("h:1", "t"), positions)
+    assert unknown["subscribe"] == "t" and json.loads(unknown["startingOffsets"]) == {"t": {"0": 12}}
+    for none in (None, positions.where("topic = 's'")):
+        assert kafka_options(known, none)["startingOffsets"] == "latest"
+
+
 def test_next_offset_is_a_long(spark):
     df = spark.createDataFrame([("t", "0", str(2**31)), ("t", "0", "9")], "topic string, partition string, offset string")
     assert offsets.next_offsets(df).first().next_offset == 2**31 + 1

@@ -1,4 +1,6 @@
 import datetime
+import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -28,6 +30,27 @@ def test_java_split(spark):
     assert split_all(spark, NONWORD, lambda c: without_empty_tail(F.split(c, r"\W+"))) == NONWORD
 
 
+def java_parts(text, pattern):
+    parts = re.split(pattern, text)
+    if len(parts) == 1:
+        return parts
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_random_texts_split_as_java_does(spark):
+    rng = random.Random(3)
+    texts = {"".join(rng.choice(" ,a!\nb.") for _ in range(rng.randrange(9))) for _ in range(3000)}
+    for separator in " ,.":
+        want = {t: java_parts(t, re.escape(separator)) for t in texts}
+        assert split_all(spark, texts, lambda c: java_split(c, separator)) == want
+    want = {t: java_parts(t, r"\W+") for t in texts}
+    assert split_all(spark, texts, lambda c: without_empty_tail(F.split(c, r"\W+"))) == want
+    last = {t: (java_parts(t, r"\.") or [t])[-1] for t in texts}
+    assert split_all(spark, texts, last_segment) == last
+
+
 def test_long_runs_of_separators_take_linear_time(spark):
     df = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit("-"), 2_000_000), F.lit("b")).alias("v"))
     lines = df.select(F.col("v").alias("value"), F.lit(0).alias("timestamp"))
