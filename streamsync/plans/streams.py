@@ -16,7 +16,7 @@ from streamsync.config import load
 from streamsync.maintenance.compact import compact
 from streamsync.operators import casting, changes, envelope, windows, words
 from streamsync.plans import cdc, signals, text
-from streamsync.plans.logs import CUSTOMER, PER_KEY, customer_log, table
+from streamsync.plans.logs import CUSTOMER, PER_KEY, customer_log, spread, table
 from streamsync.scratch import file_system, work_dir
 from streamsync.sinks import catalog, files, jdbc
 from streamsync.sources import readers
@@ -350,7 +350,8 @@ def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: the line items in many small files, compacted twice."""
     work = work_dir(spark, "compact")
     lines = table(spark, sf_dir, "lineitem")
-    lines.write.option("maxRecordsPerFile", max(1000, lines.count() // 64)).parquet(f"{work}/table")
+    small = max(1000, lines.count() // 64)
+    spread(lines).write.option("maxRecordsPerFile", small).parquet(f"{work}/table")
     for _ in range(2):
         compact(spark, f"{work}/table", target_mib=256)
     return spark.read.parquet(f"{work}/table")

@@ -146,7 +146,7 @@ def create_table(
     if table_exists(spark, target):
         return False
     fields = [StructField(f.name, f.dataType, f.name != pk) for f in schema.fields]
-    writer = spark.createDataFrame([], StructType(fields)).write
+    writer = spark.createDataFrame([], StructType(fields)).coalesce(1).write
     if pk is not None:
         key_type = next(f.dataType.simpleString() for f in fields if f.name == pk)
         column_type = "VARCHAR(255)" if key_type == "string" else "BIGINT"
