@@ -50,6 +50,13 @@ def test_row_image_follows_the_operation(spark):
     ]
 
 
+def test_binary_values_are_read_as_text(spark):
+    text = log(spark, TEXTS)
+    binary = text.withColumn("value", F.col("value").cast("binary"))
+    rows = lambda df: sorted(map(str, envelope.decode(df, COLUMNS, key="id").collect()))
+    assert rows(binary) == rows(text)
+
+
 def test_quarantine_has_the_raw_text_and_the_reason(spark):
     decoded = envelope.decode(log(spark, TEXTS), COLUMNS, key="id")
     rows = envelope.quarantined(decoded).collect()
