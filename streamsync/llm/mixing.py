@@ -171,9 +171,8 @@ def mixed(
     edge = edge.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("n", "copies"))))
     both = taken.unionByName(edge.select(*taken.columns))
     space = float(1 << (BITS * LEVELS))
-    mix_key = F.when(
-        F.col("wanted") > 0, (F.col("epoch") + F.col("draw") / space) * F.col("total") / F.col("wanted")
-    ).otherwise(F.col("draw") / space)
+    along = (F.col("epoch") + F.col("draw") / space) * F.col("total") / F.col("wanted")
+    mix_key = F.when(F.col("wanted") > 0, F.least(along, F.lit(1.0))).otherwise(F.col("draw") / space)
     values = ["tokens", F.col("epoch").cast("int"), "draw", mix_key, "weight", "wanted", "total"]
     return both.select(
         "own.*", *[(F.col(v) if isinstance(v, str) else v).alias(n) for v, n in zip(values, names)]

@@ -224,4 +224,6 @@ def _met(placed: DataFrame, total: int, queries: int, k: int, share: float, wind
         return pd.concat(out)
 
     keys = ["ordering", "window", "block"]
-    return asking.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(compare, "query_vid long, vid long, score double")
+    asking = asking.toDF(*asking.columns)  # the two sides come from one table
+    found = "query_vid long, vid long, score double"
+    return asking.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(compare, found)

@@ -4,8 +4,19 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streamsync.llm import packing, token_counts
+from streamsync.llm import (
+    fingerprints,
+    hosts,
+    language,
+    mixing,
+    neighbours,
+    packing,
+    token_counts,
+    toxicity,
+    warc,
+)
 from streamsync.llm.common import ship_package
 
 
@@ -19,12 +30,65 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), labels)
+
+
+#: The rules of the fourth query: (verdict, host and path).
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors.withColumn("query", F.col("vec_id") % 50 == 0), k=5)
+
+
+#: No source is passed over more than so often as the least repeated one.
+REPETITIONS = 1.5
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it; its text stays out of the result."""
+    mix = mixing.mixed(table(spark, sf_dir, "documents"), repetitions=REPETITIONS)
+    return mix.drop("text", "n_chars")
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
+    "op2_language_id": (op2_language_id, None),
+    "op3_toxicity": (op3_toxicity, None),
+    "op4_url_filter": (op4_url_filter, None),
     "op6_token_counts": (op6_token_counts, None),
+    "op7_warc": (op7_warc, None),
+    "op8_fingerprints": (op8_fingerprints, None),
+    "op9_nearest_neighbours": (op9_nearest_neighbours, None),
+    "op10_source_mixing": (op10_source_mixing, None),
 }

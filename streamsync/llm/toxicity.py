@@ -3,7 +3,7 @@
 Two words are alike by the runs of four characters that both have, also with another
 character between any two of them, each gap weighing less; so an insult with characters
 put in or left out still resembles itself.  Signs inside words are passed over, and
-letters that stand apart are read as one word.  The kernel is approximated by its values at
+letters that stand apart are read as one word.  A word's edges count as characters.  The kernel is approximated by its values at
 landmark words, a linear support vector machine is trained on them, and, since the kernel
 is linear in its runs, the machine folds into one table of weights of runs.  Scoring a
 text is then a pass over its characters, and no word is too rare for it.
@@ -32,7 +32,7 @@ from streamsync.llm.linear import fit_logistic, train_svm
 #: Toxic and clean texts to learn from at most, and their greatest length in characters.
 PER_TOXIC, PER_CLEAN, LONGEST_SAMPLE = 2000, 8000, 40_000
 #: Landmarks, characters of a run, most steps from one to the next, weight of a step more.
-LANDMARKS, ORDER, STEPS, DECAY = 1200, 4, 2, 0.6
+LANDMARKS, ORDER, STEPS, DECAY = 1200, 4, 2, 0.8
 #: Codes of characters (as bits), and of runs once hashed.
 CODE_BITS, RUN_BITS = 6, 21
 #: Characters scored at once; a word longer than this is cut.
@@ -42,7 +42,7 @@ THRESHOLD = 0.7
 
 
 def _alphabet() -> np.ndarray:
-    """1-26 letters, 27 digits, 29-60 letters of Latin-1, 61-63 any other letter; 0 white
+    """1-26 letters, 27 digits, 29-60 letters of Latin-1, 61-62 any other letter; 0 white
     space, SIGN for what is passed over."""
     codes = np.zeros(0x250, np.uint8)
     for c in range(0x250):
@@ -54,13 +54,13 @@ def _alphabet() -> np.ndarray:
         elif 0xDF <= c <= 0xFF and text.isalpha():
             codes[c] = 29 + c - 0xDF
         elif text.isalpha():
-            codes[c] = 61 + c % 3
+            codes[c] = 61 + c % 2
         elif not text.isspace():
             codes[c] = SIGN
     return codes
 
 
-SIGN = 255
+SIGN, EDGE = 255, 63
 _CODES = _alphabet()
 #: The places of each kind of run after its first character, and its weight.
 _KINDS = [
@@ -76,8 +76,18 @@ _NORMS = np.array(
 
 def encode(text: str) -> np.ndarray:
     code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    code = np.where(code < 0x250, _CODES[np.minimum(code, 0x24F)], 61 + code % 3)
-    return code[code != SIGN].astype(np.uint32)
+    code = np.where(code < 0x250, _CODES[np.minimum(code, 0x24F)], 61 + code % 2)
+    return edged(code[code != SIGN])
+
+
+def edged(code: np.ndarray) -> np.ndarray:
+    """The same words, each between two edges, with one space around each."""
+    code = np.concatenate([[0], code, [0]]).astype(np.uint32)
+    code = code[(code > 0) | (np.append(1, code[:-1]) > 0)]
+    code = np.repeat(code, np.where(code > 0, 1, 3))
+    spaces = np.flatnonzero(code == 0)
+    code[spaces[2:-3:3]] = code[spaces[3::3]] = EDGE
+    return code
 
 
 def spans(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,10 +98,10 @@ def spans(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def joined_letters(code: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Words of three or more characters spelled apart, joined: codes with spaces between."""
-    single = np.concatenate([[0], (ends - begins == 1).astype(np.int8), [0]])
+    single = np.concatenate([[0], (ends - begins == 3).astype(np.int8), [0]])
     edge = np.diff(single)
     found = [
-        np.append(code[begins[a:b]], 0)
+        np.concatenate([[EDGE], code[begins[a:b] + 1], [EDGE, 0]])
         for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))
         if b - a >= 3
     ]
@@ -236,7 +246,7 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
         return np.log((in_bad[word] + 0.5) / (len(bad_texts) + 1)) - np.log((in_good[word] + 0.5) / (len(good_texts) + 1))
 
     often = max(3, 0.004 * len(bad_texts))
-    telling = {w for w, n in in_bad.items() if n >= often and excess(w) >= 3}
+    telling = _explaining(bad_texts, {w for w, n in in_bad.items() if n >= often and excess(w) >= 3}, often)
     good_words = sorted(in_good)
     random.shuffle(good_words)
     against, hard, machine = good_words[:4000], [], None
@@ -255,6 +265,22 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
     return Model(machine.table, machine.bias, scale, shift)
 
 
+def _explaining(texts: list[list[str]], words: set[str], least: float, rounds: int = 10) -> set[str]:
+    """The words that explain texts.  Each text has one vote, which it shares among its
+    words in proportion to their votes of the round before: the words that copies of one
+    text have in common share few votes, a word of many texts gets one of each."""
+    of_text = [[w for w in t if w in words] for t in texts]
+    votes = Counter(w for t in of_text for w in t)
+    for _ in range(rounds):
+        new: Counter[str] = Counter()
+        for text in of_text:
+            total = sum(votes[w] for w in text)
+            for w in text:
+                new[w] += votes[w] / total if total else 0.0
+        votes = new
+    return {w for w, n in votes.items() if n >= least / 2}
+
+
 def _spread(words: list[str], n: int) -> list[str]:
     return [words[i] for i in np.unique(np.linspace(0, len(words) - 1, min(n, len(words))).astype(int))]
 
