@@ -240,18 +240,13 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
     held = random.permutation(len(words)) % 4 == 0
     bad_texts = [w for w, t, h in zip(words, toxic, held) if t and not h]
     good_texts = [w for w, t, h in zip(words, toxic, held) if not t and not h]
-    in_bad, in_good = Counter(w for t in bad_texts for w in t), Counter(w for t in good_texts for w in t)
-
-    def excess(word: str) -> float:
-        return np.log((in_bad[word] + 0.5) / (len(bad_texts) + 1)) - np.log((in_good[word] + 0.5) / (len(good_texts) + 1))
-
-    often = max(3, 0.004 * len(bad_texts))
-    telling = _explaining(bad_texts, {w for w, n in in_bad.items() if n >= often and excess(w) >= 3}, often)
-    good_words = sorted(in_good)
+    in_bad = Counter(w for t in bad_texts for w in t)
+    telling = _telling(bad_texts, good_texts)
+    good_words = sorted({w for t in good_texts for w in t})
     random.shuffle(good_words)
     against, hard, machine = good_words[:4000], [], None
     for _ in range(rounds):
-        bad = sorted(telling or in_bad, key=lambda w: (-in_bad[w], w))[:3000]
+        bad = sorted(telling or set(in_bad), key=lambda w: (-in_bad[w], w))[:3000]
         marks = {*bad[: LANDMARKS // 4], *_spread(sorted(bad), LANDMARKS // 6), *hard[: LANDMARKS // 3]}
         marks.update(against[: LANDMARKS - len(marks)])
         machine = _Machine(against, bad, [in_bad[w] for w in bad], sorted(marks))
@@ -265,20 +260,39 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
     return Model(machine.table, machine.bias, scale, shift)
 
 
-def _explaining(texts: list[list[str]], words: set[str], least: float, rounds: int = 10) -> set[str]:
-    """The words that explain texts.  Each text has one vote, which it shares among its
-    words in proportion to their votes of the round before: the words that copies of one
-    text have in common share few votes, a word of many texts gets one of each."""
-    of_text = [[w for w in t if w in words] for t in texts]
-    votes = Counter(w for t in of_text for w in t)
+def _units(words: list[str]) -> set[str]:
+    """Words, and the beginnings that inflected or compound words have in common."""
+    return {*words, *(w[:n] + "*" for w in words for n in (4, 5) if len(w) > n)}
+
+
+def _telling(bad_texts: list[list[str]], good_texts: list[list[str]], rounds: int = 10) -> set[str]:
+    """The words that explain toxic texts.
+
+    Candidates are words and beginnings that toxic texts have 20 times as often as clean
+    ones.  Each toxic text has one vote, which it shares among its candidates in
+    proportion to their votes of the round before: what copies of one text have in common
+    shares few votes, an insult of many texts gets one of each.
+    """
+    in_bad = Counter(u for t in bad_texts for u in _units(t))
+    # so often that chance alone would hardly put one candidate into toxic texts only
+    share = len(bad_texts) / (len(bad_texts) + len(good_texts))
+    tried = sum(n > 1 for n in in_bad.values())
+    often = max(3.0, np.log(20 * tried + 1) / -np.log(share) if share < 1 else 3.0)
+    some = {u for u, n in in_bad.items() if n >= often}
+    in_good = Counter(u for t in good_texts for u in _units(t) if u in some)
+    rate = (len(bad_texts) + 1) / (len(good_texts) + 1)
+    some = {u for u in some if in_bad[u] + 0.5 >= 20 * rate * (in_good[u] + 0.5)}
+    of_text = [[u for u in _units(t) if u in some] for t in bad_texts]
+    votes = Counter(u for t in of_text for u in t)
     for _ in range(rounds):
         new: Counter[str] = Counter()
         for text in of_text:
-            total = sum(votes[w] for w in text)
-            for w in text:
-                new[w] += votes[w] / total if total else 0.0
+            total = sum(votes[u] for u in text)
+            for u in text:
+                new[u] += votes[u] / total if total else 0.0
         votes = new
-    return {w for w, n in votes.items() if n >= least / 2}
+    chosen = {u for u, n in votes.items() if n >= often / 4}
+    return {w for t in bad_texts for w in t if not chosen.isdisjoint(_units([w]))}
 
 
 def _spread(words: list[str], n: int) -> list[str]:
