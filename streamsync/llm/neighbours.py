@@ -12,8 +12,10 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamsync.llm.common import stored
 
@@ -78,8 +80,10 @@ def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding, query: once each, without what takes no part: a null id, null or
     zero vectors, null or non-finite components, another length than most rows have."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    single = vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType())
+    numbers = "array<float>" if single else "array<double>"
     rows = vectors.select(
-        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce("query", F.lit(False)).alias("query")
+        "vec_id", F.col("embedding").cast(numbers).alias("embedding"), F.coalesce("query", F.lit(False)).alias("query")
     ).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     rows = rows.filter(finite & F.exists("embedding", lambda x: x != 0))
     sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n"))
@@ -87,13 +91,41 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.size("embedding") == (size["n"] if size else 0)).distinct()
 
 
+def recall(found: DataFrame, vectors: DataFrame, k: int = 5) -> float:
+    """The part of the true ``k`` nearest ones of every query that ``found`` has; compares
+    each query with every row, in blocks, and is meant for tests."""
+    rows = usable(vectors)
+    queries = rows.filter("query").select("vec_id", "embedding").collect()
+    ids = np.array([r[0] for r in queries])
+    ours = np.array([r[1] for r in queries], dtype=np.float64)
+    ours /= np.linalg.norm(ours, axis=1, keepdims=True)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in batches:
+            theirs = np.stack(block["embedding"].to_numpy()).astype(np.float64)
+            scores = ours @ (theirs / np.linalg.norm(theirs, axis=1, keepdims=True)).T
+            scores[ids[:, None] == block["vec_id"].to_numpy()[None, :]] = -2
+            few = min(k, len(block))
+            top = np.argsort(-scores, axis=1, kind="stable")[:, :few]
+            yield pd.DataFrame(
+                {"q": np.repeat(ids, few), "v": block["vec_id"].to_numpy()[top].ravel(),
+                 "s": np.take_along_axis(scores, top, 1).ravel()}
+            )
+
+    nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "v"))
+    true = rows.select("vec_id", "embedding").mapInPandas(best, "q long, v long, s double")
+    true = true.filter("s > -1.5").withColumn("nth", nth).filter(F.col("nth") <= k)
+    both = true.join(found, (F.col("q") == F.col("query_id")) & (F.col("v") == F.col("vec_id")), "left")
+    return both.agg(F.avg(F.col("vec_id").isNotNull().cast("double"))).first()[0]
+
+
 def search(
     vectors: DataFrame,
     k: int = 5,
     orderings: int = 12,
     kept: int = 4,
-    share: float = 0.2,
-    window: int = 2048,
+    share: float = 0.1,
+    window: int = 1024,
     seed: int = 7,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row marked ``query``.
@@ -142,26 +174,29 @@ def search(
 
 
 def _placed(distinct: DataFrame, curves: list, total: int) -> DataFrame:
-    """vid, embedding, query, ordering and place: the row's rank along each curve."""
+    """vid, embedding, query, ordering and place: the row's rank along each curve.
+
+    Only ids and keys are sorted; a vector is joined to its places afterwards.
+    """
     spark = distinct.sparkSession
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
                 values = np.stack(rows["embedding"].to_numpy()).astype(np.float64)
-                values /= np.linalg.norm(values / np.abs(values).max(axis=1, keepdims=True), axis=1, keepdims=True) * np.abs(values).max(axis=1, keepdims=True)
+                values /= np.abs(values).max(axis=1, keepdims=True)
+                values /= np.linalg.norm(values, axis=1, keepdims=True)
                 for i, (directions, shift) in enumerate(curves):
-                    yield rows.assign(ordering=i, key=curve_keys(values, directions, shift))
+                    key = curve_keys(values, directions, shift)
+                    yield pd.DataFrame({"vid": rows["vid"], "ordering": i, "key": key})
 
-    schema = "vid long, embedding array<double>, query boolean, ordering int, key long"
-    keyed = distinct.select("vid", "embedding", "query").mapInPandas(walk, schema)
-    parts = max(len(curves), -(-total * len(curves) // 16384))
+    keyed = distinct.select("vid", "embedding").mapInPandas(walk, "vid long, ordering int, key long")
+    parts = max(len(curves), -(-total * len(curves) // 65536))
     keyed = stored(keyed, "curve-keys")
-    sorted_ = keyed.repartitionByRange(parts, "ordering", "key", "vid").sortWithinPartitions("ordering", "key", "vid")
+    order = ["ordering", "key", "vid"]
+    along = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
         part, seen = TaskContext.get().partitionId(), {}
         for rows in batches:
             nth = rows.groupby("ordering").cumcount().to_numpy()
@@ -170,16 +205,25 @@ def _placed(distinct: DataFrame, curves: list, total: int) -> DataFrame:
                 seen[o] = seen.get(o, 0) + n
             yield rows.drop(columns="key").assign(part=part, nth=nth + base)
 
-    schema = "vid long, embedding array<double>, query boolean, ordering int, part int, nth long"
-    numbered = stored(sorted_.mapInPandas(count, schema), "curve-order")
+    numbered = stored(along.mapInPandas(count, "vid long, ordering int, part int, nth long"), "curve-order")
     sizes = numbered.groupBy("ordering", "part").count().collect()  # a row a partition
     begins, before = [], {}
     for o, part, n in sorted(map(tuple, sizes)):
         begins.append((o, part, before.get(o, 0)))
         before[o] = before.get(o, 0) + n
     begins = spark.createDataFrame(begins, "o int, p int, base long")
-    joined = numbered.join(F.broadcast(begins), (F.col("ordering") == F.col("o")) & (F.col("part") == F.col("p")))
-    return joined.select("vid", "embedding", "query", "ordering", (F.col("base") + F.col("nth")).alias("place"))
+    here = (F.col("ordering") == F.col("o")) & (F.col("part") == F.col("p"))
+    place = F.struct("ordering", (F.col("base") + F.col("nth")).alias("place"))
+    places = (
+        numbered.join(F.broadcast(begins), here)
+        .groupBy(F.col("vid").alias("placed"))
+        .agg(F.collect_list(place).alias("places"))  # one for each curve
+    )
+    joined = distinct.join(places, F.col("vid") == F.col("placed"))
+    joined = stored(joined.select("vid", "embedding", "query", "places"), "placed-vectors")
+    return joined.select("vid", "embedding", "query", F.explode("places").alias("p")).select(
+        "vid", "embedding", "query", "p.*"
+    )
 
 
 #: Queries that one task compares with a window at once.
@@ -207,12 +251,12 @@ def _met(placed: DataFrame, total: int, queries: int, k: int, share: float, wind
         if not len(asked) or not len(known):
             return empty
         known = known.sort_values("vid")
-        vectors = np.stack(known["embedding"].to_numpy())
+        vectors = np.stack(known["embedding"].to_numpy()).astype(np.float64)
         lengths, ids = np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), known["vid"].to_numpy()
         out = []
         for begin in range(0, len(asked), 512):
             some = asked.iloc[begin : begin + 512]
-            ours = np.stack(some["embedding"].to_numpy())
+            ours = np.stack(some["embedding"].to_numpy()).astype(np.float64)
             scores = ours @ vectors.T / lengths
             few = min(k + 1, len(ids))
             top = np.argpartition(-scores, few - 1, axis=1)[:, :few]
