@@ -25,7 +25,8 @@ def train_svm(
     each = np.ones(len(signs)) if weights is None else np.asarray(weights, float)
     each = penalty * len(signs) / 2 * np.where(labels, each / each[labels].sum(), each / each[~labels].sum())
     rows = np.concatenate([rows, np.ones((len(rows), 1), rows.dtype)], axis=1)
-    found = np.zeros(rows.shape[1])
+    each = each.astype(rows.dtype)  # so that no product makes a wider copy of the rows
+    found = np.zeros(rows.shape[1], rows.dtype)
 
     def loss(w: np.ndarray) -> float:
         return 0.5 * w @ w + 0.5 * each @ np.square(np.maximum(0, 1 - signs * (rows @ w)))

@@ -12,6 +12,7 @@ from streamsync.llm import (
     language,
     mixing,
     neighbours,
+    ngram_join,
     packing,
     token_counts,
     toxicity,
@@ -53,6 +54,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -86,6 +91,7 @@ QUERIES = {
     "op2_language_id": (op2_language_id, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_url_filter": (op4_url_filter, None),
+    "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, None),
     "op6_token_counts": (op6_token_counts, None),
     "op7_warc": (op7_warc, None),
     "op8_fingerprints": (op8_fingerprints, None),

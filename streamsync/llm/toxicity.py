@@ -30,9 +30,9 @@ from streamsync.llm.common import bounded_sample, free_name, remainder, small_ba
 from streamsync.llm.linear import fit_logistic, train_svm
 
 #: Toxic and clean texts to learn from at most, and their greatest length in characters.
-PER_TOXIC, PER_CLEAN, LONGEST_SAMPLE = 2000, 8000, 40_000
+PER_TOXIC, PER_CLEAN, LONGEST_SAMPLE = 1500, 5000, 40_000
 #: Landmarks, characters of a run, most steps from one to the next, weight of a step more.
-LANDMARKS, ORDER, STEPS, DECAY = 1200, 4, 2, 0.8
+LANDMARKS, ORDER, STEPS, DECAY = 800, 4, 2, 0.8
 #: Codes of characters (as bits), and of runs once hashed.
 CODE_BITS, RUN_BITS = 6, 21
 #: Characters scored at once; a word longer than this is cut.
@@ -213,10 +213,10 @@ class _Machine:
         keep = values > 1e-4 * values.max(initial=1e-9)
         whiten = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
         words = bad + good
-        kernel = _kernel(words, known, marks)
+        kernel = _kernel(words, known, marks) @ whiten
         labels = np.arange(len(words)) < len(bad)
         each = np.array([*weights, *[1.0] * len(good)])
-        machine, self.bias = train_svm(kernel @ whiten, labels, PENALTY, each)
+        machine, self.bias = train_svm(kernel, labels, PENALTY, each)
         self.table = np.zeros(1 << RUN_BITS, np.float32)
         self.table[known >= 0] = marks @ (whiten @ machine)
 
@@ -230,7 +230,10 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
     seen: dict[str, int] = {}
     for i in order:  # equal texts count once; the higher label stands
         seen[texts[i]] = max(seen.get(texts[i], 0), labels[i])
-    words = [sorted({w for w in t.lower().split() if 3 <= len(w) <= 64}) for t in seen]
+    same: dict[str, str] = {}
+    words = [
+        sorted({same.setdefault(w, w) for w in t.lower().split() if 3 <= len(w) <= 64}) for t in seen
+    ]
     toxic = np.array(list(seen.values())) == 1
     if toxic.all() or not toxic.any():
         always = 10.0 if len(toxic) and toxic.all() else -10.0
@@ -276,7 +279,8 @@ def _telling(bad_texts: list[list[str]], good_texts: list[list[str]], rounds: in
     in_bad = Counter(u for t in bad_texts for u in _units(t))
     # so often that chance alone would hardly put one candidate into toxic texts only
     share = len(bad_texts) / (len(bad_texts) + len(good_texts))
-    tried = sum(n > 1 for n in in_bad.values())
+    in_bad = Counter({u: n for u, n in in_bad.items() if n > 1})
+    tried = len(in_bad)
     often = max(3.0, np.log(20 * tried + 1) / -np.log(share) if share < 1 else 3.0)
     some = {u for u, n in in_bad.items() if n >= often}
     in_good = Counter(u for t in good_texts for u in _units(t) if u in some)
