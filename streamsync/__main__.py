@@ -21,7 +21,12 @@ def main(arguments: list[str]) -> None:
         .enableHiveSupport()
         .getOrCreate()
     )
-    run_sync(spark, load(spark, *arguments[:2]), once).awaitTermination()
+    config = load(spark, *arguments[:2])
+    if config.file.metastore:
+        # the catalog is opened at its first use, which is after this
+        spark.conf.set("spark.hadoop.hive.metastore.uris", config.file.metastore)
+        spark._jsc.hadoopConfiguration().set("hive.metastore.uris", config.file.metastore)
+    run_sync(spark, config, once).awaitTermination()
 
 
 if __name__ == "__main__":

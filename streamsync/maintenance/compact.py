@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from streamsync.scratch import file_system
 
@@ -32,27 +35,86 @@ def _state(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
-def _recover(spark: SparkSession, path: str) -> None:
-    """Put the old folder back if an earlier run ended between its two renames."""
+class _Swap:
+    """The exchange of a folder for its rewritten form, with a marker that tells a later
+    run how far it came.  Only what the marker names is ever moved or deleted."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        parent, _, name = self.path.rpartition("/")
+        self.spark, self.marker = spark, f"{parent}/.{name}.compaction"
+        self.fs, _ = file_system(spark, self.path)
+
+    def at(self, path: str) -> JavaObject:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self.at(path))
+
+    def places(self, run: str) -> tuple[str, str]:
+        return f"{self.path}_compact_{run}", f"{self.path}_old_{run}"
+
+    def begin(self) -> tuple[str, str]:
+        run = uuid.uuid4().hex
+        out = self.fs.create(self.at(self.marker), True)
+        out.write(json.dumps({"run": run}).encode())
+        out.close()
+        return self.places(run)
+
+    def move(self, source: str, target: str) -> None:
+        # into an existing folder some file systems would move it below that one
+        if self.exists(target) or not self.fs.rename(self.at(source), self.at(target)):
+            raise RuntimeError(f"cannot move {source} to {target}")
+
+    def end(self, fresh: str, old: str) -> None:
+        for place in (fresh, old, self.marker):
+            self.fs.delete(self.at(place), True)
+
+    def recover(self) -> None:
+        """Finish or undo what a run that died has begun."""
+        if not self.exists(self.marker):
+            return
+        reader = self.fs.open(self.at(self.marker))
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(reader, "UTF-8")
+        reader.close()
+        try:
+            fresh, old = self.places(json.loads(text)["run"])
+        except (ValueError, KeyError):  # died while it wrote the marker, before anything else
+            self.fs.delete(self.at(self.marker), False)
+            return
+        if not self.exists(self.path) and self.exists(old):
+            self.move(old, self.path)
+        self.end(fresh, old)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """M4: finish or undo what a compaction of this folder that died has begun."""
+    _Swap(spark, path).recover()
+
+
+def partition_names(spark: SparkSession, path: str) -> list[str]:
+    """The columns that a folder's ``name=value`` folders stand for, outermost first."""
     fs, place = file_system(spark, path)
-    if fs.exists(place):
-        return
-    left, _ = file_system(spark, path)
-    for status in left.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "_old_*")) or []:
-        fs.rename(status.getPath(), place)
-        return
+    names: list[str] = []
+    while True:
+        below = [s.getPath() for s in fs.listStatus(place) if s.isDirectory()]
+        keyed = [p for p in below if "=" in p.getName() and p.getName()[0] not in "._"]
+        if not keyed:
+            return names
+        names.append(keyed[0].getName().split("=", 1)[0])
+        place = keyed[0]
 
 
-def packed(rows: DataFrame, files: int) -> DataFrame:
-    """Rows in as many tasks as files are wanted.
+def whole_schema(spark: SparkSession, path: str, partitions: Sequence[str]) -> StructType:
+    """The columns of all files together; partition values as the text they are."""
+    files = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+    inner = [f for f in files.schema.fields if f.name not in partitions]
+    return StructType([*inner, *(StructField(p, StringType()) for p in partitions)])
 
-    With enough files to keep the cluster busy, scan tasks are merged and no row
-    crosses a shuffle.  With fewer, merging would leave a few tasks to open all
-    the small files, so the small files are read in parallel and shuffled; that
-    is at most one target file's data per core.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.coalesce(files) if files >= cores else rows.repartition(files)
+
+def _differences(one: StructType, other: StructType) -> set[tuple[str, str]]:
+    here, there = ({(f.name, f.dataType.simpleString()) for f in s.fields} for s in (one, other))
+    return here ^ there
 
 
 def compact(
@@ -62,45 +124,57 @@ def compact(
     partition_by: Sequence[str] = (),
     stream_stopped: bool = False,
     nested: bool = False,
+    pattern: str | None = None,
 ) -> int:
     """M1, M4: compact a Parquet folder in place; gives the number of files written to.
 
-    A folder partitioned by columns is rebalanced by them, which splits a large
-    partition over several files.  The new folder replaces the old one by two
-    renames, after the row counts agree and nothing else has changed the folder;
-    a folder that has no more files than wanted is left as it is.  A folder a file stream writes to
-    is refused unless the caller says the stream has ended.  ``nested`` takes the
-    files of all folders below and ignores the folders' names.
+    All columns that any file has are kept, and partition values letter by letter.  A
+    folder partitioned by columns is refused unless ``partition_by`` names them; it is
+    rebalanced by them, which splits a large partition over several files.  Any other
+    folder is dealt out evenly over as many files as its size fills (with ``pattern``:
+    the size of the entries that it matches).  The new folder replaces the old one by
+    two renames, after rows and columns agree and nothing else has changed the folder.
+    A folder a file stream writes to is refused unless the caller says the stream has
+    ended.  ``nested`` takes the files of all folders below and ignores the folders' names.
     """
-    _recover(spark, path)
-    fs, place = file_system(spark, path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    if fs.exists(jvm_path(f"{path}/_spark_metadata")) and not stream_stopped:
+    swap = _Swap(spark, path)
+    swap.recover()
+    path = swap.path
+    if swap.exists(f"{path}/_spark_metadata") and not stream_stopped:
         raise RuntimeError(f"{path} belongs to a file stream; stop it and pass stream_stopped=True")
+    found = [] if nested else partition_names(spark, path)
+    if found != list(partition_by):
+        raise ValueError(f"{path} is partitioned by {found}, not by {list(partition_by)}")
     before = _state(spark, path)
     files = partition_count(spark, path, target_mib)
-    marker = fs.exists(jvm_path(f"{path}/_SUCCESS"))
-    if not partition_by and not nested and before[0] - marker <= files:
-        return files
-    run = uuid.uuid4().hex
-    fresh, old = f"{path}_compact_{run}", f"{path}_old_{run}"
-    reader = spark.read.option("recursiveFileLookup", True) if nested else spark.read
+    if pattern is not None:
+        files = coalesce_count(spark, pattern, target_mib)
+    schema = whole_schema(spark, path, found)
+    reader = spark.read.schema(schema)
+    if nested or not found:  # a stream's list of its files may name an older state
+        reader = reader.option("recursiveFileLookup", True)
     rows = reader.parquet(path)
-    if partition_by:
-        balanced = rows.hint("rebalance", *partition_by)
-        balanced.write.partitionBy(*partition_by).option("compression", "snappy").parquet(fresh)
-    else:
-        packed(rows, files).write.option("compression", "snappy").parquet(fresh)
-    same_rows = rows.count() == spark.read.parquet(fresh).count()
-    if not same_rows or _state(spark, path) != before:
-        fs.delete(jvm_path(fresh), True)
-        raise RuntimeError(f"{path} changed while it was compacted; nothing was replaced")
-    if not fs.rename(place, jvm_path(old)):
-        raise RuntimeError(f"cannot move {path}")
-    if not fs.rename(jvm_path(fresh), place):
-        fs.rename(jvm_path(old), place)
-        raise RuntimeError(f"cannot move {fresh}")
-    fs.delete(jvm_path(old), True)
+    fresh, old = swap.begin()
+    try:
+        if found:
+            rows.hint("rebalance", *found).write.partitionBy(*found).parquet(fresh)
+        else:
+            rows.repartition(files).write.parquet(fresh)
+        same_rows = rows.count() == spark.read.schema(schema).parquet(fresh).count()
+        lost = _differences(schema, whole_schema(spark, fresh, found))
+        if not same_rows or lost or _state(spark, path) != before:
+            raise RuntimeError(f"{path} changed while it was compacted; nothing was replaced")
+        swap.move(path, old)
+        try:
+            swap.move(fresh, path)
+        except Exception:
+            swap.move(old, path)
+            raise
+    except Exception:
+        if swap.exists(path):
+            swap.end(fresh, old)
+        raise
+    swap.end(fresh, old)
     spark.catalog.refreshByPath(path)
     return files
 

@@ -13,13 +13,14 @@ from streamsync.functions.decoding import fields_once
 OPS = ("c", "u", "d")
 META = ("ts", "topic", "partition", "offset")
 SKIPPED = "skipped"
-QUARANTINE = ("value", "topic", "partition", "offset", "reason")
+# Columns of decoded records that no column of a table is called.
+REASON, RAW = "__reason", "__value"
 
 
 def clean_names(columns: Sequence[str]) -> list[str]:
     """Trimmed column names; a name that would clash with a metadata column is refused."""
     names = [c.strip() for c in columns]
-    taken = {"op", "reason", "value", *META}
+    taken = {"op", REASON, RAW, *META}
     bad = [n for n in names if not n or n.lower() in taken]
     if bad or len({n.lower() for n in names}) < len(names):
         raise ValueError(f"empty, reserved or repeated column name in {names}")
@@ -45,8 +46,8 @@ def decode(
     """Parse each record once and take the row image its operation calls for.
 
     Creates and updates give the new image, deletes the old one.  There is one row
-    per record: ``op``, the columns, the record metadata as text, ``reason`` and
-    ``value``.  ``reason`` is null for a usable row; ``value`` keeps the raw text
+    per record: ``op``, the columns, the record metadata as text, REASON and RAW.
+    REASON is null for a usable row; RAW keeps the raw text
     of the others only.  With ``key`` a row without it is unusable; ``check`` may
     name a further reason from ``op`` and the columns.  A record without a value
     (the tombstone that follows a delete) is ``skipped``.
@@ -54,7 +55,7 @@ def decode(
     names = clean_names(columns)
     parsed = log.select(
         fields_once(F.col("value"), envelope_schema(names)),
-        F.col("value").cast("string").alias("value"),
+        F.col("value").cast("string").alias(RAW),
         F.col("timestamp").cast("string").alias("ts"),
         *(F.col(c).cast("string").alias(c) for c in META[1:]),
     )
@@ -64,30 +65,32 @@ def decode(
         op.alias("op"),
         *(image.getField(n).alias(n) for n in names),
         *META,
-        F.when(F.col("value").isNull(), F.lit(SKIPPED))
+        F.when(F.col(RAW).isNull(), F.lit(SKIPPED))
         .when(F.col("payload").isNull(), F.lit("unreadable"))
         .when(op.isNull() | ~op.isin(list(ops)), F.lit("unsupported op"))
-        .alias("reason"),
-        "value",
+        .alias(REASON),
+        RAW,
     )
-    reason = F.col("reason")
+    reason = F.col(REASON)
     if key is not None:
         reason = F.coalesce(reason, F.when(F.col(f"`{key}`").isNull(), F.lit("missing key")))
     if check is not None:
         reason = F.coalesce(reason, check)
-    return flat.withColumn("reason", reason).withColumn(
-        "value", F.when(F.col("reason").isNotNull(), F.col("value"))
+    return flat.withColumn(REASON, reason).withColumn(
+        RAW, F.when(F.col(REASON).isNotNull(), F.col(RAW))
     )
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
     """The usable rows: ``op``, columns, metadata."""
-    return decoded.where("reason is null").drop("reason", "value")
+    return decoded.where(F.col(REASON).isNull()).drop(REASON, RAW)
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
     """The unusable records with their raw text and the reason."""
-    return decoded.where(F.col("reason") != SKIPPED).select(*QUARANTINE)
+    return decoded.where(F.col(REASON) != SKIPPED).select(
+        F.col(RAW).alias("value"), *META[1:], F.col(REASON).alias("reason")
+    )
 
 
 def flatten(

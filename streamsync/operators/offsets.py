@@ -87,13 +87,14 @@ def seed(
 
 
 def after(log: DataFrame, positions: DataFrame) -> DataFrame:
-    """T8 for a log kept in files: the records at or after the recorded positions."""
-    at = positions.select(
-        F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "next_offset"
-    )
-    same = (F.col("topic") == F.col("_topic")) & (F.col("partition") == F.col("_partition"))
-    return (
-        log.join(at, same, "left")
-        .where(F.col("offset") >= F.coalesce("next_offset", F.lit(0)))
-        .drop("_topic", "_partition", "next_offset")
-    )
+    """T8 for a log kept in files: the records at or after the recorded positions.
+
+    ``positions`` has one row per log partition; they become a constant of the filter,
+    so no record crosses a shuffle.
+    """
+    at = [x for r in positions.collect() for x in (F.lit(f"{r.partition} {r.topic}"), F.lit(r.next_offset))]
+    if not at:
+        return log
+    here = F.concat_ws(" ", F.col("partition").cast("string"), F.col("topic"))
+    known = F.try_element_at(F.create_map(*at), here)
+    return log.where(F.col("offset") >= F.coalesce(known, F.lit(0)))

@@ -106,7 +106,7 @@ def cdc_bad_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = {**ORDER_TYPES, "status": "number"}
     check = casting.cast_failure(types, "id")
     decoded = envelope.decode(order_log(spark, sf_dir), ORDER, key="id", check=check)
-    return decoded.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(F.count("*").alias("n"))
+    return decoded.groupBy(F.coalesce(envelope.REASON, F.lit("good")).alias("reason")).agg(F.count("*").alias("n"))
 
 
 CDC_BAD_TYPES = f"""with {ORDER_EVENTS}

@@ -16,7 +16,7 @@ from streamsync.config import load
 from streamsync.maintenance.compact import compact
 from streamsync.operators import casting, changes, envelope, windows, words
 from streamsync.plans import cdc, signals, text
-from streamsync.plans.logs import CUSTOMER, PER_KEY, customer_log, spread, table
+from streamsync.plans.logs import CUSTOMER, PER_KEY, change_log, customer_log, table
 from streamsync.scratch import file_system, work_dir
 from streamsync.sinks import catalog, files, jdbc
 from streamsync.sources import readers
@@ -30,27 +30,25 @@ from streamsync.streaming.jobs import (
     start,
 )
 
-# At least so many micro-batches, and at most so many files in one.
-BATCHES = 3
-MAX_FILES = 4096
+# Bytes of a log in one micro-batch.
+BOUNDED = {"maxBytesPerTrigger": str(128 * 1024 * 1024)}
+# Steps in which the events reach a stream, in time order.
+STEPS = 4
 
 
-def files_per_batch(spark: SparkSession, path: str) -> int:
-    """Files per micro-batch: a few batches of a small folder, bounded ones of a large one."""
-    fs, place = file_system(spark, path)
-    return min(MAX_FILES, max(1, -(-fs.getContentSummary(place).getFileCount() // BATCHES)))
-
+def stored_log(log: DataFrame, path: str, steps: int = 3) -> dict[str, object]:
+    """Write a log to files in log order, the steps of a key one after the other.
 
-def stored_log(log: DataFrame, path: str, per_key_steps: bool = True) -> dict[str, object]:
-    """Write a log to files, in log order where steps of a key follow each other.
-
-    A file source reads older files first, so one step after the other is written.
-    Gives the reading options for a few micro-batches.
+    The log is made once and read again for each step; a file source reads older files
+    first.  Gives the reading options for bounded micro-batches.
     """
-    steps = [log.where(F.col("offset") % 3 == s) for s in range(3)] if per_key_steps else [log]
-    for step in steps:
-        step.write.mode("append").parquet(path)
-    return {"maxFilesPerTrigger": files_per_batch(log.sparkSession, path)}
+    kept = log.withColumn("step", F.col("offset") % steps).persist()
+    try:
+        for step in range(steps):
+            kept.where(F.col("step") == step).drop("step").write.mode("append").parquet(path)
+    finally:
+        kept.unpersist()
+    return BOUNDED
 
 
 def last_result(rows: DataFrame, mode: str, work: str) -> DataFrame:
@@ -66,17 +64,40 @@ def last_result(rows: DataFrame, mode: str, work: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return readers.files(spark, sf_dir, schema, "parquet", pathGlobFilter="events.parquet")
+def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the step in which they arrive: quarters of their time, but every
+    97th event arrives a step late."""
+    events = table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    quarter = F.floor((at - low) * STEPS / F.lit((high or 0) - (low or 0) + 1))
+    late = F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
+    return events.withColumn("step", F.least(quarter + late, F.lit(STEPS - 1)).cast("int"))
+
+
+ARRIVING = f"""
+arriving as (
+  select *, least(floor((epoch_us(ts) - low) * {STEPS}::double / (high - low + 1))::int
+                  + case when event_id % 97 = 0 then 1 else 0 end, {STEPS - 1}) as step
+  from events, (select min(epoch_us(ts)) low, max(epoch_us(ts)) high from events))"""
+
+
+def in_steps(rows: DataFrame, work: str, mode: str, build) -> DataFrame:
+    """Run an aggregating stream over rows that arrive step by step: each step is some more
+    files in the folder it reads, and at least a micro-batch of its own."""
+    spark, schema = rows.sparkSession, rows.drop("step").schema
+    for step in range(STEPS):
+        rows.where(F.col("step") == step).drop("step").write.mode("append").parquet(f"{work}/in")
+        stream = readers.files(spark, f"{work}/in", schema, "parquet", **BOUNDED)
+        result = last_result(build(stream), mode, work)
+    return result
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files line by line, complete mode."""
     work = work_dir(spark, "words")
     text.documents(spark, sf_dir).withColumn("value", F.explode(F.split("value", "\n"))).write.text(f"{work}/in")
-    options = {"maxFilesPerTrigger": files_per_batch(spark, f"{work}/in")}
-    lines = readers.text_lines(spark, f"{work}/in", lineSep="\n", **options)
+    lines = readers.text_lines(spark, f"{work}/in", lineSep="\n", **BOUNDED)
     return last_result(words.word_count(words.words(lines)), "complete", work)
 
 
@@ -91,11 +112,14 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G2 in update mode: the count of a window is that of the last batch it changed in."""
     work = work_dir(spark, "sliding")
     line = F.concat("event_type", F.lit(" "), "props")
-    lines = event_stream(spark, sf_dir).select(line.alias("value"), F.col("ts").alias("timestamp"))
-    counted = windows.count_by_window(
-        words.timed_words(lines), "timestamp", "word", "4 minutes", "2 minutes"
-    )
-    updates = last_result(counted, "update", work)
+    lines = arriving(spark, sf_dir).select(line.alias("value"), F.col("ts").alias("timestamp"), "step")
+
+    def counted(stream: DataFrame) -> DataFrame:
+        return windows.count_by_window(
+            words.timed_words(stream), "timestamp", "word", "4 minutes", "2 minutes"
+        )
+
+    updates = in_steps(lines, work, "update", counted)
     return updates.groupBy("start", "end", "word").agg(F.max_by("n", "batch").alias("n"))
 
 
@@ -127,11 +151,15 @@ def stream_sorted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With a watermark and append mode, windows the watermark has passed."""
+    """With a watermark and append mode, windows the watermark has passed; rows that
+    arrive after that of their window are left out."""
     work = work_dir(spark, "watermark")
-    e = event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    counted = windows.count_by_window(e, "ts", "event_type", "1 hour", watermark="2 hours")
-    closed = last_result(counted, "append", work)
+    e = arriving(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "step")
+
+    def counted(stream: DataFrame) -> DataFrame:
+        return windows.count_by_window(stream, "ts", "event_type", "1 hour", watermark="2 hours")
+
+    closed = in_steps(e, work, "append", counted)
     return closed.select(
         F.col("start").cast("timestamp_ntz").alias("start"),
         F.col("end").cast("timestamp_ntz").alias("end"),
@@ -140,11 +168,16 @@ def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STREAM_WATERMARK = """
-select time_bucket(interval 1 hour, ts) as start, time_bucket(interval 1 hour, ts) + interval 1 hour as "end",
-  event_type, count(*) n
-from events
-where time_bucket(interval 1 hour, ts) + interval 1 hour <= (select date_trunc('millisecond', max(ts)) - interval 2 hour from events)
+STREAM_WATERMARK = f"""with {ARRIVING},
+marks as (
+  select s.step, (select date_trunc('millisecond', max(ts)) - interval 2 hour from arriving a where a.step < s.step) mark
+  from (select unnest(range({STEPS})) step) s),
+kept as (
+  select *, time_bucket(interval 1 hour, ts) as start, time_bucket(interval 1 hour, ts) + interval 1 hour as stop
+  from arriving join marks using (step))
+select start, stop as "end", event_type, count(*) n from kept
+where (mark is null or stop > mark)
+  and stop <= (select date_trunc('millisecond', max(ts)) - interval 2 hour from events)
 group by all"""
 
 
@@ -176,7 +209,7 @@ BOUND_BY_NAME = "select c_name as name, c_nationkey::bigint nation from customer
 def file_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the flat changes as a CSV, JSON, ORC and Parquet file stream each."""
     work = work_dir(spark, "files")
-    options = stored_log(customer_log(spark, sf_dir), f"{work}/log", per_key_steps=False)
+    options = stored_log(customer_log(spark, sf_dir), f"{work}/log")
     running, out = [], []
     for fmt in files.FORMATS:
         log = readers.record_log(spark, f"{work}/log", **options)
@@ -201,13 +234,20 @@ def table_for(name: str) -> str:
     return f"streamsync_{name}_{uuid.uuid4().hex[:12]}"
 
 
+def contents(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The rows of a table, which is dropped from the catalog; its folder stays."""
+    schema = readers.table(spark, name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
+
+
 def catalog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appended twice, once to create the table."""
     work, name = work_dir(spark, "append"), table_for("append")
     rows = envelope.for_sink(envelope.flatten(customer_log(spark, sf_dir), CUSTOMER), "hive", CUSTOMER)
     for _ in range(2):
         catalog.append(rows, name, path=f"{work}/table")
-    return readers.table(spark, name)
+    return contents(spark, name, f"{work}/table")
 
 
 CATALOG_APPEND = f"""with {cdc.CUSTOMER_EVENTS}
@@ -223,7 +263,7 @@ def catalog_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch_id in (0, 1, 0):
         part = rows.where(F.col("partition").cast("int") % 2 == batch_id)
         catalog.write_batch(part, name, batch_id, path=f"{work}/table")
-    return readers.table(spark, name)
+    return contents(spark, name, f"{work}/table")
 
 
 CATALOG_BATCHES = f"""with {cdc.CUSTOMER_EVENTS}
@@ -234,7 +274,9 @@ from customer_events"""
 def config_file(spark: SparkSession, work: str, write_type: str, **sections: dict) -> str:
     """A job configuration stored as a JSON file, as a user would write it."""
     document = {
-        "syncSpark": {"sparkAppName": "customers", "interval": 10, "writeType": write_type},
+        "syncSpark": {
+            "sparkAppName": "customers", "interval": 10, "writeType": write_type, "requiredKey": "id",
+        },
         "syncColumns": [
             {"colIndex": 2, "typeName": "string", "colName": "name"},
             {"colIndex": 1, "typeName": "number", "colName": "id"},
@@ -270,7 +312,7 @@ def sync_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, name = work_dir(spark, "sync"), table_for("sync")
     options = stored_log(cdc.damaged_log(spark, sf_dir), f"{work}/log")
     sync(spark, work, "hive", options, syncFile=hive_section(work, name))
-    return readers.table(spark, name)
+    return contents(spark, name, f"{work}/table")
 
 
 SYNC_CATALOG = f"""with {cdc.CUSTOMER_EVENTS}
@@ -282,7 +324,7 @@ from customer_events where pos%17<>0 and pos%7<>0 and pos%11<>0 and op<>'d'"""
 def sync_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job into files."""
     work = work_dir(spark, "sync")
-    options = stored_log(customer_log(spark, sf_dir), f"{work}/log", per_key_steps=False)
+    options = stored_log(customer_log(spark, sf_dir), f"{work}/log")
     section = {
         "format": "json", "writeMode": "append", "writePath": f"{work}/out",
         "partitionBy": "op", "checkpointLocation": f"{work}/checkpoint",
@@ -297,7 +339,10 @@ def sync_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, name = work_dir(spark, "sync"), table_for("positions")
     options = stored_log(customer_log(spark, sf_dir), f"{work}/log")
     sync(spark, work, "hive", options, syncFile=hive_section(work, name))
-    recorded = State(f"{work}/state", "customers").recorded(spark)
+    spark.sql(f"DROP TABLE {name}")
+    state = State(f"{work}/state", "customers")
+    state.condense(spark)
+    recorded = state.recorded(spark)
     return recorded.groupBy("app", "topic", "partition").agg(
         F.max("next_offset").alias("next_offset"), F.sum("n").alias("n")
     )
@@ -313,21 +358,88 @@ def sync_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     work, name = work_dir(spark, "sync"), table_for("quarantine")
     options = stored_log(cdc.damaged_log(spark, sf_dir), f"{work}/log")
     sync(spark, work, "hive", options, syncFile=hive_section(work, name))
+    spark.sql(f"DROP TABLE {name}")
+    rows = State(f"{work}/state", "customers").quarantined(spark)
+    return rows.select("value", "topic", "partition", "offset", "reason")
+
+
+def sync_file_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job that writes files has set aside."""
+    work = work_dir(spark, "sync")
+    options = stored_log(cdc.damaged_log(spark, sf_dir), f"{work}/log")
+    section = {"format": "json", "writePath": f"{work}/out", "checkpointLocation": f"{work}/checkpoint"}
+    sync(spark, work, "file", options, syncFile=section)
     rows = State(f"{work}/state", "customers").quarantined(spark)
     return rows.select("value", "topic", "partition", "offset", "reason")
 
 
+def sync_create_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that takes creates only, with their time."""
+    work, name = work_dir(spark, "sync"), table_for("create")
+    options = stored_log(customer_log(spark, sf_dir), f"{work}/log")
+    job = {"sparkAppName": "customers", "interval": 10, "writeType": "hive", "ops": ["c"], "recordColumns": ["ts"]}
+    sync(spark, work, "hive", options, syncSpark=job, syncFile=hive_section(work, name))
+    return contents(spark, name, f"{work}/table")
+
+
+SYNC_CREATE_ONLY = f"""with {cdc.CUSTOMER_EVENTS}
+select k::varchar id, name, nation::varchar nation, segment, op,
+  strftime(timestamp '2024-01-01' + to_seconds(pos), '%Y-%m-%d %H:%M:%S') as ts
+from customer_events where op = 'c'"""
+
+
+def cdc_reserved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns called ``value`` and ``reason``, through a file and a catalog job."""
+    work, name = work_dir(spark, "sync"), table_for("names")
+    columns = {"id": F.col("c_custkey"), "value": F.col("c_nationkey"), "reason": F.col("c_mktsegment")}
+    log = change_log(table(spark, sf_dir, "customer"), "c_custkey", columns, "value", "customer")
+    options = stored_log(log, f"{work}/log")
+    named = [{"colIndex": i, "typeName": "string", "colName": c} for i, c in enumerate(columns)]
+    section = {"format": "parquet", "writePath": f"{work}/out", "checkpointLocation": f"{work}/file"}
+    sync(spark, work, "file", options, syncColumns=named, syncFile=section, syncState={})
+    sync(spark, work, "hive", options, syncColumns=named, syncFile=hive_section(work, name), syncState={})
+    files_ = spark.read.parquet(f"{work}/out").select("id", "value", "reason", "op", F.lit("file").alias("sink"))
+    rows = contents(spark, name, f"{work}/table")
+    return files_.union(rows.select("id", "value", "reason", "op", F.lit("hive")))
+
+
+CDC_RESERVED_NAMES = f"""with {cdc.CUSTOMER_EVENTS}
+select k::varchar id, nation::varchar as "value", segment as reason, op, sink
+from customer_events, (select unnest(['file', 'hive']) sink)"""
+
+
 def sync_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second run without the first one's checkpoint goes on at the recorded positions."""
+    """Later runs without the first one's checkpoint go on at the recorded positions."""
     work, name = work_dir(spark, "sync"), table_for("resume")
     log = customer_log(spark, sf_dir)
-    created = F.col("offset") % 3 == 0
-    half = log.where(created).agg(F.max("offset") / 2).first()[0]
+    half = log.where(F.col("offset") % 3 == 0).agg(F.max("offset") / 2).first()[0]
+    log.where(F.col("offset") < half).write.parquet(f"{work}/log")
+    sync(spark, work, "hive", BOUNDED, syncFile=hive_section(work, name))
+    log.where(F.col("offset") >= half).write.mode("append").parquet(f"{work}/log")
+    sync(spark, work, "hive", BOUNDED, syncFile=hive_section(work, name, "second_checkpoint"))
+    return contents(spark, name, f"{work}/table")
+
+
+def sync_resume_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batch after a resume fails once, and the restart still takes each record
+    once."""
+    work, name = work_dir(spark, "sync"), table_for("crash")
+    log = customer_log(spark, sf_dir)
+    half = log.where(F.col("offset") % 3 == 0).agg(F.max("offset") / 2).first()[0]
     log.where(F.col("offset") < half).write.parquet(f"{work}/log")
-    sync(spark, work, "hive", {}, syncFile=hive_section(work, name))
+    sync(spark, work, "hive", BOUNDED, syncFile=hive_section(work, name))
     log.where(F.col("offset") >= half).write.mode("append").parquet(f"{work}/log")
-    sync(spark, work, "hive", {}, syncFile=hive_section(work, name, "second_checkpoint"))
-    return readers.table(spark, name)
+    # the batch fails after the resume has begun
+    broken = {**hive_section(work, name, "second_checkpoint"), "tableProvider": "no_such_format"}
+    try:
+        sync(spark, work, "hive", BOUNDED, syncFile=broken)
+    except Exception as error:
+        if "no_such_format" not in str(error).lower() and "provider" not in str(error).lower():
+            raise
+    else:
+        raise RuntimeError("the broken run came to its end")
+    sync(spark, work, "hive", BOUNDED, syncFile=hive_section(work, name, "second_checkpoint"))
+    return contents(spark, name, f"{work}/table")
 
 
 SYNC_ALL = f"""with {cdc.CUSTOMER_EVENTS}
@@ -339,11 +451,11 @@ from customer_events"""
 def telemetry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The telemetry job into a catalog table."""
     work, name = work_dir(spark, "telemetry"), table_for("signals")
-    options = stored_log(signals.signal_log(spark, sf_dir), f"{work}/log", per_key_steps=False)
+    options = stored_log(signals.signal_log(spark, sf_dir), f"{work}/log")
     log = readers.record_log(spark, f"{work}/log", **options)
     state = State(f"{work}/state", "signals")
     run_telemetry(log, name, f"{work}/checkpoint", state, path=f"{work}/table", interval=None).awaitTermination()
-    return readers.table(spark, name).select(*signals.FIXED)
+    return contents(spark, name, f"{work}/table").select(*signals.FIXED)
 
 
 def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,12 +463,45 @@ def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = work_dir(spark, "compact")
     lines = table(spark, sf_dir, "lineitem")
     small = max(1000, lines.count() // 64)
-    spread(lines).write.option("maxRecordsPerFile", small).parquet(f"{work}/table")
+    lines.write.option("maxRecordsPerFile", small).parquet(f"{work}/table")
     for _ in range(2):
         compact(spark, f"{work}/table", target_mib=256)
     return spark.read.parquet(f"{work}/table")
 
 
+def compact_grown_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: files of which the later ones have one more column."""
+    work = work_dir(spark, "compact")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    odd = F.col("l_orderkey") % 2 == 1
+    lines.where(~odd).drop("l_tax").write.parquet(f"{work}/table")
+    lines.where(odd).write.mode("append").parquet(f"{work}/table")
+    compact(spark, f"{work}/table", target_mib=256)
+    return spark.read.parquet(f"{work}/table")
+
+
+COMPACT_GROWN_SCHEMA = """
+select l_orderkey, l_linenumber, l_quantity, case when l_orderkey % 2 = 1 then l_tax end l_tax from lineitem"""
+
+
+def compact_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: partition values with leading zeros, and none, stay as they are."""
+    work = work_dir(spark, "compact")
+    zeros = F.lpad(F.col("l_linenumber").cast("string"), 3, "0")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_quantity", F.when(F.col("l_linenumber") < 7, zeros).alias("line")
+    )
+    lines.write.partitionBy("line").parquet(f"{work}/table")
+    compact(spark, f"{work}/table", target_mib=256, partition_by=["line"])
+    schema = "l_orderkey bigint, l_quantity double, line string"
+    return spark.read.schema(schema).parquet(f"{work}/table")
+
+
+COMPACT_TEXT_PARTITIONS = """
+select l_orderkey, l_quantity, case when l_linenumber < 7 then lpad(l_linenumber::varchar, 3, '0') end line
+from lineitem"""
+
+
 def derby(spark: SparkSession, name: str) -> jdbc.JdbcTarget:
     """A table in an embedded database of this process; only a local session sees it."""
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
@@ -442,9 +587,15 @@ QUERIES = {
     "sync_file": (sync_file, cdc.CDC_FLATTEN),
     "sync_positions": (sync_positions, SYNC_POSITIONS),
     "sync_quarantine": (sync_quarantine, cdc.CDC_QUARANTINE),
+    "sync_file_quarantine": (sync_file_quarantine, cdc.CDC_QUARANTINE),
+    "sync_create_only": (sync_create_only, SYNC_CREATE_ONLY),
+    "cdc_reserved_names": (cdc_reserved_names, CDC_RESERVED_NAMES),
     "sync_resume": (sync_resume, SYNC_ALL),
+    "sync_resume_crash": (sync_resume_crash, SYNC_ALL),
     "telemetry_stream": (telemetry_stream, signals.TELEMETRY_PARSE),
     "compact_table": (compact_table, "select * from lineitem"),
+    "compact_grown_schema": (compact_grown_schema, COMPACT_GROWN_SCHEMA),
+    "compact_text_partitions": (compact_text_partitions, COMPACT_TEXT_PARTITIONS),
     "sync_jdbc": (sync_jdbc, SYNC_JDBC),
     "jdbc_roundtrip": (jdbc_roundtrip, JDBC_ROUNDTRIP),
     "jdbc_append": (jdbc_append, cdc.CDC_FLATTEN),

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from streamsync.functions.decoding import once
 from streamsync.operators import windows, words
-from streamsync.plans.logs import spread, table
+from streamsync.plans.logs import table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select(F.col("text").alias("value")))
+    return table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ select word, count(*) n from (select unnest(
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timed text lines: type and properties of each event."""
     line = F.concat("event_type", F.lit(" "), "props")
-    return spread(table(spark, sf_dir, "events")).select(line.alias("value"), F.col("ts").alias("timestamp"))
+    return table(spark, sf_dir, "events").select(line.alias("value"), F.col("ts").alias("timestamp"))
 
 
 def sliding_4_2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def timed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 70 == 0, F.concat(F.lit("today,"), "event_type"))
         .otherwise(F.concat(second, F.lit(","), "event_type"))
     )
-    return spread(table(spark, sf_dir, "events")).select(once(line).alias("value"))
+    return table(spark, sf_dir, "events").select(once(line).alias("value"))
 
 
 def sliding_10_5_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:

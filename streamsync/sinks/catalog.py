@@ -21,22 +21,28 @@ def write_batch(
     batch_id: int,
     provider: str = "parquet",
     path: str | None = None,
+    query_id: str | None = None,
 ) -> None:
     """Write one micro-batch as the table's partition ``batch_id``.
 
-    A repeated batch replaces its own partition, so each row is there once.
+    A repeated batch replaces its own partition, so each row is there once.  Batches
+    are counted anew with every checkpoint: with ``query_id`` the partition is that of
+    the query's batch, and no other query's batch is replaced.
     """
     spark = rows.sparkSession
+    own = ["batch_id"] if query_id is None else ["query_id", "batch_id"]
+    types = {"batch_id": "BIGINT", "query_id": "STRING"}
     if not spark.catalog.tableExists(table):
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         place = f" LOCATION '{path}'" if path is not None else ""
         spark.sql(
-            f"CREATE TABLE {table} ({fields}, batch_id BIGINT) USING {provider} "
-            f"PARTITIONED BY (batch_id){place}"
+            f"CREATE TABLE {table} ({fields}, {', '.join(f'{c} {types[c]}' for c in own)}) "
+            f"USING {provider} PARTITIONED BY ({', '.join(own)}){place}"
         )
-    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != "batch_id")
+    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in own)
+    values = {"batch_id": int(batch_id), "query_id": f"'{query_id}'"}
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(f'{c} = {values[c]}' for c in own)}) "
         f"SELECT {columns} FROM {{rows}}",
         rows=rows,
     )

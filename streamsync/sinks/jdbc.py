@@ -8,13 +8,16 @@ SQL text.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from streamsync.operators.casting import cast_columns
 from streamsync.operators.changes import last_per_key
@@ -22,11 +25,16 @@ from streamsync.operators.changes import last_per_key
 STAGING_ATTEMPTS = 3
 # Fixed value: how many connections a write may hold, unless the options say otherwise.
 MAX_CONNECTIONS = 200
+# How databases say that a key or another constraint was violated: SQL states 23xxx, or words.
+REFUSED = re.compile(r"\b23[0-9]{3}\b|duplicate|(unique|constraint|integrity).{0,80}violat", re.I)
 
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """Where a JDBC table is; ``options`` go to Spark's JDBC source and writer."""
+    """Where a JDBC table is; ``options`` go to Spark's JDBC source and writer.
+
+    Text keys, and the names in the ledger of batches, have ``key_length`` characters.
+    """
 
     url: str
     table: str
@@ -35,6 +43,7 @@ class JdbcTarget:
     password: str = ""
     driver: str = ""
     options: Mapping[str, str] = field(default_factory=dict)
+    key_length: int = 255
 
     def properties(self) -> dict[str, str]:
         login = {"user": self.user, "password": self.password, "driver": self.driver}
@@ -43,15 +52,16 @@ class JdbcTarget:
 
     def sibling(self, suffix: str) -> JdbcTarget:
         """A helper table next to this one."""
-        return JdbcTarget(
-            self.url, self.table + suffix, self.schema, self.user, self.password, self.driver,
-            self.options,
-        )
+        return replace(self, table=self.table + suffix)
+
+
+def _dialect(spark: SparkSession, target: JdbcTarget) -> JavaObject:
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(target.url)
 
 
 def quoted(spark: SparkSession, target: JdbcTarget, name: str) -> str:
     """A column or table name in the database's own quotes."""
-    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(target.url).quoteIdentifier(name)
+    return _dialect(spark, target).quoteIdentifier(name)
 
 
 def table_name(spark: SparkSession, target: JdbcTarget) -> str:
@@ -61,15 +71,12 @@ def table_name(spark: SparkSession, target: JdbcTarget) -> str:
 
 
 def connect(spark: SparkSession, target: JdbcTarget) -> JavaObject:
-    """A connection of the driver process, for statements only."""
-    jvm = spark._jvm
-    if target.driver:
-        jvm.java.lang.Class.forName(target.driver)
-    login = jvm.java.util.Properties()
-    for key in ("user", "password"):
-        if key in target.properties():
-            login.setProperty(key, target.properties()[key])
-    return jvm.java.sql.DriverManager.getConnection(target.url, login)
+    """A connection of the driver process, for statements only, made as Spark's own JDBC
+    writer makes its connections, so drivers given to the job are found."""
+    options = {"url": target.url, "dbtable": table_name(spark, target), **target.properties()}
+    scala = spark._jvm.PythonUtils.toScalaMap(options)
+    known = spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.JDBCOptions(scala)
+    return _dialect(spark, target).createConnectionFactory(known).apply(-1)
 
 
 def run(spark: SparkSession, target: JdbcTarget, statements: Iterable[str]) -> list[int]:
@@ -97,13 +104,20 @@ def _execute(connection: JavaObject, sql: str) -> int:
 
 
 def table_exists(spark: SparkSession, target: JdbcTarget) -> bool:
-    """Whether the database lists a table of exactly this name."""
+    """Whether the database finds a table of this name, by its own way to ask."""
     connection = connect(spark, target)
     try:
-        found = connection.getMetaData().getTables(None, target.schema, None, None)
-        while found.next():
-            if found.getString("TABLE_NAME") == target.table:
-                return True
+        statement = connection.prepareStatement(
+            _dialect(spark, target).getTableExistsQuery(table_name(spark, target))
+        )
+        try:
+            statement.executeQuery()
+            return True
+        finally:
+            statement.close()
+    except Py4JJavaError as error:
+        if "SQL" not in error.java_exception.getClass().getName():
+            raise
         return False
     finally:
         connection.close()
@@ -136,25 +150,33 @@ def read(
     return rows.where(condition) if condition else rows
 
 
+def column_type(spark: SparkSession, target: JdbcTarget, kind: DataType, key: bool = False) -> str:
+    """What the database calls a type; a text key has a length."""
+    if key and isinstance(kind, StringType):
+        return f"VARCHAR({target.key_length})"
+    here = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(kind.json())
+    known = _dialect(spark, target).getJDBCType(here)
+    if not known.isDefined():
+        known = spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.getCommonJDBCType(here)
+    if not known.isDefined():
+        raise ValueError(f"no column type for {kind.simpleString()}")
+    return known.get().databaseTypeDefinition()
+
+
 def create_table(
     spark: SparkSession, target: JdbcTarget, schema: StructType, pk: str | None = None
 ) -> bool:
-    """K6: create the table if missing; true if it was created.
-
-    A numeric key becomes a ``BIGINT``, a text key a ``VARCHAR(255)`` primary key.
-    """
+    """K6: create the table if missing, with the schema's types; true if it was created."""
     if table_exists(spark, target):
         return False
-    fields = [StructField(f.name, f.dataType, f.name != pk) for f in schema.fields]
-    writer = spark.createDataFrame([], StructType(fields)).coalesce(1).write
+    fields = [
+        f"{quoted(spark, target, f.name)} {column_type(spark, target, f.dataType, f.name == pk)}"
+        + (" NOT NULL" if f.name == pk else "")
+        for f in schema.fields
+    ]
     if pk is not None:
-        key_type = next(f.dataType.simpleString() for f in fields if f.name == pk)
-        column_type = "VARCHAR(255)" if key_type == "string" else "BIGINT"
-        writer = writer.option("createTableColumnTypes", f"`{pk}` {column_type}")
-    name = table_name(spark, target)
-    writer.jdbc(target.url, name, mode="errorifexists", properties=target.properties())
-    if pk is not None:
-        run(spark, target, [f"ALTER TABLE {name} ADD PRIMARY KEY ({quoted(spark, target, pk)})"])
+        fields.append(f"PRIMARY KEY ({quoted(spark, target, pk)})")
+    run(spark, target, [f"CREATE TABLE {table_name(spark, target)} ({', '.join(fields)})"])
     return True
 
 
@@ -182,17 +204,23 @@ def delete_where(spark: SparkSession, target: JdbcTarget, condition: str) -> int
     return run(spark, target, [f"DELETE FROM {table_name(spark, target)} WHERE {condition}"])[0]
 
 
+def _refused(error: BaseException) -> bool:
+    """Whether a database refused a row for its key; the error of a failed job tells its
+    causes as text, with their SQL state or their words."""
+    return bool(REFUSED.search(str(error)))
+
+
 def stage(rows: DataFrame, target: JdbcTarget, pk: str) -> JdbcTarget:
-    """Write rows in parallel to a fresh staging table next to the target.
+    """Write rows in parallel to a staging table of their own next to the target.
 
     A task can be run again after it has committed, when its executor is lost
     before the driver hears of it.  The staging table's primary key then refuses
-    the second copy, and the whole staging write starts afresh.
+    the second copy, and the whole staging write starts afresh under another name,
+    which a late task of the failed one does not know.  Other errors are the caller's.
     """
     spark = rows.sparkSession
-    staging = target.sibling("_staging")
     for attempt in range(1, STAGING_ATTEMPTS + 1):
-        drop_table(spark, staging)
+        staging = target.sibling(f"_staging_{uuid.uuid4().hex[:12]}")
         create_table(spark, staging, rows.schema, pk)
         try:
             rows.write.jdbc(
@@ -200,8 +228,9 @@ def stage(rows: DataFrame, target: JdbcTarget, pk: str) -> JdbcTarget:
                 properties=staging.properties(),
             )
             return staging
-        except Exception:
-            if attempt == STAGING_ATTEMPTS:
+        except Exception as error:
+            drop_table(spark, staging)
+            if attempt == STAGING_ATTEMPTS or not _refused(error):
                 raise
     raise AssertionError("unreachable")
 
@@ -249,41 +278,52 @@ def _stage_numbered(rows: DataFrame, target: JdbcTarget) -> JdbcTarget:
 
 
 def sync(
-    changes: DataFrame, target: JdbcTarget, pk: str, types: Mapping[str, str], **order: bool
+    changes: DataFrame,
+    target: JdbcTarget,
+    pk: str,
+    types: Mapping[str, str],
+    prepare: bool = True,
+    **order: bool,
 ) -> None:
     """K8: last change per key, typed; create the table if missing, check it, apply.
 
-    ``changes`` are flat text rows of one batch, with their log position.
+    ``changes`` are flat text rows of one batch, with their log position.  A job that has
+    prepared the table with its first batch says so with ``prepare=False``.
     """
     spark = changes.sparkSession
     typed = cast_columns(last_per_key(changes, pk, ["op", *types], **order), types)
-    stored = typed.drop("op")
-    create_table(spark, target, stored.schema, pk)
-    verify_columns(spark, target, stored.columns)
+    if prepare:
+        stored = typed.drop("op")
+        create_table(spark, target, stored.schema, pk)
+        verify_columns(spark, target, stored.columns)
     upsert(typed, target, pk)
 
 
-def append_batch(rows: DataFrame, target: JdbcTarget, app: str, batch_id: int) -> bool:
+def append_batch(
+    rows: DataFrame, target: JdbcTarget, app: str, batch_id: int, query_id: str = "query"
+) -> bool:
     """K9: append all columns of a batch once; False if this batch is there already.
 
-    The rows and the batch's mark in a ledger table commit together.
+    The rows and the batch's mark in a ledger table commit together.  Batches are
+    counted anew with every checkpoint, so the mark names the query too.
     """
     spark = rows.sparkSession
-    ledger = target.sibling("_batches")
+    ledger = target.sibling("_commits")
     ledger_name = table_name(spark, ledger)
     if not table_exists(spark, ledger):
+        text = f"VARCHAR({target.key_length}) NOT NULL"
         run(
             spark,
             ledger,
             [
-                f"CREATE TABLE {ledger_name} (app VARCHAR(200) NOT NULL, "
-                "batch_id BIGINT NOT NULL, PRIMARY KEY (app, batch_id))"
+                f"CREATE TABLE {ledger_name} (app {text}, query_id {text}, "
+                "batch_id BIGINT NOT NULL, PRIMARY KEY (app, query_id, batch_id))"
             ],
         )
-    known = f"SELECT 1 FROM {ledger_name} WHERE app = ? AND batch_id = ?"
+    known = f"SELECT 1 FROM {ledger_name} WHERE app = ? AND query_id = ? AND batch_id = ?"
     connection = connect(spark, ledger)
     try:
-        query = _prepared(connection, known, app, batch_id)
+        query = _prepared(connection, known, app, query_id, batch_id)
         if query.executeQuery().next():
             return False
     finally:
@@ -295,8 +335,8 @@ def append_batch(rows: DataFrame, target: JdbcTarget, app: str, batch_id: int) -
     try:
         connection.setAutoCommit(False)
         try:
-            mark = f"INSERT INTO {ledger_name} (app, batch_id) VALUES (?, ?)"
-            _prepared(connection, mark, app, batch_id).executeUpdate()
+            mark = f"INSERT INTO {ledger_name} (app, query_id, batch_id) VALUES (?, ?, ?)"
+            _prepared(connection, mark, app, query_id, batch_id).executeUpdate()
             _execute(
                 connection,
                 f"INSERT INTO {table_name(spark, target)} ({names}) "
@@ -312,10 +352,13 @@ def append_batch(rows: DataFrame, target: JdbcTarget, app: str, batch_id: int) -
     return True
 
 
-def _prepared(connection: JavaObject, sql: str, app: str, batch_id: int) -> JavaObject:
+def _prepared(
+    connection: JavaObject, sql: str, app: str, query_id: str, batch_id: int
+) -> JavaObject:
     statement = connection.prepareStatement(sql)
     statement.setString(1, app)
-    statement.setObject(2, int(batch_id))
+    statement.setString(2, query_id)
+    statement.setObject(3, int(batch_id))
     return statement
 
 

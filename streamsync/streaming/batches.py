@@ -9,11 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamsync.maintenance.compact import compact
-from streamsync.operators.envelope import SKIPPED
+from streamsync.maintenance.compact import compact, recover
+from streamsync.operators.envelope import REASON, SKIPPED
 from streamsync.operators.offsets import latest_offsets, progress
 from streamsync.scratch import file_system
 
+#: Folders of batches that a start of the job leaves as they are; more are merged.
+LOOSE_BATCHES = 64
+
 PROGRESS = (
     "topic string, partition int, next_offset bigint, n bigint, "
     "app string, query_id string, batch_id bigint, recorded_at timestamp"
@@ -63,12 +66,23 @@ class State:
         """All records set aside, each once."""
         return self._read(spark, "quarantine", QUARANTINE).dropDuplicates(["topic", "partition", "offset"])
 
-    def condense(self, spark: SparkSession) -> None:
-        """Merge the batches' small files; run it while the job is stopped."""
+    def condense(self, spark: SparkSession, loose: int = 0) -> None:
+        """Merge the batches' folders into one file, where there are more than ``loose``.
+
+        Run it while the job is stopped; a job does it whenever it starts, so its
+        history is listed and read as a few files.
+        """
         for kind in ("progress", "quarantine"):
-            fs, place = file_system(spark, f"{self.path}/{kind}")
-            if fs.exists(place):
-                compact(spark, f"{self.path}/{kind}", nested=True)
+            path = f"{self.path}/{kind}"
+            recover(spark, path)
+            fs, place = file_system(spark, path)
+            if fs.exists(place) and len(fs.listStatus(place)) > loose:
+                compact(spark, path, nested=True)
+
+
+def query_id(spark: SparkSession) -> str:
+    """The id of the running stream; it stays the same as long as its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
 
 
 def batch_writer(
@@ -88,9 +102,10 @@ def batch_writer(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch).persist()
+        reason = REASON if REASON in decoded.columns else "reason"
         try:
-            usable = F.count_if(F.col("reason").isNull())
-            rejected = F.count_if(F.col("reason") != SKIPPED)
+            usable = F.count_if(F.col(reason).isNull())
+            rejected = F.count_if(F.col(reason) != SKIPPED)
             seen = progress(decoded, good=usable, bad=rejected)
             rows = seen.collect()
             if any(r.good for r in rows):
@@ -98,13 +113,13 @@ def batch_writer(
             if state is None:
                 return
             spark = batch.sparkSession
-            query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
+            query = query_id(spark)
             if any(r.bad for r in rows):
-                state.quarantine(quarantined(decoded), query_id, batch_id)
+                state.quarantine(quarantined(decoded), query, batch_id)
             if rows:
                 known = pa.Table.from_pylist([r.asDict() for r in rows])
                 positions = spark.createDataFrame(known, seen.schema).drop("good", "bad")
-                state.record(positions.coalesce(1), query_id, batch_id)
+                state.record(positions.coalesce(1), query, batch_id)
         finally:
             decoded.unpersist()
 

@@ -17,7 +17,7 @@ from streamsync.scratch import file_system
 from streamsync.sinks import catalog, jdbc
 from streamsync.sinks.files import file_stream
 from streamsync.sources import readers
-from streamsync.streaming.batches import State, batch_writer
+from streamsync.streaming.batches import LOOSE_BATCHES, State, batch_writer, query_id
 
 
 def start(writer: DataStreamWriter, interval: int | None = None) -> StreamingQuery:
@@ -55,22 +55,33 @@ def _has_positions(spark: SparkSession, state: State | None) -> bool:
 def read_log(spark: SparkSession, config: SyncConfig, state: State | None) -> DataFrame:
     """The configured record log from the recorded positions on.
 
-    A checkpoint, where there is one, takes precedence over the recorded positions.
+    The positions a query begins with are kept beside its checkpoint and hold for all its
+    starts: the batches of the checkpoint go on from there, also when the first of them
+    failed.  A checkpoint without them is a query that began at the log's beginning.
     """
-    positions = None
-    if _has_positions(spark, state):
-        # One row per log partition, fixed here while the job records new ones.
-        found = state.positions(spark)
-        positions = spark.createDataFrame(found.collect(), found.schema)
+    positions = _seed_positions(spark, config, state)
     if config.source is not None:
         log = readers.record_log(spark, config.source.path, config.source.fmt, **config.source.options)
-        fs, checkpoint = file_system(spark, f"{config.file.checkpoint}/offsets")
-        if positions is None or fs.exists(checkpoint):
-            return log
-        return after(log, positions)
+        return log if positions is None else after(log, positions)
     return readers.kafka(spark, kafka_options(config.kafka, positions))
 
 
+def _seed_positions(spark: SparkSession, config: SyncConfig, state: State | None) -> DataFrame | None:
+    """One row per log partition."""
+    kept = f"{config.file.checkpoint.rstrip('/')}_seed"
+    fs, done = file_system(spark, f"{kept}/_SUCCESS")
+    if fs.exists(done):
+        return spark.read.schema("topic string, partition int, next_offset bigint").parquet(kept)
+    _, begun = file_system(spark, f"{config.file.checkpoint}/offsets")
+    if fs.exists(begun) or not _has_positions(spark, state):
+        return None
+    # fixed here while the job records new ones
+    found = state.positions(spark)
+    positions = spark.createDataFrame(found.collect(), found.schema)
+    positions.coalesce(1).write.mode("overwrite").parquet(kept)
+    return positions
+
+
 def kafka_options(kafka: KafkaSource, positions: DataFrame | None) -> dict[str, str]:
     """The topic from the recorded positions on, else from the default offset.
 
@@ -99,56 +110,103 @@ def sync_writer(spark: SparkSession, config: SyncConfig) -> Callable[[DataFrame,
     if config.write_type == "hive":
         table = f"{config.file.database}.{config.file.table}" if config.file.database else config.file.table
         path = config.file.path or None
+        hive = spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
+        provider = config.file.provider or ("hive" if hive else "parquet")
 
         def to_table(rows: DataFrame, batch_id: int) -> None:
-            stored = envelope.for_sink(rows, "hive", columns)
-            catalog.append(stored, table, config.file.fmt, path)
+            stored = _projected(rows, config)
+            if config.file.exactly_once:
+                query = query_id(spark)
+                catalog.write_batch(stored, table, batch_id, provider, path, query)
+            else:
+                catalog.append(stored, table, provider, path)
 
         return to_table
     if config.write_type == "jdbc" and config.save_mode == "append":
 
         def to_rows(rows: DataFrame, batch_id: int) -> None:
-            jdbc.append_batch(rows, config.jdbc, config.app, batch_id)
+            jdbc.append_batch(rows, config.jdbc, config.app, batch_id, query_id(spark))
 
         return to_rows
     if config.write_type == "jdbc":
+        prepared = []
 
         def to_keys(rows: DataFrame, batch_id: int) -> None:
-            jdbc.sync(rows, config.jdbc, config.pk, config.types)
+            order = config.one_partition_per_key
+            jdbc.sync(
+                rows, config.jdbc, config.pk, config.types, prepare=not prepared, one_partition_per_key=order
+            )
+            prepared.append(batch_id)
 
         return to_keys
     raise ValueError(f"invalid writeType {config.write_type!r}")
 
 
+def _projected(rows: DataFrame, config: SyncConfig) -> DataFrame:
+    """P5: what the sink stores; the record columns are the configured ones, if any are."""
+    if config.meta is None:
+        return envelope.for_sink(rows, config.write_type, config.columns)
+    names = [f"`{n}`" for n in config.columns]
+    if config.write_type == "file":
+        return rows.select("op", *names, *config.meta)
+    return rows.select(*names, "op", *config.meta)
+
+
+class Job:
+    """The streaming queries of one job, as one."""
+
+    def __init__(self, *queries: StreamingQuery):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:  # noqa: N802 - as a query calls it
+        for query in self.queries:
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
+
 def run_sync(
     spark: SparkSession, config: SyncConfig, once: bool = False
-) -> StreamingQuery:
+) -> Job:
     """The change-data-capture job of a configuration, started.
 
     ``once`` reads what is there and stops; otherwise it runs every
-    ``config.interval`` seconds.
+    ``config.interval`` seconds.  A file job writes each row exactly once, by the file
+    sink; where it has a state, a second query over the same log records its positions
+    and its quarantine.
     """
     interval = None if once else config.interval
     state = State(config.state_path, config.app) if config.state_path else None
+    if state is not None:
+        state.condense(spark, LOOSE_BATCHES)
     log = read_log(spark, config, state)
-    if config.write_type == "file":
-        rows = envelope.for_sink(envelope.flatten(log, config.columns), "file", config.columns)
-        writer = file_stream(
-            rows, config.file.path, config.file.checkpoint, config.file.fmt,
-            config.file.mode, config.file.partition_by, **config.file.options,
-        )
-        return start(writer, interval)
     typed = config.write_type == "jdbc" and config.save_mode == "upsert"
     decode = partial(
         envelope.decode,
         columns=config.columns,
+        ops=config.ops,
         key=config.pk,
         check=cast_failure(config.types, config.pk) if typed else None,
     )
-    handle = batch_writer(
-        decode, envelope.accepted, envelope.quarantined, sync_writer(spark, config), state
+    recorded = partial(batch_writer, decode, envelope.accepted, envelope.quarantined, state=state)
+    if config.write_type != "file":
+        handle = recorded(sync_writer(spark, config))
+        return Job(start(for_each_batch(log, handle, config.file.checkpoint), interval))
+    rows = _projected(envelope.accepted(decode(log)), config)
+    writer = file_stream(
+        rows, config.file.path, config.file.checkpoint, config.file.fmt,
+        config.file.mode, config.file.partition_by, config.file.output_files, **config.file.options,
     )
-    return start(for_each_batch(log, handle, config.file.checkpoint), interval)
+    queries = [start(writer, interval)]
+    if state is not None:
+        if once:  # positions are recorded of what is written
+            queries[0].awaitTermination()
+        handle = recorded(lambda rows, batch_id: None)
+        checkpoint = f"{config.file.checkpoint.rstrip('/')}_state"
+        queries.append(start(for_each_batch(log, handle, checkpoint), interval))
+    return Job(*queries)
 
 
 def run_telemetry(
@@ -186,7 +244,7 @@ def run_jdbc_append(
         kept = batch.persist()
         try:
             if mode == "append":
-                jdbc.append_batch(kept, target, app, batch_id)
+                jdbc.append_batch(kept, target, app, batch_id, query_id(batch.sparkSession))
             elif mode == "complete":
                 jdbc.overwrite(kept, target)
             else:

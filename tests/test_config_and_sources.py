@@ -42,6 +42,10 @@ def test_columns_come_in_index_order():
         {"syncSpark__writeType": "file", "syncFile__format": "avro"},
         {"syncSpark__writeType": "file", "syncFile__writePath": ""},
         {"syncSpark__writeType": "hive"},
+        {"syncSpark__ops": ["x"]},
+        {"syncSpark__recordColumns": ["key"]},
+        {"syncKafka__topic": "t"},
+        {"syncFile__compression": "gzip"},
     ],
 )
 def test_wrong_configurations_are_refused(change):
@@ -55,6 +59,18 @@ def test_wrong_configurations_are_refused(change):
         parse(text)
 
 
+def test_the_keys_of_a_document():
+    config = parse(document(
+        syncSpark__ops=["c", "r"], syncSpark__recordColumns=["ts"], syncFile__metastoreUris="thrift://m:1",
+        syncFile__tableProvider="parquet", syncFile__outputFiles=4, syncFile__exactlyOnce=True,
+        syncJdbc__onePartitionPerKey=False, syncJdbc__keyLength=700,
+    ))
+    assert (config.ops, config.meta, config.one_partition_per_key) == (("c", "r"), ("ts",), False)
+    assert (config.file.metastore, config.file.provider) == ("thrift://m:1", "parquet")
+    assert (config.file.output_files, config.file.exactly_once, config.jdbc.key_length) == (4, True, 700)
+    assert parse(document(syncSpark__writeType="file")).pk is None
+
+
 def test_load_from_a_file(spark, tmp_path):
     path = tmp_path / "job.json"
     path.write_text(json.dumps(json.loads(document()), indent=2))
@@ -114,7 +130,10 @@ def test_records_after_a_position(spark):
         [("t", 0, 1), ("t", 0, 2), ("t", 1, 1), ("u", 0, 0)], "topic string, partition int, offset bigint"
     )
     at = spark.createDataFrame([("t", 0, 2)], "topic string, partition int, next_offset bigint")
-    assert {tuple(r) for r in offsets.after(log, at).collect()} == {("t", 0, 2), ("t", 1, 1), ("u", 0, 0)}
+    rest = offsets.after(log, at)
+    assert {tuple(r) for r in rest.collect()} == {("t", 0, 2), ("t", 1, 1), ("u", 0, 0)}
+    assert "Exchange" not in rest._jdf.queryExecution().executedPlan().toString()
+    assert offsets.after(log, at.limit(0)).count() == 4
 
 
 def test_text_lines_with_the_time_of_their_file(spark, tmp_path):
@@ -125,9 +144,9 @@ def test_text_lines_with_the_time_of_their_file(spark, tmp_path):
 
 
 def test_people_csv(spark, tmp_path):
-    (tmp_path / "user.csv").write_text("7,name7\n8,name8\n")
+    (tmp_path / "people.csv").write_text("31,Ada\n54,Grace\n")
     rows = readers.files(spark, str(tmp_path), "id bigint, name string", "csv", streaming=False).collect()
-    assert [tuple(r) for r in rows] == [(7, "name7"), (8, "name8")]
+    assert [tuple(r) for r in rows] == [(31, "Ada"), (54, "Grace")]
 
 
 def test_rate_and_socket_sources_are_streams(spark):

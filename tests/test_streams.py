@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamsync.config import parse
-from streamsync.maintenance.compact import coalesce_count, compact, compact_table, packed, partition_count
+from streamsync.maintenance.compact import coalesce_count, compact, compact_table, partition_count
 from streamsync.operators import changes, envelope, offsets, words
 from streamsync.sinks import catalog, files, jdbc
 from streamsync.sources import readers
@@ -49,7 +49,7 @@ def target(spark, name="t"):
     return jdbc.JdbcTarget(f"jdbc:derby:memory:{os.urandom(6).hex()};create=true", name)
 
 
-def config(tmp_path, write_type, to=None, checkpoint="checkpoint", **more):
+def config(tmp_path, write_type, to=None, checkpoint="checkpoint", raw=None, **more):
     return parse(json.dumps({
         "syncSpark": {"sparkAppName": "app", "interval": 1, "writeType": write_type},
         "syncColumns": [
@@ -62,6 +62,7 @@ def config(tmp_path, write_type, to=None, checkpoint="checkpoint", **more):
         "syncSource": {"path": f"{tmp_path}/log", "options": {"maxFilesPerTrigger": 1}},
         "syncState": {"path": f"{tmp_path}/state"},
         "syncJdbc": {"pk": "id", "saveMode": "upsert", "jdbcUrl": to.url if to else "", "table": to.table if to else ""},
+        **(raw or {}),
     }))
 
 
@@ -178,7 +179,37 @@ def test_staging_starts_afresh_when_a_copy_is_refused(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "drop_table", lambda s, t: tries.append(t.table) or real(s, t))
     with pytest.raises(Exception):
         jdbc.stage(df, to, "id")
-    assert tries == ["t_staging"] * jdbc.STAGING_ATTEMPTS
+    assert len(set(tries)) == jdbc.STAGING_ATTEMPTS
+    assert all(t.startswith("t_staging_") for t in tries)
+
+
+def test_staging_does_not_repeat_other_errors(spark, monkeypatch):
+    to = target(spark)
+    broken = F.udf(lambda x: 1 // 0, "bigint")
+    df = spark.range(1).select(broken("id").alias("id"), F.lit("a").alias("name"))
+    tries = []
+    real = jdbc.create_table
+    monkeypatch.setattr(jdbc, "create_table", lambda s, t, *a: tries.append(t.table) or real(s, t, *a))
+    with pytest.raises(Exception):
+        jdbc.stage(df, to, "id")
+    assert len(tries) == 1
+
+
+@pytest.mark.parametrize(
+    "kind, keys",
+    [
+        ("decimal(20,2)", ["1.25", "1.75"]),
+        ("date", ["0", "86400000"]),
+        ("string", ["k" * 400, "k" * 400 + "x"]),
+    ],
+)
+def test_keys_have_the_type_of_their_column(spark, kind, keys):
+    to = jdbc.JdbcTarget(target(spark).url, "t", key_length=500)
+    rows = [("c", k, str(i), "0", str(i)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "op string, k string, n string, partition string, offset string")
+    for _ in range(2):
+        jdbc.sync(df, to, "k", {"k": kind, "n": "number"})
+    assert sorted(r.n for r in jdbc.read(spark, to).collect()) == [0, 1]
 
 
 def test_append_counts_a_batch_once(spark):
@@ -187,7 +218,21 @@ def test_append_counts_a_batch_once(spark):
     assert jdbc.append_batch(df, to, "app", 0)
     assert not jdbc.append_batch(df, to, "app", 0)
     assert jdbc.append_batch(df, to, "app", 1) and jdbc.append_batch(df, to, "other", 0)
-    assert jdbc.read(spark, to).count() == 6
+    assert jdbc.append_batch(df, to, "app", 0, "another query")
+    assert not jdbc.append_batch(df, to, "app", 0, "another query")
+    assert jdbc.read(spark, to).count() == 8
+
+
+def test_append_with_two_checkpoints(spark, tmp_path):
+    """A new checkpoint counts its batches from 0 again; their rows are not taken for old ones."""
+    to, first = target(spark), 0
+    for i, part in enumerate(EVENTS):
+        put(spark, f"{tmp_path}/log", part, first)
+        first += len(part)
+        job = json.loads(json.dumps({"syncJdbc": {"saveMode": "append", "jdbcUrl": to.url, "table": to.table}}))
+        document = config(tmp_path, "jdbc", to, checkpoint=f"c{i}", raw=job)
+        run_sync(spark, document, once=True).awaitTermination()
+    assert jdbc.read(spark, to).count() == 10
 
 
 def test_jdbc_modes(spark, tmp_path):
@@ -242,6 +287,42 @@ def test_timed_trigger(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() > 0
 
 
+def test_catalog_batches_of_two_queries(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id bigint, name string")
+    for query in ("one", "two", "one"):
+        catalog.write_batch(df, "queries_t", 0, path=f"{tmp_path}/t", query_id=query)
+    assert spark.table("queries_t").count() == 2
+
+
+def test_an_exactly_once_catalog_job(spark, tmp_path):
+    first = 0
+    for i, part in enumerate(EVENTS):
+        put(spark, f"{tmp_path}/log", part, first)
+        first += len(part)
+        section = {"hiveTableName": "once_t", "exactlyOnce": True}
+        run_sync(spark, config(tmp_path, "hive", checkpoint=f"c{i}", **section), once=True).awaitTermination()
+    assert spark.table("once_t").count() == 10 and spark.table("once_t").select("query_id").distinct().count() == 3
+
+
+def test_a_log_of_several_files_has_several_bounded_batches(spark, tmp_path):
+    fill(spark, f"{tmp_path}/log")
+    source = {"path": f"{tmp_path}/log", "options": {"maxBytesPerTrigger": "1"}}
+    document = config(tmp_path, "hive", raw={"syncSource": source}, hiveTableName="bounded_t")
+    run_sync(spark, document, once=True).awaitTermination()
+    recorded = State(f"{tmp_path}/state", "app").recorded(spark)
+    assert recorded.select("batch_id").distinct().count() == 3 and spark.table("bounded_t").count() == 10
+
+
+def test_streams_over_a_table_of_several_files(spark, tmp_path):
+    from streamsync.plans import streams
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for query in (streams.stream_sliding, streams.stream_watermark):
+        assert sorted(map(tuple, query(spark, str(tmp_path)).collect())) == sorted(map(tuple, query(spark, sf).collect()))
+
+
 def test_catalog_batch_is_replaced_when_repeated(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "id bigint, name string")
     for batch_id in (0, 1, 1, 0):
@@ -268,19 +349,55 @@ def test_compaction_twice(spark, tmp_path):
     assert os.listdir(tmp_path) == ["t"]
 
 
-def test_compaction_shuffles_only_what_few_files_hold(spark, tmp_path):
-    small_files(spark, f"{tmp_path}/t")
-    rows = spark.read.parquet(f"{tmp_path}/t")
-    plan = lambda files: packed(rows, files)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan(4) and "Exchange" in plan(3)
+def test_compaction_rewrites_whatever_the_number_of_files(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(10).coalesce(1).write.parquet(path)
+    before = parquet_files(path)
+    assert compact(spark, path) == 1
+    assert parquet_files(path) != before and spark.read.parquet(path).count() == 10
+    assert compact(spark, path, 1, pattern=f"{path}/*") == 1
+
+
+def crashed(tmp_path, path):
+    """A folder as a compaction that died between its two renames leaves it."""
+    os.rename(path, f"{path}_old_abc")
+    (tmp_path / ".t.compaction").write_text(json.dumps({"run": "abc"}))
 
 
 def test_compaction_after_a_crash_between_the_renames(spark, tmp_path):
     path = f"{tmp_path}/t"
     small_files(spark, path)
-    os.rename(path, f"{path}_old_abc")
+    crashed(tmp_path, path)
     compact(spark, path)
     assert spark.read.parquet(path).count() == 3000
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_recovery_touches_only_what_its_marker_names(spark, tmp_path):
+    path, other = f"{tmp_path}/t", f"{tmp_path}/t_old_2023"
+    spark.range(7).write.parquet(other)
+    small_files(spark, path)
+    compact(spark, path)
+    crashed(tmp_path, path)
+    compact(spark, path)
+    assert spark.read.parquet(path).count() == 3000 and spark.read.parquet(other).count() == 7
+    os.rename(path, f"{path}_old_gone")  # no marker: nothing is put back
+    with pytest.raises(Exception):
+        compact(spark, path)
+    assert sorted(os.listdir(tmp_path)) == ["t_old_2023", "t_old_gone"]
+    (tmp_path / ".t_old_gone.compaction").write_text("")  # died while it wrote the marker
+    compact(spark, f"{path}_old_gone")
+    assert spark.read.parquet(f"{path}_old_gone").count() == 3000
+
+
+def test_compaction_of_a_partitioned_folder_needs_its_columns(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    small_files(spark, path)
+    spark.read.parquet(path).write.partitionBy("k").parquet(f"{tmp_path}/p")
+    with pytest.raises(ValueError, match="partitioned by"):
+        compact(spark, f"{tmp_path}/p")
+    with pytest.raises(ValueError, match="partitioned by"):
+        compact(spark, path, partition_by=["k"])
 
 
 def test_compaction_leaves_a_changing_folder_alone(spark, tmp_path, monkeypatch):
