@@ -1,0 +1,138 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from streamsync.llm import packing, token_counts
+from streamsync.llm.packing import Capacity, best_fit
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+TEXTS = [
+    None, "", " ", "\n\n  \t", "Hello, it's us!! 12 ½ ²", "déjà-vu Ÿ İstanbul ﬁ", "日本語 text", "ümlaut  über\r\nalles",
+    "<|endoftext|> and <|startoftext|>", "a" * 5000, "word " * 3000, "é combining", "\x1c\x1d x\x85y\xa0z", "'re 're're",
+    "no​space \U0001f600", "ſt ŉ ª º µ", "don't DON'T we'LL",
+]
+
+
+def random_texts(n=300, seed=3):
+    draw = random.Random(seed)
+    alphabet = "abcXYZéßÑÿĳ  \n\t\xa0'.,!12½²$%-_/()" + "日́İ"
+    return ["".join(draw.choices(alphabet, k=draw.randrange(60))) for _ in range(n)]
+
+
+def test_ids_are_those_of_the_library():
+    tokenizer, encode = Tokenizer.from_file(BYTES), packing._encoder(BYTES)
+    for text in [t for t in TEXTS if t] + random_texts() + [chr(c) + "x " + chr(c) for c in range(0x180)]:
+        assert list(encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_counts_are_those_of_the_library():
+    tokenizer = Tokenizer.from_file(WORDS)
+    counter = token_counts.Counter(WORDS, token_counts.whole_tokens(WORDS))
+    for text in [t for t in TEXTS if t] + random_texts() + [chr(c) + "x " + chr(c) for c in range(0x180)]:
+        assert counter.count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids), repr(text)
+    long = " ".join(random_texts(2000, 4))
+    whole = len(tokenizer.encode(long, add_special_tokens=False).ids)
+    assert counter.count(long) == whole
+    cut = sum(counter._count(p) for p in token_counts.paragraphs("plain words " * 500, 100))
+    assert cut == 1000
+
+
+def test_whole_tokens_are_proved():
+    tokenizer, whole = Tokenizer.from_file(WORDS), token_counts.whole_tokens(WORDS)
+    assert len(whole) > 20_000 and "hello" in whole and "é" in whole
+    for text in random.Random(1).sample(sorted(whole), 300):
+        assert len(tokenizer.encode(text, add_special_tokens=False).ids) == 1
+
+
+def test_count_query(spark, documents):
+    docs = documents([(i, t, None, None) for i, t in enumerate(TEXTS)] + [(0, None, "en", "a")])
+    tokenizer = Tokenizer.from_file(WORDS)
+    rows = token_counts.count_tokens(docs, WORDS, limit=100).collect()
+    assert len(rows) == len(TEXTS) + 1
+    for row in rows:
+        text = TEXTS[row.doc_id] or ""
+        assert row.n_bytes == len(text.encode())
+        assert row.n_tokens == len(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert row.over_limit == (row.n_tokens > 100)
+    empty = token_counts.count_tokens(docs.limit(0), WORDS)
+    assert empty.count() == 0 and empty.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+
+
+def laid_out(rows, capacity):
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    limits = capacity.limits()
+    for pieces in by_sequence.values():
+        place = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == place
+            place += r.length
+        assert place <= limits[0] and len(pieces) <= limits[1]
+        assert sum(r.length**2 for r in pieces) <= limits[2]
+    return len(by_sequence)
+
+
+@pytest.mark.parametrize(
+    "capacity",
+    [Capacity(), Capacity(64, documents=3), Capacity(64, attention=900), Capacity(64, rule="dot"), Capacity(1)],
+)
+def test_packed_documents(spark, documents, capacity):
+    texts = [t for t in TEXTS if t is None or len(t) < 2000] if capacity.tokens == 1 else TEXTS
+    docs = documents([(i, t, "en", "s") for i, t in enumerate(texts)] + [(4, texts[4], None, None)] * 2)
+    tokenizer = Tokenizer.from_file(BYTES)
+    rows = packing.pack_documents(docs, BYTES, capacity).collect()
+    laid_out(rows, capacity)
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: (r.row, r.piece))
+        copies = {r.row for r in own}
+        assert len(copies) == (3 if i == 4 else 1)
+        for copy in copies:
+            pieces = [r for r in own if r.row == copy]
+            assert [r.piece for r in pieces] == list(range(len(pieces)))
+            assert [r.start for r in pieces] == list(np.cumsum([0] + [r.length for r in pieces])[:-1])
+            assert sum(r.length for r in pieces) == len(ids)
+            assert all(r.length == capacity.piece for r in pieces[1:])
+            assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in pieces)
+
+
+def test_nothing_to_pack(spark, documents):
+    assert packing.pack_documents(documents([]), BYTES).count() == 0
+
+
+def test_best_fit_is_close_to_the_bound():
+    lengths = np.random.default_rng(2).integers(1, 1024, 5000)
+    bins, offsets = best_fit(lengths, Capacity())
+    assert bins.max() + 1 <= 1.01 * lengths.sum() / 1024 + 1
+    filled = np.bincount(bins, weights=lengths)
+    assert filled.max() <= 1024
+    for rule in ("norm", "dot"):
+        bins, _ = best_fit(np.array([600, 424, 500, 524]), Capacity(rule=rule))
+        assert bins.max() == 1
+
+
+def test_wrong_capacities():
+    for wrong in (dict(tokens=0), dict(documents=0), dict(rule="first")):
+        with pytest.raises(ValueError):
+            Capacity(**wrong)
+
+
+def test_op1_and_op6_on_the_tables(spark):
+    from streamsync.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    rows = queries.op1_best_fit_packing(spark, sf).collect()
+    n = laid_out(rows, Capacity())
+    assert n <= 1.02 * sum(r.length for r in rows) / 1024 + 2
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    tokenizer = Tokenizer.from_file(WORDS)
+    counted = queries.op6_token_counts(spark, sf).collect()
+    assert len(counted) == len(docs)
+    assert all(r.n_tokens == len(tokenizer.encode(docs[r.doc_id] or "", add_special_tokens=False).ids) for r in counted)
