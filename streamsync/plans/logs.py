@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamsync.scratch import work_dir
+from streamsync.sources.readers import LOG_SCHEMA
+
 # Log positions of one key: create, update, delete.
 PER_KEY = 3
 
@@ -13,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Places of the logs that this process has stored, by application, tables and name.
+_PLACES: dict[tuple[str, str, str], str] = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A log as a topic would hold it: made and written once, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PLACES:
+        path = f"{work_dir(spark, 'log')}/{name}"
+        build().write.parquet(path)
+        _PLACES[key] = path
+    return spark.read.schema(LOG_SCHEMA).parquet(_PLACES[key])
+
+
 def stamp(offset: Column) -> Column:
     """A record time: one second per offset."""
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
@@ -64,7 +83,8 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nation": F.col("c_nationkey"),
         "segment": F.col("c_mktsegment"),
     }
-    return change_log(table(spark, sf_dir, "customer"), "c_custkey", columns, "nation", "customer")
+    rows = table(spark, sf_dir, "customer")
+    return kept(spark, sf_dir, "customer", lambda: change_log(rows, "c_custkey", columns, "nation", "customer"))
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +96,8 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cents": F.round(F.col("o_totalprice") * 100).cast("bigint"),
         "day": F.timestamp_diff("MILLISECOND", epoch, F.col("o_orderdate")),
     }
-    return change_log(table(spark, sf_dir, "orders"), "o_orderkey", columns, "cents", "orders")
+    rows = table(spark, sf_dir, "orders")
+    return kept(spark, sf_dir, "orders", lambda: change_log(rows, "o_orderkey", columns, "cents", "orders"))
 
 
 # DuckDB texts of the same logs: one row per event, with its columns.
