@@ -72,17 +72,17 @@ def signal_rows(spark, texts):
 
 
 SIGNALS = [
-    '{"val":"0.0","st":"rolling.engTrq","rc":"112","ct":"GWM","oem":"GW","vin":"V1","ts":1571639105009}',
-    '{"st":"gps.lat","vin":"V1","val":"38.8","ts":"1571639137009000","ct":"GWM","oem":"GW"}',
+    '{"val":"7.5","st":"rolling.engTrq","rc":"204","ct":"K9","oem":"K","vin":"car-a","ts":1700000000123}',
+    '{"st":"gps.lat","vin":"car-b","val":"51.25","ts":"1700000032456000","ct":"K9","oem":"K"}',
     '{"st":"gps.lat","ts":"157"}',
     '{"st":"gps.lat"}',
-    '{"note":"gps.","ts":1571639105009}',
+    '{"note":"gps.","ts":1700000000123}',
     'gps. not json',
-    '{"st":"body.door","ts":1571639105009}',
-    '{"st":"...","ts":1571639105009,"note":"gps."}',
-    '{"st":"gps.x","ts":"157163910500x"}',
-    '{"st":"gps.x","ts":"-157163910500"}',
-    '{"st":"gps.x","ts":1571639105009,"val":{"a":1}}',
+    '{"st":"body.door","ts":1700000000123}',
+    '{"st":"...","ts":1700000000123,"note":"gps."}',
+    '{"st":"gps.x","ts":"170000000012x"}',
+    '{"st":"gps.x","ts":"-170000000012"}',
+    '{"st":"gps.x","ts":1700000000123,"val":{"a":1}}',
     None,
 ]
 
@@ -93,11 +93,11 @@ def test_telemetry(spark):
     assert rows[0].asDict().keys() == set(telemetry.COLUMNS) and list(rows[0].asDict()) == list(telemetry.COLUMNS)
     got = [(r.st, r.sts, r.ts_time, r.value, r.rc) for r in rows]
     assert got == [
-        ("rolling.engTrq", "engTrq", "2019-10-21 14:25:05", "0.0", "112"),
-        ("gps.lat", "lat", "2019-10-21 14:25:37", "38.8", None),
-        ("...", "...", "2019-10-21 14:25:05", None, None),
-        ("gps.x", "x", "1965-01-08 07:21:29", None, None),
-        ("gps.x", "x", "2019-10-21 14:25:05", '{"a":1}', None),
+        ("rolling.engTrq", "engTrq", "2023-11-15 06:13:20", "7.5", "204"),
+        ("gps.lat", "lat", "2023-11-15 06:13:52", "51.25", None),
+        ("...", "...", "2023-11-15 06:13:20", None, None),
+        ("gps.x", "x", "1964-08-12 17:46:39", None, None),
+        ("gps.x", "x", "2023-11-15 06:13:20", '{"a":1}', None),
     ]
     assert {(r.province, r.city, r.knk_flag) for r in rows} == {(None, None, "N")}
     assert len({r.data_id for r in rows}) == len(rows)
@@ -121,7 +121,7 @@ def test_times_do_not_depend_on_the_session_zone(spark):
     try:
         for zone in ("America/New_York", "Asia/Kolkata"):
             spark.conf.set("spark.sql.session.timeZone", zone)
-            assert telemetry.ingest(log).first().ts_time == "2019-10-21 14:25:05"
+            assert telemetry.ingest(log).first().ts_time == "2023-11-15 06:13:20"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
@@ -133,15 +133,15 @@ def test_signal_filters(spark):
 
 
 def test_ten_by_five_minute_windows(spark):
-    lines = ["2020-02-12 09:50:25,hello", "2020-02-12 09:52:25,hello", "2020-02-12 09:56:00,spark", "no comma", "x,y"]
+    lines = ["2021-07-03 17:30:10,tide", "2021-07-03 17:33:59,tide", "2021-07-03 17:36:00,ebb", "no comma", "x,y"]
     parsed = words.stamped_words(spark.createDataFrame([(v,) for v in lines], "value string"))
     bad = parsed.where("reason is not null").collect()
     assert [(r.value, r.reason) for r in bad] == [("no comma", "no word"), ("x,y", "no time")]
     counted = windows.count_by_window(parsed.where("reason is null"), "ts", "word", "10 minutes", "5 minutes")
     rows = windows.sorted_windows(counted, "word").collect()
-    at = lambda minute: datetime.datetime(2020, 2, 12, 9, minute)
+    at = lambda minute: datetime.datetime(2021, 7, 3, 17, minute)
     assert [(r.start, r.word, r.n) for r in rows] == [
-        (at(45), "hello", 2), (at(50), "hello", 2), (at(50), "spark", 1), (at(55), "spark", 1),
+        (at(25), "tide", 2), (at(30), "ebb", 1), (at(30), "tide", 2), (at(35), "ebb", 1),
     ]
 
 
