@@ -8,11 +8,12 @@ prefix; classes meet there if their sizes and places allow the overlap (length a
 positional filter), then if the spread of their shingles over 64 ranges does (suffix
 filter), and each pair is verified once on the full sets.
 
-Large groups of copies are not taken pair by pair.  In rounds, the members of a prefix
-group are first compared with a leader and with their neighbour in size; what is linked
-counts as one component, of which a group has one member in the next round.  The pairs
-left after the rounds, between different components only, are all joined, so no link that
-matters is lost.
+Large groups of near copies are not written out pair by pair.  The members of a prefix
+group are first compared with a leader and with their neighbour in size.  Classes that
+resemble each other at least loosely make a cluster; a cluster whose links leave it in
+several components is compared within tasks, block by block, and only pairs of different
+components are.  The pairs left, between different clusters, are all joined.  So every
+pair of two components is either compared or ruled out by a filter that loses none.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ from streamsync.llm.shingles import set_names, shingle_sets
 WIDTH, PERCENT = 5, 80
 #: Shingles that a task of the index holds at once, about.
 POSTINGS = 1 << 22
-#: Least number of ranges of the index; rounds before the rest is joined.
-RANGES, ROUNDS = 16, 2
+#: Least number of ranges of the index; similarity in percent within a cluster.
+RANGES, LOOSE = 16, 40
+#: Classes of a cluster that a task compares with as many others.
+BLOCK = 1024
 #: Members of a prefix group that one task compares with one leader.
 SALTED = 2048
 
@@ -251,9 +254,10 @@ def _may_match(n: Column, place: Column, m: Column, other: Column, percent: int)
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
-def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of set ids that are alike enough.  First the suffix filter: of each
-    range of shingles two sets share no more than the smaller number."""
+def _verified(pairs: DataFrame, found: DataFrame, percent: int, least: int) -> DataFrame:
+    """The pairs (a, b) of set ids that are alike to ``least`` percent, and whether they
+    are to ``percent``.  First the suffix filter: of each range of shingles two sets share
+    no more than the smaller number."""
     light = found.select("set_id", "n", "spread")
     of_a = light.toDF("a_id", "a_n", "a_spread")
     of_b = light.toDF("b_id", "b_n", "b_spread")
@@ -268,7 +272,7 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
             sizes = np.asarray(batch.column("a_n")) + np.asarray(batch.column("b_n"))
             most = np.minimum(one, two).sum(axis=1, dtype=np.int64)
             full = (one == 65535).any(axis=1) | (two == 65535).any(axis=1)
-            keep = full | ((100 + percent) * most >= percent * sizes)
+            keep = full | ((100 + least) * most >= least * sizes)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     likely = both.select("a", "b", "a_n", "b_n", "a_spread", "b_spread").mapInArrow(near, "a long, b long")
@@ -278,16 +282,19 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, link = [], []
             columns = [batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_shared", "b_shared")]
             for n, m, one, two in zip(*columns):
                 every = np.sort(np.concatenate([np.frombuffer(one, "<u8"), np.frombuffer(two, "<u8")]))
                 common = int((every[1:] == every[:-1]).sum())
-                keep.append(100 * common >= percent * (n + m - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                keep.append(100 * common >= least * (n + m - common))
+                link.append(100 * common >= percent * (n + m - common))
+            pairs = [batch.column("a"), batch.column("b"), pa.array(link, pa.bool_())]
+            every = pa.RecordBatch.from_arrays(pairs, ["a", "b", "link"])
+            yield every.filter(pa.array(keep, pa.bool_()))
 
     wide = both.select("a", "b", "a_n", "b_n", "a_shared", "b_shared")
-    return wide.mapInArrow(alike, "a long, b long")
+    return wide.mapInArrow(alike, "a long, b long, link boolean")
 
 
 def _members(found: DataFrame, linked: DataFrame | None) -> DataFrame:
@@ -302,13 +309,10 @@ def _members(found: DataFrame, linked: DataFrame | None) -> DataFrame:
 
 def _proposed(members: DataFrame, percent: int) -> DataFrame:
     """For each class the leader and the neighbour in size that it meets most often."""
-    mine = F.struct("set_id", "n", "place", "classes").alias("who")
-    one = members.groupBy("shingle", "component").agg(F.min_by(mine, "set_id").alias("who"))
-    one = one.select("shingle", "component", "who.*")
     part = F.pmod(F.xxhash64("set_id"), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("classes") / SALTED)))
     group = Window.partitionBy("shingle", "part").orderBy("n", "set_id")
     other = F.struct("set_id", "n", "place")
-    met = one.withColumn("part", part).select(
+    met = members.withColumn("part", part).select(
         "set_id", "n", "place", F.first(other).over(group).alias("leader"), F.lag(other).over(group).alias("next")
     )
     each = met.select(
@@ -324,8 +328,73 @@ def _proposed(members: DataFrame, percent: int) -> DataFrame:
     return best.select(F.least("set_id", "other").alias("a"), F.greatest("set_id", "other").alias("b")).distinct()
 
 
+def _within(found: DataFrame, clusters: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of a cluster, enough of them to join all
+    that are linked.  A cluster's classes are dealt into blocks of about BLOCK; each pair
+    of blocks is a task's."""
+    own = clusters.select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
+    named = linked.select("node", F.col("component").alias("linked"))
+    own = own.join(named, F.col("set_id") == F.col("node"), "left")
+    own = own.select("set_id", "cluster", F.coalesce("linked", "set_id").alias("component"))
+    sizes = own.groupBy(F.col("cluster").alias("c")).agg(
+        F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    blocks = F.ceil(F.col("size") / BLOCK)
+    open_ = own.join(sizes.filter("least <> most"), F.col("cluster") == F.col("c")).select(
+        "set_id", "cluster", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("set_id"), blocks).alias("block")
+    )
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    dealt = open_.select("set_id", "cluster", "component", "block", other)
+    sets_ = found.select(F.col("set_id").alias("id"), "n", "shared")
+    dealt = dealt.join(sets_, F.col("set_id") == F.col("id")).select(
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "set_id", "component", "n", "shared",
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        block, low, high = (rows.column(c).to_numpy() for c in ("block", "low", "high"))
+        ids, of, n = (rows.column(c).to_numpy() for c in ("set_id", "component", "n"))
+        shared = [np.frombuffer(x.as_buffer(), "<u8") for x in rows.column("shared")]
+        sides = [np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])]
+        names, number = np.unique(of, return_inverse=True)
+        giant = np.bincount(number).argmax()
+        parent = list(range(len(names)))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found_a, found_b = [], []
+        for mine, theirs in (sides, sides[::-1])[: 1 if low[0] == high[0] else 2]:
+            minor = mine[number[mine] != giant]
+            if not len(minor) or not len(theirs):
+                continue
+            every = np.concatenate([shared[i] for i in theirs])
+            owner = np.repeat(np.arange(len(theirs)), [len(shared[i]) for i in theirs])
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            for i in minor:
+                begins = np.searchsorted(every, shared[i])
+                sizes = np.searchsorted(every, shared[i], side="right") - begins
+                place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                common = np.bincount(owner[np.repeat(begins, sizes) + place], minlength=len(theirs))
+                alike = 100 * common >= percent * (n[i] + n[theirs] - common)
+                for j in theirs[alike & (number[theirs] != number[i])]:
+                    a, b = root(number[i]), root(number[j])
+                    if a != b:
+                        parent[a] = b
+                        found_a.append(ids[i])
+                        found_b.append(ids[j])
+        yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
+
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(compare, "a long, b long")
+
+
 def _rest(members: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes of different components that meet in their prefixes."""
+    """Every pair of classes of different clusters that meet in their prefixes."""
     mixed = members.groupBy(F.col("shingle").alias("s")).agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     )
@@ -348,14 +417,15 @@ def links(docs: DataFrame, shingles: int, width: int = WIDTH, percent: int = PER
     bits = max(RANGES - 1, -(-shingles // POSTINGS) - 1).bit_length()
     blocks = _shared(_index(docs, width, bits), bits)
     found = stored(_candidates(blocks, percent), "shared-shingles")
-    edges, linked = None, None
-    for _ in range(ROUNDS):
-        pairs = _proposed(_members(found, linked), percent)
-        new = stored(_verified(pairs, found, percent), "links")
-        edges = new if edges is None else edges.union(new)
-        linked = stored(components(edges), "components")
-    new = stored(_verified(_rest(_members(found, linked), percent), found, percent), "links")
-    return stored(components(edges.union(new)), "components")
+    pairs = _proposed(_members(found, None), percent)
+    near = stored(_verified(pairs, found, percent, min(LOOSE, percent)), "near-pairs")
+    edges = near.filter("link").select("a", "b")
+    clusters = stored(components(near.select("a", "b")), "clusters")
+    linked = stored(components(edges), "components")
+    inside = stored(_within(found, clusters, linked, percent), "links-within")
+    rest = _rest(_members(found, clusters), percent)
+    between = stored(_verified(rest, found, percent, percent).select("a", "b"), "links-between")
+    return stored(components(edges.union(inside).union(between)), "components")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
