@@ -18,6 +18,12 @@ def check_file_sink(fmt: str, mode: str) -> None:
         raise ValueError("a file sink can only append")
 
 
+def check_checkpoint(checkpoint: str) -> None:
+    """T5: a query without a checkpoint would start anew each time."""
+    if not checkpoint:
+        raise ValueError("a streaming query needs a checkpoint folder")
+
+
 def file_stream(
     rows: DataFrame,
     path: str,
@@ -34,6 +40,7 @@ def file_stream(
     where fewer files per batch are wanted.
     """
     check_file_sink(fmt, mode)
+    check_checkpoint(checkpoint)
     if output_files is not None:
         rows = rows.coalesce(output_files)
     writer = rows.writeStream.format(fmt.lower()).outputMode("append").options(**options)
@@ -46,6 +53,7 @@ def console_stream(
     rows: DataFrame, checkpoint: str, mode: str = "append", truncate: bool = False
 ) -> DataStreamWriter:
     """K3: print each batch."""
+    check_checkpoint(checkpoint)
     return (
         rows.writeStream.format("console")
         .outputMode(mode)

@@ -15,7 +15,7 @@ from streamsync.operators.casting import cast_failure
 from streamsync.operators.offsets import EARLIEST, after, seed, starting_offsets
 from streamsync.scratch import file_system
 from streamsync.sinks import catalog, jdbc
-from streamsync.sinks.files import file_stream
+from streamsync.sinks.files import check_checkpoint, file_stream
 from streamsync.sources import readers
 from streamsync.streaming.batches import LOOSE_BATCHES, State, batch_writer, query_id
 
@@ -36,8 +36,7 @@ def for_each_batch(
     rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> DataStreamWriter:
     """A micro-batch writer with checkpointed progress."""
-    if not checkpoint:
-        raise ValueError("a streaming query needs a checkpoint folder")
+    check_checkpoint(checkpoint)
     return (
         rows.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -177,6 +176,7 @@ def run_sync(
     sink; where it has a state, a second query over the same log records its positions
     and its quarantine.
     """
+    check_checkpoint(config.file.checkpoint)
     interval = None if once else config.interval
     state = State(config.state_path, config.app) if config.state_path else None
     if state is not None:

@@ -269,9 +269,23 @@ def test_console_stream(spark, tmp_path):
     finish(files.console_stream(readers.text_lines(spark, f"{tmp_path}/in"), f"{tmp_path}/c"))
 
 
+BARE = {
+    "syncSpark": {"sparkAppName": "app", "interval": 1, "writeType": "file"},
+    "syncColumns": [{"colIndex": 1, "typeName": "number", "colName": "id"}],
+    "syncSource": {"path": "x"},
+}
+
+
 def test_a_stream_needs_a_checkpoint(spark):
-    with pytest.raises(ValueError):
-        for_each_batch(readers.rate(spark), print, "")
+    rows = readers.rate(spark)
+    for build in (
+        lambda: for_each_batch(rows, print, ""),
+        lambda: files.file_stream(rows, "x", ""),
+        lambda: files.console_stream(rows, ""),
+        lambda: run_sync(spark, parse(json.dumps({**BARE, "syncFile": {"writePath": "x"}}))),
+    ):
+        with pytest.raises(ValueError, match="checkpoint"):
+            build()
 
 
 def test_timed_trigger(spark, tmp_path):
