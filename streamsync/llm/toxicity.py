@@ -18,6 +18,8 @@ that goes with its worst word.
 from __future__ import annotations
 
 import itertools
+import pickle
+import zlib
 from collections import Counter
 from typing import Iterator
 
@@ -321,8 +323,18 @@ def fit(
     few = bounded_sample(known, "toxic", {0: 2 * per_clean, 1: 2 * per_toxic})  # so many ids
     texts = docs.select("doc_id", "text").filter(F.length("text").between(1, LONGEST_SAMPLE))
     rows = texts.join(F.broadcast(few), F.col("doc_id") == F.col("labelled")).select("toxic", "text")
-    found = bounded_sample(rows, "toxic", {0: per_clean, 1: per_toxic}).collect()
-    return learn([r["text"] for r in found], [r["toxic"] for r in found])
+    found = bounded_sample(rows, "toxic", {0: per_clean, 1: per_toxic})
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch["text"].tolist()
+            toxic += batch["toxic"].tolist()
+        yield pd.DataFrame({"model": [zlib.compress(pickle.dumps(learn(texts, toxic)), 1)]})
+
+    # the bounded sample is one task's, so that no text and no kernel is in the driver
+    trained = found.repartition(1).mapInPandas(train, "model binary").collect()
+    return pickle.loads(zlib.decompress(trained[0][0])) if trained else learn([], [])
 
 
 def scored(spark: SparkSession, text: Column, model: Model) -> Column:
