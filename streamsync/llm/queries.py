@@ -67,6 +67,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+OP7_WARC = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) n, sha1(coalesce(html, '')) d from pages),
+g as (select d, max(page_id) keeper from p where n >= 1000 group by d)
+select page_id, n::bigint payload_bytes, d payload_digest,
+  case when keeper <> page_id then 'revisit' else 'response' end record_type,
+  case when keeper <> page_id then keeper end refers_to
+from p left join g using (d)"""
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -93,7 +103,7 @@ QUERIES = {
     "op4_url_filter": (op4_url_filter, None),
     "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, None),
     "op6_token_counts": (op6_token_counts, None),
-    "op7_warc": (op7_warc, None),
+    "op7_warc": (op7_warc, OP7_WARC),
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_source_mixing": (op10_source_mixing, None),
