@@ -13,14 +13,17 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamsync.llm.common import stored
 
-#: Bits of a coordinate on the curve.
-BITS = 6
+#: Bits of a coordinate on the curve, if the key has room for them: so fine that the rows of
+#: a tight cluster keep an order of their own along each curve.
+BITS = 15
+#: An ordering's grid is shifted by up to this part of its width.
+SHIFT = 1 / 64
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -70,10 +73,19 @@ def curve_keys(vectors: np.ndarray, directions: np.ndarray, shift: np.ndarray) -
     A coordinate of a unit vector of d components is about 1/sqrt(d); the grid spans four
     times that to either side, and what lies outside sits on its rim.
     """
-    cells = 1 << BITS
+    bits = min(BITS, 63 // directions.shape[1])
+    cells = 1 << bits
     spread = vectors @ directions * np.sqrt(vectors.shape[1]) / 8 + 0.5
-    cell = np.floor(spread * cells + shift)
-    return hilbert_keys(np.clip(cell, 0, cells - 1).astype(np.int64))
+    cell = np.floor((spread + shift * SHIFT) * cells)
+    return hilbert_keys(np.clip(cell, 0, cells - 1).astype(np.int64), bits)
+
+
+def direction(embedding: str) -> Column:
+    """The components over the largest one, in double precision: the same for all positive
+    multiples of a vector."""
+    wide = F.col(embedding).cast("array<double>")
+    largest = F.array_max(F.transform(wide, F.abs))
+    return F.transform(wide, lambda x: x / largest)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -132,17 +144,20 @@ def search(
 
     ``vectors`` has vec_id, embedding and query.  In each ordering a query meets the
     windows around its own that hold ``share`` of all rows.  Score is the cosine in double
-    precision; ties go to the smaller vec_id.  Equal vectors are searched once and stand
-    for their ids; a query is not its own neighbour.  With few rows fewer are returned.
+    precision; ties go to the smaller vec_id.  Vectors of one direction are searched once and
+    stand for their ids; a query is not its own neighbour.  With few rows fewer are returned.
     """
     spark = vectors.sparkSession
     rows = stored(usable(vectors), "vectors")
-    # one row a distinct vector, with its k + 1 smallest ids: all that a query can need
-    nth = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    few = rows.withColumn("nth", nth).filter(F.col("nth") <= k + 1)
-    asked = rows.filter("query").select(F.col("embedding").alias("asked")).distinct()
-    distinct = few.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    distinct = distinct.join(asked, F.col("embedding") == F.col("asked"), "left")
+    # one row a direction, with its k + 1 smallest ids: all that a query can need
+    turned = rows.withColumn("direction", direction("embedding"))
+    nth = F.dense_rank().over(Window.partitionBy("direction").orderBy("vec_id"))
+    few = turned.withColumn("nth", nth).filter(F.col("nth") <= k + 1)
+    asked = turned.filter("query").select(F.col("direction").alias("asked")).distinct()
+    distinct = few.groupBy("direction").agg(
+        F.sort_array(F.collect_set("vec_id")).alias("ids"), F.min(F.struct("vec_id", "embedding"))["embedding"].alias("embedding")
+    )
+    distinct = distinct.join(asked, F.col("direction") == F.col("asked"), "left")
     distinct = stored(
         distinct.select(F.col("ids")[0].alias("vid"), "ids", "embedding", F.col("asked").isNotNull().alias("query")),
         "distinct-vectors",
@@ -159,14 +174,15 @@ def search(
     few = found.groupBy("query_vid", "vid").agg(F.max("score").alias("score"))
     few = few.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1)
     named = few.join(distinct.select(F.col("vid").alias("v"), "ids"), F.col("vid") == F.col("v"))
-    # a vector stands for its ids, so k + 1 vectors give k + 1 ids or more
+    # a direction stands for its ids, so k + 1 directions give k + 1 ids or more
     each = named.select("query_vid", "score", F.explode("ids").alias("vec_id"))
     nearest = Window.partitionBy("query_vid").orderBy(F.desc("score"), "vec_id")
     each = each.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= k + 1)
     lists = each.groupBy("query_vid").agg(F.collect_list(F.struct("nth", "vec_id", "score")).alias("list"))
-    of_vector = distinct.filter("query").select("embedding", F.col("vid").alias("query_vid")).join(lists, "query_vid")
-    asking = rows.filter("query").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("own"))
-    answers = asking.join(of_vector, F.col("own") == F.col("embedding"))
+    of_vector = distinct.filter("query").select(direction("embedding").alias("direction"), F.col("vid").alias("query_vid"))
+    of_vector = of_vector.join(lists, "query_vid")
+    asking = turned.filter("query").select(F.col("vec_id").alias("query_id"), F.col("direction").alias("own"))
+    answers = asking.join(of_vector, F.col("own") == F.col("direction"))
     others = F.filter(F.sort_array("list"), lambda r: r["vec_id"] != F.col("query_id"))
     return answers.select("query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id"), F.col("hit.score")
@@ -193,7 +209,9 @@ def _placed(distinct: DataFrame, curves: list, total: int) -> DataFrame:
     keyed = distinct.select("vid", "embedding").mapInPandas(walk, "vid long, ordering int, key long")
     parts = max(len(curves), -(-total * len(curves) // 65536))
     keyed = stored(keyed, "curve-keys")
-    order = ["ordering", "key", "vid"]
+    # equal keys stand in another order along each curve
+    order = ["ordering", "key", "tie", "vid"]
+    keyed = keyed.withColumn("tie", F.xxhash64("ordering", "vid"))
     along = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,7 +221,7 @@ def _placed(distinct: DataFrame, curves: list, total: int) -> DataFrame:
             base = rows["ordering"].map(lambda o: seen.get(o, 0)).to_numpy()
             for o, n in rows["ordering"].value_counts().items():
                 seen[o] = seen.get(o, 0) + n
-            yield rows.drop(columns="key").assign(part=part, nth=nth + base)
+            yield rows.drop(columns=["key", "tie"]).assign(part=part, nth=nth + base)
 
     numbered = stored(along.mapInPandas(count, "vid long, ordering int, part int, nth long"), "curve-order")
     sizes = numbered.groupBy("ordering", "part").count().collect()  # a row a partition

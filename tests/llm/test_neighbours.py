@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from streamsync.llm import neighbours
@@ -73,6 +74,27 @@ def test_doubles_keep_their_precision(spark):
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])][0] == 1
 
 
+@pytest.mark.parametrize("noise", [1e-3, 1e-5])
+def test_recall_in_a_tight_cluster_over_many_windows(spark, noise):
+    draw = np.random.default_rng(3)
+    values = draw.normal(size=(6000, 32)) / 32**0.5
+    middle = draw.normal(size=32)
+    values[::3] = middle / np.linalg.norm(middle) + noise * draw.normal(size=(2000, 32))
+    rows = [(i, v.tolist(), i % 120 == 0) for i, v in enumerate(values)]  # queries from the cluster
+    vectors = vectors_table(spark, rows, "double")
+    assert neighbours.recall(neighbours.search(vectors, k=5, window=64), vectors) >= 0.9
+
+
+def test_multiples_of_a_vector_are_one_direction(spark):
+    draw = np.random.default_rng(4)
+    values = draw.integers(-9, 10, size=(3000, 8)).astype(float)
+    values[1000:] = np.outer(np.arange(1, 2001), values[0])
+    rows = [(i, v.tolist(), i in (0, 2999)) for i, v in enumerate(values)]
+    got = found(neighbours.search(vectors_table(spark, rows), k=5, window=32))
+    assert [r[:3] for r in got if r[0] == 2999] == [(2999, n + 1, v) for n, v in enumerate([0, 1000, 1001, 1002, 1003])]
+    assert [r[2] for r in got if r[0] == 0] == [1000, 1001, 1002, 1003, 1004]
+
+
 def test_op9_recall(spark):
     from streamsync.llm import queries
 
