@@ -2,8 +2,9 @@
 
 Two words are alike by the runs of four characters that both have, also with another
 character between any two of them, each gap weighing less; so an insult with characters
-put in or left out still resembles itself.  Signs inside words are passed over, and
-letters that stand apart are read as one word.  A word's edges count as characters.  The kernel is approximated by its values at
+put in or left out still resembles itself.  Signs inside words are read both as nothing
+and as ends, and letters that stand apart are read as one word.  Long words are also read
+piece by piece.  A word's edges count as characters.  The kernel is approximated by its values at
 landmark words, a linear support vector machine is trained on them, and, since the kernel
 is linear in its runs, the machine folds into one table of weights of runs.  Scoring a
 text is then a pass over its characters, and no word is too rare for it.
@@ -11,17 +12,20 @@ text is then a pass over its characters, and no word is too rare for it.
 Labels belong to texts, and an insult to one of its sentences.  The words that speak for a
 toxic text's sentences are those that labelled toxic texts have much oftener than clean
 ones; words of clean texts stand against them, above all those that the machine took for
-insults in the round before.  A text's score is the chance
-that goes with its worst word.
+insults in the round before.  Toxic texts without such a word are explained by windows of
+two or three words, whose runs go across the edges between them; if there are such
+phrases, a second machine learns them against clean windows.  A text's score is the chance
+that goes with its worst word, piece or window.
 """
 
 from __future__ import annotations
 
 import itertools
 import pickle
+import re
 import zlib
 from collections import Counter
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,10 @@ PER_TOXIC, PER_CLEAN, LONGEST_SAMPLE = 1500, 5000, 40_000
 LANDMARKS, ORDER, STEPS, DECAY = 800, 4, 2, 0.8
 #: Codes of characters (as bits), and of runs once hashed.
 CODE_BITS, RUN_BITS = 6, 21
+#: Words of more than LONG characters are also read as pieces of PIECES characters.
+LONG, PIECES = 12, range(4, 13)
+#: Words of a window, and clean pieces and windows from which a machine's examples are taken.
+WINDOWS, POOL = (2, 3), 30_000
 #: Characters scored at once; a word longer than this is cut.
 SLICE = 1 << 18
 PENALTY = 300.0
@@ -45,17 +53,17 @@ THRESHOLD = 0.7
 
 def _alphabet() -> np.ndarray:
     """1-26 letters, 27 digits, 29-60 letters of Latin-1, 61-62 any other letter; 0 white
-    space, SIGN for what is passed over."""
-    codes = np.zeros(0x250, np.uint8)
-    for c in range(0x250):
+    space, SIGN for signs, also those of U+2000 to U+206F."""
+    codes = np.zeros(0x3001, np.uint8)
+    for c in range(0x3001):
         text = chr(c)
         if "a" <= text <= "z":
             codes[c] = c - 96
-        elif text.isdigit():
+        elif text.isdigit() and c < 0x250:
             codes[c] = 27
         elif 0xDF <= c <= 0xFF and text.isalpha():
             codes[c] = 29 + c - 0xDF
-        elif text.isalpha():
+        elif text.isalpha() or 0x250 <= c and not text.isspace() and not 0x2000 <= c < 0x2070:
             codes[c] = 61 + c % 2
         elif not text.isspace():
             codes[c] = SIGN
@@ -64,6 +72,7 @@ def _alphabet() -> np.ndarray:
 
 SIGN, EDGE = 255, 63
 _CODES = _alphabet()
+_SIGNS = re.compile(f"[{re.escape(''.join(map(chr, np.flatnonzero(_CODES == SIGN))))}]+")
 #: The places of each kind of run after its first character, and its weight.
 _KINDS = [
     (tuple(itertools.accumulate(steps)), DECAY ** (sum(steps) - len(steps)))
@@ -76,9 +85,33 @@ _NORMS = np.array(
 )
 
 
+def _raw(text: str) -> np.ndarray:
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where(code <= 0x3000, _CODES[np.minimum(code, 0x3000)], 61 + code % 2)
+
+
 def encode(text: str) -> np.ndarray:
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    code = np.where(code < 0x250, _CODES[np.minimum(code, 0x24F)], 61 + code % 2)
+    code = _raw(text.lower())
+    return edged(code[code != SIGN])
+
+
+def parted(text: str) -> np.ndarray:
+    """The words that have a sign within, with signs as ends."""
+    code = _raw(text.lower())
+    letter = (code > 0) & (code != SIGN)
+    begins, ends = spans(code)
+    if not len(begins):
+        return edged(code)
+    pieces = np.add.reduceat(letter & ~np.append(False, letter[:-1]), begins, dtype=np.int64)
+    letter[code > 0] &= np.repeat(pieces > 1, ends - begins)
+    return edged(np.where(letter, code, 0))
+
+
+def coded(units: list[str]) -> np.ndarray:
+    """Words or windows (words with a space between) as ``encode`` has words."""
+    text = "\n".join(units).lower()
+    code = _raw(text)
+    code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") == 32] = EDGE
     return edged(code[code != SIGN])
 
 
@@ -135,24 +168,119 @@ def decisions(code: np.ndarray, table: np.ndarray, bias: float) -> np.ndarray:
     return total / np.sqrt(np.maximum(size, 1.0)) + bias
 
 
+def _hashed(*codes: np.ndarray) -> np.ndarray:
+    run = codes[0]
+    for code in codes[1:]:
+        run = (run << np.uint32(CODE_BITS)) | code
+    return (run * np.uint32(0x9E3779B1)) >> np.uint32(32 - RUN_BITS)
+
+
+def long_words(code: np.ndarray) -> np.ndarray:
+    """The characters of words longer than LONG, a zero after each word."""
+    begins, ends = spans(code)
+    inside = np.zeros(len(code), bool)
+    inside[code > 0] = np.repeat(ends - begins - 2 > LONG, ends - begins)
+    inside[begins] = False
+    return np.where(code == EDGE, 0, code)[inside].astype(np.uint32)
+
+
+def pieces_worst(chars: np.ndarray, table: np.ndarray, bias: float) -> float:
+    """The highest value of any piece of long words, each piece as a word of its own.
+
+    A piece's runs within come from running sums; those with its first or last edge
+    depend on one end only, or on both for the shortest pieces.
+    """
+    n, most = len(chars), -np.inf
+    if n < PIECES[0]:
+        return most
+    tail = np.append(chars, np.zeros(_WIDEST + 1, np.uint32))
+    inner, first, last, both = np.zeros((4, _WIDEST + 1, n + 1))
+    edge = np.uint32(EDGE)
+    for (a, b, c), weight in _KINDS:
+        at = np.arange(n)
+        within = np.float32(weight) * table[_hashed(chars, tail[at + a], tail[at + b], tail[at + c])]
+        inner[c, 1:] += within  # after their running sum: the sum before each place
+        first[c, :n] += weight * table[_hashed(np.full(n, edge), tail[at + a - 1], tail[at + b - 1], tail[at + c - 1])]
+        if n >= c:
+            last[c, c:] += weight * table[_hashed(tail[: n - c + 1], tail[a : n - c + 1 + a], tail[b : n - c + 1 + b], np.full(n - c + 1, edge))]
+        both[c, :n] += weight * table[_hashed(np.full(n, edge), tail[at + a - 1], tail[at + b - 1], np.full(n, edge))]
+    inner = np.cumsum(inner, axis=1)
+    gaps = np.append(0, np.cumsum(chars == 0))
+    for size in PIECES:
+        m = n - size + 1
+        if m < 1:
+            break
+        whole = gaps[size : size + m] == gaps[:m]
+        if not whole.any():
+            continue
+        total = np.zeros(m)
+        for c in range(ORDER - 1, _WIDEST + 1):
+            if c < size:
+                total += inner[c, size - c : size - c + m] - inner[c, :m]
+            if c <= size:
+                total += first[c, :m] + last[c, size : size + m]
+            if c == size + 1:
+                total += both[c, :m]
+        norm = _NORMS[np.minimum(np.arange(size + 2), _WIDEST)].sum()
+        most = max(most, float(total[whole].max() / np.sqrt(max(norm, 1.0))))
+    return most + bias
+
+
+def windows_worst(code: np.ndarray, table: np.ndarray, bias: float) -> float:
+    """The highest value of any window of WINDOWS words; one edge stands between two words."""
+    line = code[code > 0].astype(np.uint32)
+    line = line[(line != EDGE) | (np.append(0, line[:-1]) != EDGE)]
+    words = np.count_nonzero(line == EDGE) - 1
+    if words < WINDOWS[0]:
+        return -np.inf
+    here = np.cumsum(line == EDGE) - 1  # the word of a run that begins here
+    there = here - (line == EDGE)  # and of one that ends here
+    sums, sizes = np.zeros((2, WINDOWS[-1], words + 1))
+    for last in range(ORDER - 1, min(_WIDEST, len(line) - 1) + 1):
+        n, value, square = len(line) - last, 0.0, 0.0
+        for steps, weight in _KINDS:
+            if steps[-1] == last:
+                value = value + weight * table[_hashed(line[:n], *(line[step : n + step] for step in steps))]
+                square += weight * weight
+        over = there[last:] - here[:n]  # edges between the run's ends
+        for k in range(WINDOWS[-1]):
+            sums[k] += np.bincount(here[:n][over == k], value[over == k], words + 1)
+            sizes[k] += square * np.bincount(here[:n][over == k], minlength=words + 1)
+    before_sums, before_sizes = (np.append(np.zeros((WINDOWS[-1], 1)), np.cumsum(x, axis=1), axis=1) for x in (sums, sizes))
+    most = -np.inf
+    for size in WINDOWS:
+        m = words - size + 1
+        if m > 0:
+            total, norm = (
+                sum(x[k, size - k : size - k + m] - x[k, :m] for k in range(size)) for x in (before_sums, before_sizes)
+            )
+            most = max(most, float((total / np.sqrt(np.maximum(norm, 1.0))).max()))
+    return most + bias
+
+
 class Model:
-    """A table of weights of runs, a bias, and the scale and shift of chances."""
+    """A table of weights of runs, a bias, and the scale and shift of chances; of windows,
+    if any are toxic, another table and bias."""
 
-    def __init__(self, table: np.ndarray, bias: float, scale: float, shift: float):
-        self.table, self.bias, self.scale, self.shift = table, bias, scale, shift
+    def __init__(self, table: np.ndarray, bias: float, scale: float, shift: float, windows: tuple | None = None):
+        self.table, self.bias, self.scale, self.shift, self.windows = table, bias, scale, shift, windows
 
     def worst(self, text: str) -> float:
         """The highest value of any word; the bias alone without words."""
         most = self.bias
         for begin in range(0, len(text), SLICE):
             # words and spelled-apart runs that a slice's end cuts are seen whole once
-            code = encode(text[max(0, begin - 64) : begin + SLICE])
-            values = decisions(code, self.table, self.bias)
-            if len(values):
-                most = max(most, float(values.max()))
+            part = text[max(0, begin - 64) : begin + SLICE]
+            for code in (encode(part), parted(part)):
+                values = decisions(code, self.table, self.bias)
+                if not len(values):
+                    continue
+                most = max(most, float(values.max()), pieces_worst(long_words(code), self.table, self.bias))
                 apart = joined_letters(code, *spans(code))
                 if len(apart):
                     most = max(most, float(decisions(apart, self.table, self.bias).max()))
+                if self.windows:
+                    most = max(most, windows_worst(code, *self.windows))
         return most
 
     def score(self, text: str | None) -> float:
@@ -163,7 +291,7 @@ class Model:
 def _sparse(words: list[str], known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Normalised runs of words, by rising word: (word, column, value); ``known`` has the
     column of each run, -1 for none."""
-    code = encode(" ".join(words))
+    code = coded(words)
     begins, ends = spans(code)
     found = []
     for at, what, weight in runs(code, begins, ends):
@@ -196,7 +324,7 @@ def _ends_norm(code: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> np.nd
 
 def _columns(words: list[str]) -> np.ndarray:
     """A column for each run that the words have."""
-    code = encode(" ".join(words))
+    code = coded(words)
     found = np.unique(np.concatenate([what for _, what, _ in runs(code, *spans(code))]))
     known = np.full(1 << RUN_BITS, -1, np.int32)
     known[found] = np.arange(len(found))
@@ -223,7 +351,7 @@ class _Machine:
         self.table[known >= 0] = marks @ (whiten @ machine)
 
     def values(self, words: list[str]) -> np.ndarray:
-        return decisions(encode(" ".join(words)), self.table, self.bias)
+        return decisions(coded(words), self.table, self.bias)
 
 
 def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11) -> Model:
@@ -233,9 +361,7 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
     for i in order:  # equal texts count once; the higher label stands
         seen[texts[i]] = max(seen.get(texts[i], 0), labels[i])
     same: dict[str, str] = {}
-    words = [
-        sorted({same.setdefault(w, w) for w in t.lower().split() if 3 <= len(w) <= 64}) for t in seen
-    ]
+    words = [sorted({same.setdefault(w, w) for w in _words(t) if 3 <= len(w) <= 64}) for t in seen]
     toxic = np.array(list(seen.values())) == 1
     if toxic.all() or not toxic.any():
         always = 10.0 if len(toxic) and toxic.all() else -10.0
@@ -246,23 +372,105 @@ def learn(texts: list[str], labels: list[int], rounds: int = 4, seed: int = 11)
     bad_texts = [w for w, t, h in zip(words, toxic, held) if t and not h]
     good_texts = [w for w, t, h in zip(words, toxic, held) if not t and not h]
     in_bad = Counter(w for t in bad_texts for w in t)
-    telling = _telling(bad_texts, good_texts)
+    chosen = _telling(bad_texts, good_texts)
+    telling = {w for w in in_bad if not chosen.isdisjoint(_units([w]))}
     good_words = sorted({w for t in good_texts for w in t})
     random.shuffle(good_words)
-    against, hard, machine = good_words[:4000], [], None
-    for _ in range(rounds):
+    pieces = sorted({w[i : i + n] for w in good_words if len(w) > LONG for n in PIECES for i in range(len(w) - n + 1)})
+    pieces = [pieces[i] for i in random.permutation(len(pieces))[:POOL]]
+    lines = [_SIGNS.sub("", t.lower()).split() for t, w, bad, h in zip(seen, words, toxic, held) if bad and not h and telling.isdisjoint(w)]
+    clean = (_SIGNS.sub("", t.lower()).split() for t, bad, h in zip(seen, toxic, held) if not bad and not h)
+    phrases, others = _windows(lines, clean, random)
+    windows = None
+    if phrases:
+        machine = _trained(phrases, others, [], rounds)
+        windows = machine.table, machine.bias
+    if telling or not phrases:
         bad = sorted(telling or set(in_bad), key=lambda w: (-in_bad[w], w))[:3000]
-        marks = {*bad[: LANDMARKS // 4], *_spread(sorted(bad), LANDMARKS // 6), *hard[: LANDMARKS // 3]}
-        marks.update(against[: LANDMARKS - len(marks)])
-        machine = _Machine(against, bad, [in_bad[w] for w in bad], sorted(marks))
-        # clean words that the machine takes for insults stand against it next
-        values = machine.values(good_words)
-        hard = [good_words[i] for i in np.argsort(-values)[:1500]]
-        against = list(dict.fromkeys(against + hard))
-    rough = Model(machine.table, machine.bias, 1.0, 0.0)
+        machine = _trained({w: in_bad[w] for w in bad}, good_words, pieces, rounds)
+        table, bias = machine.table, machine.bias
+    else:  # no word is toxic by itself
+        table, bias = np.zeros(1 << RUN_BITS, np.float32), -1.0
+    rough = Model(table, bias, 1.0, 0.0, windows)
     worst = np.array([rough.worst(t) for t, h in zip(seen, held) if h])
     scale, shift = fit_logistic(worst, toxic[held]) if len(worst) else (1.0, 0.0)
-    return Model(machine.table, machine.bias, scale, shift)
+    return Model(table, bias, scale, shift, windows)
+
+
+def _trained(bad: dict[str, int], good: list[str], more: list[str], rounds: int) -> _Machine:
+    """The machine of toxic units, commonest first, against clean ones; ``more`` are clean
+    units too, learned from only if they are taken for toxic."""
+    against, hard, machine = good[:4000], [], None
+    pool = good + more
+    for _ in range(rounds):
+        marks = {*list(bad)[: LANDMARKS // 4], *_spread(sorted(bad), LANDMARKS // 6), *hard[: LANDMARKS // 3]}
+        marks.update(against[: LANDMARKS - len(marks)])
+        machine = _Machine(against, list(bad), list(bad.values()), sorted(marks))
+        # clean units that the machine takes for toxic stand against it next
+        values = machine.values(pool)
+        hard = [pool[i] for i in np.argsort(-values)[:1500]]
+        against = list(dict.fromkeys(against + hard))
+    return machine
+
+
+def _words(text: str) -> set[str]:
+    """A text's words, with signs as nothing and as ends."""
+    text = text.lower()
+    return {*_SIGNS.sub("", text).split(), *_SIGNS.sub(" ", text).split()}
+
+
+def _windows(bad: list[list[str]], good: Iterator[list[str]], random: np.random.Generator) -> tuple[dict[str, int], list[str]]:
+    """The windows of words that explain toxic texts, commonest first, with their counts, and
+    clean windows: those with words of these, and others.
+
+    ``bad`` are texts that no single word explains.  Windows are counted by 64-bit keys, so
+    that only few become strings.
+    """
+    if not bad:
+        return {}, []
+    ids: dict[str, int] = {}
+
+    def numbered(words: list[str]) -> np.ndarray:
+        return np.array([ids.setdefault(w, len(ids) + 1) for w in words], np.uint64)
+
+    def keys(text: np.ndarray, n: int) -> np.ndarray:
+        key = np.zeros(max(0, len(text) - n + 1), np.uint64)
+        for i in range(n):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + text[i : len(key) + i] + np.uint64(n)
+        return key
+
+    def all_keys(text: np.ndarray) -> np.ndarray:
+        return np.unique(np.concatenate([keys(text, n) for n in WINDOWS]))
+
+    bad, good = [numbered(t) for t in bad], [numbered(t) for t in good]
+    found, times = np.unique(np.concatenate([all_keys(t) for t in bad]), return_counts=True)
+    found = found[times > 1]
+
+    def units(text: np.ndarray) -> set[int]:
+        own = all_keys(text)
+        return set(own[np.isin(own, found)].tolist())
+
+    chosen = _telling(bad, good, units)
+    if not chosen:
+        return {}, []
+    names = ["", *ids]
+    listed = np.array(sorted(chosen), np.uint64)
+    counts: Counter[str] = Counter()
+    for text in bad:
+        here = {tuple(text[i : i + n].tolist()) for n in WINDOWS for i in np.flatnonzero(np.isin(keys(text, n), listed))}
+        counts.update(" ".join(names[i] for i in window) for window in here)
+    known = np.array(sorted({ids[w] for phrase in counts for w in phrase.split()}), np.uint64)
+    clean: set[str] = set()
+    each = max(4, POOL // max(1, len(good)))
+    for text in good:
+        alike = np.flatnonzero(np.isin(text, known))
+        for at in (random.permutation(alike)[:each], random.integers(0, max(1, len(text)), each)):
+            for i, n in itertools.product(at.tolist(), WINDOWS):
+                for begin in range(max(0, i - n + 1), min(i, len(text) - n) + 1):
+                    clean.add(" ".join(names[j] for j in text[begin : begin + n].tolist()))
+    others = sorted(clean - set(counts))
+    random.shuffle(others)
+    return dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:1500]), others[: 2 * POOL]
 
 
 def _units(words: list[str]) -> set[str]:
@@ -270,25 +478,25 @@ def _units(words: list[str]) -> set[str]:
     return {*words, *(w[:n] + "*" for w in words for n in (4, 5) if len(w) > n)}
 
 
-def _telling(bad_texts: list[list[str]], good_texts: list[list[str]], rounds: int = 10) -> set[str]:
-    """The words that explain toxic texts.
+def _telling(bad_texts: list, good_texts: list, units: Callable = _units, rounds: int = 10) -> set:
+    """The units that explain toxic texts.
 
-    Candidates are words and beginnings that toxic texts have 20 times as often as clean
+    Candidates are units (words and beginnings, or windows) that toxic texts have 20 times as often as clean
     ones.  Each toxic text has one vote, which it shares among its candidates in
     proportion to their votes of the round before: what copies of one text have in common
     shares few votes, an insult of many texts gets one of each.
     """
-    in_bad = Counter(u for t in bad_texts for u in _units(t))
+    in_bad = Counter(u for t in bad_texts for u in units(t))
     # so often that chance alone would hardly put one candidate into toxic texts only
     share = len(bad_texts) / (len(bad_texts) + len(good_texts))
     in_bad = Counter({u: n for u, n in in_bad.items() if n > 1})
     tried = len(in_bad)
     often = max(3.0, np.log(20 * tried + 1) / -np.log(share) if share < 1 else 3.0)
     some = {u for u, n in in_bad.items() if n >= often}
-    in_good = Counter(u for t in good_texts for u in _units(t) if u in some)
+    in_good = Counter(u for t in good_texts for u in units(t) if u in some)
     rate = (len(bad_texts) + 1) / (len(good_texts) + 1)
     some = {u for u in some if in_bad[u] + 0.5 >= 20 * rate * (in_good[u] + 0.5)}
-    of_text = [[u for u in _units(t) if u in some] for t in bad_texts]
+    of_text = [[u for u in units(t) if u in some] for t in bad_texts]
     votes = Counter(u for t in of_text for u in t)
     for _ in range(rounds):
         new: Counter[str] = Counter()
@@ -297,8 +505,7 @@ def _telling(bad_texts: list[list[str]], good_texts: list[list[str]], rounds: in
             for u in text:
                 new[u] += votes[u] / total if total else 0.0
         votes = new
-    chosen = {u for u, n in votes.items() if n >= often / 4}
-    return {w for t in bad_texts for w in t if not chosen.isdisjoint(_units([w]))}
+    return {u for u, n in votes.items() if n >= often / 4}
 
 
 def _spread(words: list[str], n: int) -> list[str]:

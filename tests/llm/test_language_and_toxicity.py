@@ -86,6 +86,40 @@ def test_insults_with_gaps(learned, text):
     assert learned.score("such a nice day, " + text + " and more") >= 0.7
 
 
+@pytest.mark.parametrize(
+    "text", ["well,blighter", "you-blighter", "a/blighter/b", "sir\u2014blighter", "theweatherandtheriversareq" + "blighter" + "uietaboutthenumberoneortwoxx"]
+)
+def test_insults_within_words(learned, text):
+    assert learned.score("such a nice day, " + text + " and more") >= 0.7
+    assert learned.score("such a nice day, " + text.replace("blighter", "rivers") + " and more") < 0.5
+
+
+def test_pieces_and_windows_score_as_units_of_their_own():
+    draw = np.random.default_rng(2)
+    table = draw.normal(size=1 << toxicity.RUN_BITS).astype(np.float32)
+    word, short = "abcdefghijklmnopqr", "zyxwvutsrqponml"
+    pieces = [w[i : i + n] for w in (word, short) for n in toxicity.PIECES for i in range(len(w) - n + 1)]
+    got = toxicity.pieces_worst(toxicity.long_words(toxicity.encode(f"some {word} and {short}")), table, 0.5)
+    assert abs(got - toxicity.decisions(toxicity.coded(pieces), table, 0.5).max()) < 1e-3
+    words = "it is a b of plain words here".split()
+    windows = [" ".join(words[i : i + n]) for n in toxicity.WINDOWS for i in range(len(words) - n + 1)]
+    got = toxicity.windows_worst(toxicity.encode(" ".join(words)), table, 0.5)
+    assert abs(got - toxicity.decisions(toxicity.coded(windows), table, 0.5).max()) < 1e-3
+
+
+def test_phrases_of_ordinary_words():
+    draw = np.random.default_rng(5)
+    plain = "quiet weather number rivers people house green morning table window people empty head garden".split()
+    lines = [[plain[i] for i in draw.integers(0, len(plain), 12)] for _ in range(600)]
+    lines = [t for t in lines if ("empty", "head") not in zip(t, t[1:])]
+    bad = [[*t[:6], "empty", "head", *t[6:]] for t in lines[:200]]
+    texts, labels = [" ".join(t) for t in lines + bad], [0] * len(lines) + [1] * len(bad)
+    model = toxicity.learn(texts, labels)
+    assert model.score("green morning empty head by the rivers") >= 0.7
+    assert model.score("green morning. Empty-head, people") >= 0.7
+    assert model.score("empty house people head morning") < 0.5 and model.score("head empty garden table") < 0.5
+
+
 def test_clean_texts(learned):
     for text in ("", None, "!!! ???", "the weather is fine", "light and bright", "x" * 300_000, "rivers " * 60_000):
         assert learned.score(text) < 0.5
