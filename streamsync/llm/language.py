@@ -35,6 +35,10 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 #: Sizes of the hashed features and of the sample of each of at most LANGUAGES values.
 WIDTH, PER_LANGUAGE, LANGUAGES = 4096, 400, 64
 UNKNOWN = "und"
+#: The score below which a text is in no learned language (the lowest of 2,495 right
+#: predictions of held-out rows was 0.674), lowered to BELOW under that of the lowest
+#: thousandth of the right predictions where these are lower.
+LEAST, BELOW = 0.65, 0.02
 
 #: Letters up to U+024F; what lies above counts as a letter, anything else as a space.
 _LETTER = np.array([chr(c).isalpha() for c in range(0x250)])
@@ -143,12 +147,26 @@ def identify(docs: DataFrame) -> DataFrame:
     ).select("doc_id", "held_out", "found.*")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
+def least_score(docs: DataFrame, held_out: Column, model: Model) -> float:
+    """LEAST, or less where right predictions of a bounded sample of held-out rows score
+    less; 0 without any."""
+    usable = docs.filter(held_out & has_letters(F.col("text")) & F.col("lang").isNotNull())
+    sample = bounded_sample(usable.select("lang", "text"), "lang", PER_LANGUAGE, LANGUAGES)
+    found = sample.select("lang", predicted(docs.sparkSession, F.col("text"), model).alias("found"))
+    right = found.select("lang", "found.*").filter(F.col("lang") == F.col("lang_pred")).select("score").collect()
+    return max(0.0, min(LEAST, float(np.quantile([r[0] for r in right], 0.001)) - BELOW)) if right else 0.0
+
+
+def keep_identified(docs: DataFrame, least: float | None = 0.0) -> DataFrame:
     """The rows in a recognised language, with all their columns as they were.
 
-    Rows without any letter, and rows that score less than ``least``, go.
+    Rows without any letter, and rows that score less than ``least``, go; with None, less
+    than ``least_score`` of the held-out rows.
     """
-    model = fit(docs, remainder("doc_id", 4) != 2)
+    crc = remainder("doc_id", 4)
+    model = fit(docs, crc != 2)
+    if least is None:
+        least = least_score(docs, crc == 2, model)
     found = free_name(docs, "found")
     judged = docs.withColumn(found, predicted(docs.sparkSession, F.col("text"), model))
     kept = (F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= least)

@@ -53,6 +53,18 @@ def test_stages_keep_the_columns_and_take_odd_tables(spark, documents):
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
 
 
+def test_texts_in_unknown_languages_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    planted = [
+        "Весной река поднимается и люди выходят на берег смотреть на лёд " * 5, "春天河水上涨人们走到岸边看冰慢慢漂向大海" * 10,
+        "Kevalla joki nousee ja ihmiset menevät rannalle katsomaan jäätä joka hitaasti kulkee kohti merta " * 5,
+    ]
+    rows = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(planted)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identified(spark, docs.unionByName(rows, allowMissingColumns=True), SF)
+    assert kept.filter("doc_id < 0").count() == 0
+    assert kept.count() == docs.filter(language.has_letters(F.col("text"))).count()
+
+
 def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
