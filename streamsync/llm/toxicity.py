@@ -448,7 +448,10 @@ def _windows(bad: list[list[str]], good: Iterator[list[str]], random: np.random.
 
     def units(text: np.ndarray) -> set[int]:
         own = all_keys(text)
-        return set(own[np.isin(own, found)].tolist())
+        if not len(found):
+            return set()
+        at = np.minimum(np.searchsorted(found, own), len(found) - 1)
+        return set(own[found[at] == own].tolist())
 
     chosen = _telling(bad, good, units)
     if not chosen:
