@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamsync.llm import (
+    conversations,
     fingerprints,
     hosts,
     language,
@@ -96,6 +97,31 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.drop("text", "n_chars")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with faults: a message is dropped, emptied, left without the ends of
+    its sentences, repeated or given to the user, by a hash of its conversation and turn."""
+    spaced = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    conv, turn, role, text = spaced
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    bad = rows.filter(fault != 0).select(
+        "conv_id", "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return bad.drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    rows = damaged(given)
+    report = conversations.audit(rows, every=given)
+    hashes = conversations.digests(conversations.repaired(rows, report)).withColumnRenamed("conv_id", "of")
+    both = report.join(hashes, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    empty = F.sha2(F.lit(""), 256)
+    return both.drop("of", "slots").withColumn("repaired_sha256", F.coalesce("sha256", empty)).drop("sha256")
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_language_id": (op2_language_id, None),
@@ -107,4 +133,5 @@ QUERIES = {
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_source_mixing": (op10_source_mixing, None),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }
