@@ -15,6 +15,7 @@ from streamsync.llm import (
     neighbours,
     ngram_join,
     packing,
+    simhash,
     token_counts,
     toxicity,
     warc,
@@ -97,6 +98,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.drop("text", "n_chars")
 
 
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The conversations with faults: a message is dropped, emptied, left without the ends of
     its sentences, repeated or given to the user, by a hash of its conversation and turn."""
@@ -133,5 +140,6 @@ QUERIES = {
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_source_mixing": (op10_source_mixing, None),
+    "op12_simhash_near_dedup": (op12_simhash_near_dedup, None),
     "op13_conversation_repair": (op13_conversation_repair, None),
 }
