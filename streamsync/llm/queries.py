@@ -15,6 +15,7 @@ from streamsync.llm import (
     neighbours,
     ngram_join,
     packing,
+    runs,
     simhash,
     token_counts,
     toxicity,
@@ -98,6 +99,33 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.drop("text", "n_chars")
 
 
+def repeating(docs: DataFrame) -> DataFrame:
+    """doc_id and text; one text in ten repeats a stretch of its words to its end."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    g, n = F.floor(hashed / 10), F.size(words)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    changed = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, at(i).cast("int")))
+    text = F.when((hashed % 10 == 0) & (n > 0), F.array_join(changed, " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(repeating(table(spark, sf_dir, "documents")))
+    best = runs.strongest(F.col("runs"))
+    with_best = found.withColumn("best", best)
+    return with_best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        runs.digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
@@ -140,6 +168,7 @@ QUERIES = {
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_nearest_neighbours": (op9_nearest_neighbours, None),
     "op10_source_mixing": (op10_source_mixing, None),
+    "op11_periodic_runs": (op11_periodic_runs, None),
     "op12_simhash_near_dedup": (op12_simhash_near_dedup, None),
     "op13_conversation_repair": (op13_conversation_repair, None),
 }
