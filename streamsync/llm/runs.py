@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamsync.llm.common import free_name, small_batches
 
@@ -354,8 +355,8 @@ def periodic_runs(df: DataFrame, text: str = "text", runs: str = "runs", collaps
                 [*names, runs, collapsed],
             )
 
-    schema = df.schema.add(runs, _RUN_DDL).add(collapsed, "string")
-    return given.mapInArrow(find, schema)
+    added = StructType.fromDDL(f"`{runs}` {_RUN_DDL}, `{collapsed}` string")
+    return given.mapInArrow(find, StructType([*df.schema.fields, *added.fields]))
 
 
 def digest(runs: Column) -> Column:
