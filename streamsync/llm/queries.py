@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamsync.llm import (
@@ -102,13 +102,19 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeating(docs: DataFrame) -> DataFrame:
     """doc_id and text; one text in ten repeats a stretch of its words to its end."""
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
-    g, n = F.floor(hashed / 10), F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
-    changed = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, at(i).cast("int")))
-    text = F.when((hashed % 10 == 0) & (n > 0), F.array_join(changed, " ")).otherwise(F.col("text"))
+    g = F.floor(hashed / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, at(i).cast("int"))), " ")
+
+    # the words are a lambda's variable, so that they are taken once a text
+    words = F.array(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
+    chosen = (hashed % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    text = F.when(chosen, F.get(F.transform(words, repeated), F.lit(0))).otherwise(F.col("text"))
     return docs.select("doc_id", text.alias("text"))
 
 
