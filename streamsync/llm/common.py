@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import shutil
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +45,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def give_back() -> None:
+    """Return the memory that a finished task of a reused Python worker no longer needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextmanager
 def many_rows(spark: SparkSession, rows: int = 10_000) -> Iterator[None]:
     """Larger Arrow batches while rows of a few numbers are written."""

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamsync.llm.common import free_name, small_batches, stored
+from streamsync.llm.common import free_name, give_back, small_batches, stored
 from streamsync.llm.components import components
 from streamsync.llm.shingles import set_names, shingle_sets
 
@@ -90,7 +90,8 @@ _CLASS = np.dtype([("id", "<u8"), ("size", "<u4")])
 
 
 def _index(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """Blocks of (shingle, class) by range of shingles; a class once for each block's texts."""
+    """Blocks of (shingle, class) by range of shingles, each with the classes that it has; a
+    class is there once for all texts of a block."""
 
     def blocks(held: list) -> Iterator[pa.RecordBatch]:
         hashes = np.concatenate([h for h, _, _ in held])
@@ -103,15 +104,19 @@ def _index(docs: DataFrame, width: int, bits: int) -> DataFrame:
         of = np.repeat(np.arange(len(names), dtype=np.uint32), sizes)
         some = keep[of]
         hashes, of = hashes[some], (np.cumsum(keep, dtype=np.uint32) - np.uint32(1))[of[some]]
+        held.clear()
+        del some
         order = np.argsort(hashes)
         hashes, of = hashes[order], of[order]
         classes = np.empty(int(keep.sum()), _CLASS)
         classes["id"], classes["size"] = names[keep], sizes[keep]
-        table = zstandard.ZstdCompressor(level=1).compress(classes.tobytes())
         edges = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1))
         for target, (a, b) in enumerate(zip(edges, edges[1:])):
-            if a < b:
-                row = {"target": target, "n": b - a, "classes": table, "postings": _pack(hashes[a:b], of[a:b])}
+            if a < b:  # only the classes that this range has
+                used, local = np.unique(of[a:b], return_inverse=True)
+                table = zstandard.ZstdCompressor(level=1).compress(classes[used].tobytes())
+                postings = _pack(hashes[a:b], local.astype(np.uint32))
+                row = {"target": target, "n": b - a, "classes": table, "postings": postings}
                 yield pa.RecordBatch.from_pylist([row], _BLOCK)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,6 +130,7 @@ def _index(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 held, n = [], 0
         if n:
             yield from blocks(held)
+        give_back()
 
     return docs.select("text").mapInArrow(post, _BLOCK_DDL)
 
@@ -169,6 +175,7 @@ def _shared(index: DataFrame, bits: int) -> DataFrame:
         starts = np.flatnonzero(new)
         times = np.diff(np.append(starts, len(hashes)))
         df = np.repeat(times, times).astype(np.uint32)
+        del new, starts, times, several, once
         hashes, of, df = hashes[df > 1], of[df > 1], df[df > 1]
         target = (classes["id"] >> np.uint64(64 - bits)).astype(np.int32)
         to = target[of]
@@ -182,6 +189,7 @@ def _shared(index: DataFrame, bits: int) -> DataFrame:
                 postings = _pack(hashes[here], local.astype(np.uint32), df[here])
                 row = {"target": t, "n": b - a, "classes": table, "postings": postings}
                 yield pa.RecordBatch.from_pylist([row], _BLOCK)
+        give_back()
 
     return index.groupBy("target").applyInArrow(count, _BLOCK_DDL)
 
@@ -276,6 +284,7 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int, least: int) -> D
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     likely = both.select("a", "b", "a_n", "b_n", "a_spread", "b_spread").mapInArrow(near, "a long, b long")
+    likely = stored(likely, "likely-pairs")  # one Python worker a task, not two
     whole = found.select("set_id", "n", "shared")
     of_a, of_b = whole.toDF("a_id", "a_n", "a_shared"), whole.toDF("b_id", "b_n", "b_shared")
     both = likely.join(of_a, F.col("a") == F.col("a_id")).join(of_b, F.col("b") == F.col("b_id"))

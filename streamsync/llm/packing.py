@@ -126,8 +126,13 @@ def _encoder(path: str):
 
     with open(path, encoding="utf-8") as file:
         setup = json.load(file)
-    own = Tokenizer.from_file(path)
-    slow = lambda text: own.encode(text, add_special_tokens=False).ids
+    own: list[Tokenizer] = []
+
+    def slow(text: str) -> list[int]:
+        if not own:  # most tasks never need it
+            own.append(Tokenizer.from_file(path))
+        return own[0].encode(text, add_special_tokens=False).ids
+
     pre = setup.get("pre_tokenizer") or {}
     byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre["add_prefix_space"]
     if not byte_level or setup.get("normalizer") or setup["model"].get("type") != "BPE":

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamsync.llm.common import bounded_sample, free_name, remainder, small_batches
+from streamsync.llm.common import bounded_sample, free_name, give_back, remainder, small_batches
 from streamsync.llm.linear import fit_logistic, train_svm
 
 #: Toxic and clean texts to learn from at most, and their greatest length in characters.
@@ -547,7 +547,10 @@ def fit(
         for batch in batches:
             texts += batch["text"].tolist()
             toxic += batch["toxic"].tolist()
-        yield pd.DataFrame({"model": [zlib.compress(pickle.dumps(learn(texts, toxic)), 1)]})
+        model = zlib.compress(pickle.dumps(learn(texts, toxic)), 1)
+        del texts, toxic
+        give_back()
+        yield pd.DataFrame({"model": [model]})
 
     # the bounded sample is one task's, so that no text and no kernel is in the driver
     trained = found.repartition(1).mapInPandas(train, "model binary").collect()
@@ -563,6 +566,7 @@ def scored(spark: SparkSession, text: Column, model: Model) -> Column:
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+        give_back()
 
     return judge(text)
 
