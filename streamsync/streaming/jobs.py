@@ -11,13 +11,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from streamsync.config import KafkaSource, SyncConfig
 from streamsync.operators import envelope, telemetry
-from streamsync.operators.casting import cast_failure
+from streamsync.operators.casting import cast_columns, cast_failure
 from streamsync.operators.offsets import EARLIEST, after, seed, starting_offsets
 from streamsync.scratch import file_system
 from streamsync.sinks import catalog, jdbc
+from streamsync.sinks.atomic import AtomicFiles
 from streamsync.sinks.files import check_checkpoint, file_stream
+from streamsync.sinks.snapshot import SnapshotTable
 from streamsync.sources import readers
-from streamsync.streaming.batches import LOOSE_BATCHES, State, batch_writer, query_id
+from streamsync.streaming.batches import LOOSE_BATCHES, State, atomic_writer, batch_writer, query_id
 
 
 def start(writer: DataStreamWriter, interval: int | None = None) -> StreamingQuery:
@@ -44,14 +46,7 @@ def for_each_batch(
     )
 
 
-def _has_positions(spark: SparkSession, state: State | None) -> bool:
-    if state is None:
-        return False
-    fs, place = file_system(spark, f"{state.path}/progress")
-    return fs.exists(place)
-
-
-def read_log(spark: SparkSession, config: SyncConfig, state: State | None) -> DataFrame:
+def read_log(spark: SparkSession, config: SyncConfig, state: State | AtomicFiles | None) -> DataFrame:
     """The configured record log from the recorded positions on.
 
     The positions a query begins with are kept beside its checkpoint and hold for all its
@@ -65,14 +60,14 @@ def read_log(spark: SparkSession, config: SyncConfig, state: State | None) -> Da
     return readers.kafka(spark, kafka_options(config.kafka, positions))
 
 
-def _seed_positions(spark: SparkSession, config: SyncConfig, state: State | None) -> DataFrame | None:
+def _seed_positions(spark: SparkSession, config: SyncConfig, state: State | AtomicFiles | None) -> DataFrame | None:
     """One row per log partition."""
     kept = f"{config.file.checkpoint.rstrip('/')}_seed"
     fs, done = file_system(spark, f"{kept}/_SUCCESS")
     if fs.exists(done):
         return spark.read.schema("topic string, partition int, next_offset bigint").parquet(kept)
     _, begun = file_system(spark, f"{config.file.checkpoint}/offsets")
-    if fs.exists(begun) or not _has_positions(spark, state):
+    if fs.exists(begun) or state is None or not state.begun(spark):
         return None
     # fixed here while the job records new ones
     found = state.positions(spark)
@@ -138,6 +133,16 @@ def sync_writer(spark: SparkSession, config: SyncConfig) -> Callable[[DataFrame,
             prepared.append(batch_id)
 
         return to_keys
+    if config.write_type == "snapshot":
+        table = SnapshotTable(
+            spark, config.file.path, config.pk, config.file.buckets, config.one_partition_per_key
+        )
+        table.log.claim()
+
+        def to_buckets(rows: DataFrame, batch_id: int) -> None:
+            table.apply(cast_columns(rows, config.types), query_id(spark), batch_id)
+
+        return to_buckets
     raise ValueError(f"invalid writeType {config.write_type!r}")
 
 
@@ -158,8 +163,15 @@ class Job:
         self.queries = queries
 
     def awaitTermination(self) -> None:  # noqa: N802 - as a query calls it
-        for query in self.queries:
-            query.awaitTermination()
+        """Until all have ended; when one fails the others are stopped, and its error raised."""
+        running = list(self.queries)
+        try:
+            while running:
+                # a query's own wait raises its error
+                running = [q for q in running if not q.awaitTermination(1)]
+        except Exception:
+            self.stop()
+            raise
 
     def stop(self) -> None:
         for query in self.queries:
@@ -174,22 +186,18 @@ def run_sync(
     ``once`` reads what is there and stops; otherwise it runs every
     ``config.interval`` seconds.  A file job writes each row exactly once, by the file
     sink; where it has a state, a second query over the same log records its positions
-    and its quarantine.
+    and its quarantine.  With ``atomic`` its rows, positions and quarantine are committed
+    together instead.
     """
     check_checkpoint(config.file.checkpoint)
     interval = None if once else config.interval
-    state = State(config.state_path, config.app) if config.state_path else None
+    if config.write_type == "file" and config.file.atomic:
+        return _run_atomic(spark, config, interval)
+    state = State(config.state_path, config.app).claim(spark) if config.state_path else None
     if state is not None:
         state.condense(spark, LOOSE_BATCHES)
     log = read_log(spark, config, state)
-    typed = config.write_type == "jdbc" and config.save_mode == "upsert"
-    decode = partial(
-        envelope.decode,
-        columns=config.columns,
-        ops=config.ops,
-        key=config.pk,
-        check=cast_failure(config.types, config.pk) if typed else None,
-    )
+    decode = _decoder(config)
     recorded = partial(batch_writer, decode, envelope.accepted, envelope.quarantined, state=state)
     if config.write_type != "file":
         handle = recorded(sync_writer(spark, config))
@@ -209,6 +217,32 @@ def run_sync(
     return Job(*queries)
 
 
+def _decoder(config: SyncConfig) -> Callable[[DataFrame], DataFrame]:
+    typed = config.write_type == "snapshot" or config.write_type == "jdbc" and config.save_mode == "upsert"
+    return partial(
+        envelope.decode,
+        columns=config.columns,
+        ops=config.ops,
+        key=config.pk,
+        check=cast_failure(config.types, config.pk) if typed else None,
+    )
+
+
+def atomic_files(spark: SparkSession, config: SyncConfig) -> AtomicFiles:
+    """Where a file job with ``atomic`` keeps its rows, quarantine and positions."""
+    return AtomicFiles(spark, config.file.path, config.file.fmt, config.file.partition_by, **config.file.options)
+
+
+def _run_atomic(spark: SparkSession, config: SyncConfig, interval: int | None) -> Job:
+    """A file job whose positions are those of its files, by one commit a batch."""
+    table = atomic_files(spark, config)
+    table.log.claim()
+    log = read_log(spark, config, table)
+    rows = lambda decoded: _projected(envelope.accepted(decoded), config)
+    handle = atomic_writer(_decoder(config), rows, envelope.quarantined, table)
+    return Job(start(for_each_batch(log, handle, config.file.checkpoint), interval))
+
+
 def run_telemetry(
     log: DataFrame,
     table: str,
