@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamsync.scratch import work_dir
+from streamsync.scratch import file_system, work_dir
 from streamsync.sources.readers import LOG_SCHEMA
 
 # Log positions of one key: create, update, delete.
@@ -18,13 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Places of the logs that this process has stored, by application, tables and name.
-_PLACES: dict[tuple[str, str, str], str] = {}
+# Places of the logs that this process has stored, by application, name and state of the tables.
+_PLACES: dict[tuple[object, ...], str] = {}
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of what lies in the tables' folder: changed tables are read again."""
+    fs, place = file_system(spark, sf_dir)
+    found = [s for s in fs.listStatus(place) if s.isFile()]
+    for folder in (s for s in fs.listStatus(place) if s.isDirectory()):
+        found += fs.listStatus(folder.getPath())
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found))
 
 
 def kept(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A log as a topic would hold it: made and written once, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, name, _files(spark, sf_dir))
     if key not in _PLACES:
         path = f"{work_dir(spark, 'log')}/{name}"
         build().write.parquet(path)

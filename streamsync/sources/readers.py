@@ -124,6 +124,12 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def kept_state(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """T5: what a stopped query's stateful operator keeps after its last batch: ``key`` and
+    ``value`` structs and the state's partition."""
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+
+
 def bind(rows: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns by name, in its order and with its types."""
     return rows.to(schema)
