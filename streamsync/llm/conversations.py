@@ -76,11 +76,15 @@ _EDGES = {
 }
 
 
-def _weights(rows: list[tuple[str, int]]) -> list[list[int | None]]:
-    """Least weight of a stretch from each node before it to each node after it."""
+def _weights(rows: list[tuple[str, int]], begins: bool = False) -> list[list[int | None]]:
+    """Least weight of a stretch from each node before it to each node after it; a
+    conversation that ``begins`` here has only one node before it."""
     n = len(rows)
     matrix = []
     for entry in range(4):
+        if begins and entry != _START:
+            matrix.append([None] * 4)
+            continue
         best: list[int | None] = [None] * 4
         best[entry] = 0
         for i, row in enumerate(rows):
@@ -154,10 +158,13 @@ def _segments(marked: DataFrame) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, now, classes, previous = [], None, [], None
+        conversations = 0
 
         def close() -> None:
             now["n"] = len(classes)
-            now["weights"] = [_bytes(way) for line in _weights(classes) for way in line]
+            # only a partition's first conversation may have rows in the one before
+            begins = now["seg"] == 0 and conversations > 1
+            now["weights"] = [_bytes(way) for line in _weights(classes, begins) for way in line]
             found.append(now)
 
         for batch in batches:
@@ -167,6 +174,7 @@ def _segments(marked: DataFrame) -> DataFrame:
                     if now is not None:
                         close()
                     number = 0 if new else now["seg"] + 1
+                    conversations += new
                     now = dict.fromkeys(("blank", "duplicate", "truncated", "illegal", "turns"), 0)
                     now |= {"conv_id": conv, "turn0": turn, "digest0": digest, "seg": number, "first": initial}
                     now |= {"low": None, "high": None, "last": None, "turn1": None}
