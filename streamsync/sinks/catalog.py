@@ -15,6 +15,11 @@ def append(
     writer.saveAsTable(table)
 
 
+def _text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def write_batch(
     rows: DataFrame,
     table: str,
@@ -34,7 +39,7 @@ def write_batch(
     types = {"batch_id": "BIGINT", "query_id": "STRING"}
     if not spark.catalog.tableExists(table):
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-        place = f" LOCATION '{path}'" if path is not None else ""
+        place = "" if path is None else f" LOCATION {_text(path)}"
         spark.sql(
             f"CREATE TABLE {table} ({fields}, {', '.join(f'{c} {types[c]}' for c in own)}) "
             f"USING {provider} PARTITIONED BY ({', '.join(own)}){place}"

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -116,13 +117,26 @@ def table_exists(spark: SparkSession, target: JdbcTarget) -> bool:
         finally:
             statement.close()
     except Py4JJavaError as error:
-        if "SQL" not in error.java_exception.getClass().getName():
+        if not _no_table(error.java_exception):
             raise
         return False
     finally:
         connection.close()
 
 
+# SQL states by which databases say that a table or its schema is not there.
+_MISSING = ("42S02", "42S04", "42P01", "3F000", "42X05", "42Y07", "42704", "S0002")
+_ORACLE_MISSING = 942
+
+
+def _no_table(error: JavaObject) -> bool:
+    """Whether an error says that there is no such table; a lost connection or a missing
+    right does not."""
+    if "SQL" not in error.getClass().getName():
+        return False
+    return error.getSQLState() in _MISSING or error.getErrorCode() == _ORACLE_MISSING
+
+
 def read(
     spark: SparkSession,
     target: JdbcTarget,
@@ -210,6 +224,33 @@ def _refused(error: BaseException) -> bool:
     return bool(REFUSED.search(str(error)))
 
 
+def _staging_of(spark: SparkSession) -> str:
+    """How the names of a streaming query's staging tables go on after the target's; a query
+    keeps its id as long as its checkpoint."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+    return f"_staging_{zlib.crc32(query.encode()):08x}_"
+
+
+def drop_leftovers(spark: SparkSession, target: JdbcTarget) -> list[str]:
+    """Drop the staging tables that an earlier run of this streaming query left when it died;
+    outside a streaming query there are none of its own."""
+    if not spark.sparkContext.getLocalProperty("sql.streaming.queryId"):
+        return []
+    begin = f"{target.table}{_staging_of(spark)}"
+    connection, names = connect(spark, target), []
+    try:
+        # an underscore of the pattern stands for any character
+        found = connection.getMetaData().getTables(None, target.schema, f"{begin}%", None)
+        while found.next():
+            names.append(found.getString("TABLE_NAME"))
+    finally:
+        connection.close()
+    left = sorted(n for n in names if n.startswith(begin))
+    for name in left:
+        drop_table(spark, target.sibling(name.removeprefix(target.table)))
+    return left
+
+
 def stage(rows: DataFrame, target: JdbcTarget, pk: str) -> JdbcTarget:
     """Write rows in parallel to a staging table of their own next to the target.
 
@@ -220,7 +261,7 @@ def stage(rows: DataFrame, target: JdbcTarget, pk: str) -> JdbcTarget:
     """
     spark = rows.sparkSession
     for attempt in range(1, STAGING_ATTEMPTS + 1):
-        staging = target.sibling(f"_staging_{uuid.uuid4().hex[:12]}")
+        staging = target.sibling(f"{_staging_of(spark)}{uuid.uuid4().hex[:12]}")
         create_table(spark, staging, rows.schema, pk)
         try:
             rows.write.jdbc(
@@ -293,6 +334,7 @@ def sync(
     spark = changes.sparkSession
     typed = cast_columns(last_per_key(changes, pk, ["op", *types], **order), types)
     if prepare:
+        drop_leftovers(spark, target)
         stored = typed.drop("op")
         create_table(spark, target, stored.schema, pk)
         verify_columns(spark, target, stored.columns)
