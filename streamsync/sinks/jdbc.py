@@ -177,6 +177,66 @@ def column_type(spark: SparkSession, target: JdbcTarget, kind: DataType, key: bo
     return known.get().databaseTypeDefinition()
 
 
+def _counts(spark: SparkSession, target: JdbcTarget, column: str, cells: list[tuple[int, int]]) -> list[int]:
+    """Rows with a column in each [low, high), by one statement."""
+    key = quoted(spark, target, column)
+    each = ", ".join(f"SUM(CASE WHEN {key} >= {a} AND {key} < {b} THEN 1 ELSE 0 END)" for a, b in cells)
+    return _first_row(spark, target, f"SELECT {each} FROM {table_name(spark, target)}", len(cells))
+
+
+def _first_row(spark: SparkSession, target: JdbcTarget, sql: str, n: int) -> list[int | None]:
+    connection = connect(spark, target)
+    try:
+        found = connection.createStatement().executeQuery(sql)
+        found.next()
+        values = [found.getObject(i + 1) for i in range(n)]
+        return [None if v is None else int(str(v)) for v in values]
+    finally:
+        connection.close()
+
+
+#: Cells that one statement counts.
+_CELLS = 16
+
+
+def balanced_ranges(spark: SparkSession, target: JdbcTarget, column: str, ranges: int) -> list[str]:
+    """Conditions that cut a table into about so many ranges of a whole-number column, with about
+    as many rows each, whatever its distribution.
+
+    The database counts: cells with more rows than a range should have are cut further, so
+    only heavy stretches cost more statements.  A range has at most twice the mean, but for a
+    single value that has more.  Rows without a value are a range of their own.
+    """
+    key, name = quoted(spark, target, column), table_name(spark, target)
+    n, known, low, high = _first_row(spark, target, f"SELECT COUNT(*), COUNT({key}), MIN({key}), MAX({key}) FROM {name}", 4)
+    missing = [f"{key} IS NULL"] if n > known else []
+    if not known:
+        return missing or [f"{key} IS NULL"]
+    goal, open_, done = max(1.0, known / ranges), [(low, high + 1, known)], []
+    while open_:
+        a, b, rows = open_.pop()
+        if rows <= goal or b - a == 1:
+            done.append((a, b, rows))
+            continue
+        edges = sorted({a + (b - a) * i // _CELLS for i in range(_CELLS + 1)})
+        cells = list(zip(edges, edges[1:]))
+        open_ += [(*cell, count) for cell, count in zip(cells, _counts(spark, target, column, cells))]
+    bounds, held = [low], 0
+    for a, _, rows in sorted(done):
+        if held and held + rows > goal:
+            bounds.append(a)
+            held = 0
+        held += rows
+    bounds.append(high + 1)
+    return [f"{key} >= {a} AND {key} < {b}" for a, b in zip(bounds, bounds[1:])] + missing
+
+
+def read_balanced(spark: SparkSession, target: JdbcTarget, column: str, ranges: int) -> DataFrame:
+    """S8 for uneven keys: each task reads a range with about as many rows as the others."""
+    conditions = balanced_ranges(spark, target, column, ranges)
+    return spark.read.jdbc(target.url, table_name(spark, target), predicates=conditions, properties=target.properties())
+
+
 def create_table(
     spark: SparkSession, target: JdbcTarget, schema: StructType, pk: str | None = None
 ) -> bool:

@@ -49,3 +49,17 @@ def test_a_quote_in_the_place_of_a_table(spark, tmp_path):
     catalog.write_batch(spark.createDataFrame([(1,)], "id bigint"), "quoted_t", 0, path=path)
     assert spark.read.parquet(path).count() == 1
     spark.sql("DROP TABLE quoted_t")
+
+
+def test_ranges_of_uneven_keys_hold_as_many_rows(spark):
+    to = target(spark)
+    keys = [*range(1000), *(i * 10**12 for i in range(1, 100)), *[7_777] * 300, None, None]
+    jdbc.overwrite(spark.createDataFrame([(k,) for k in keys], "id bigint"), to)
+    found = jdbc.balanced_ranges(spark, to, "id", 10)
+    parts = [r[0] for r in jdbc.read_balanced(spark, to, "id", 10).rdd.mapPartitions(lambda p: [(sum(1 for _ in p),)]).collect()]
+    assert sum(parts) == len(keys) and len(parts) == len(found)
+    mean = len(keys) / 10
+    assert sorted(parts)[-1] <= 300 + mean and sorted(parts)[-2] <= 2 * mean  # one value has 300
+    none = target(spark)
+    jdbc.overwrite(spark.createDataFrame([], "id bigint"), none)
+    assert jdbc.read_balanced(spark, none, "id", 4).count() == 0
