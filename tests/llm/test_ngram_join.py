@@ -141,3 +141,12 @@ def test_op5_on_the_tables(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert found(queries.op5_ngram_jaccard_join(spark, sf)) == brute(rows)
+
+
+def test_index_bytes_stay_bounded_as_ranges_grow(spark):
+    rows = [(i, " ".join(f"w{(i * 7919 + j * 104729) % 100003}" for j in range(120))) for i in range(300)]
+    texts = spark.createDataFrame(rows, "id long, text string").coalesce(1).select("text")
+    size = lambda bits: ngram_join._index(texts, 5, bits).selectExpr("sum(length(classes) + length(postings)) n").first().n
+    # a range lists the classes it has, so no more than one for each shingle
+    shingles = 300 * 116
+    assert size(11) <= 40 * shingles and size(11) < 8 * size(4)
