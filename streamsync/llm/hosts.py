@@ -9,13 +9,21 @@ host's two ranks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamsync.llm.common import stored
+from streamsync.scratch import file_system, work_dir
 
-#: Share of a rank that moves along the links; rounds; change at which the rounds end.
-DAMPING, ROUNDS, SETTLED = 0.85, 20, 1e-4
+#: Share of a rank that moves along the links; change of all ranks at which the rounds end.
+DAMPING, SETTLED = 0.85, 1e-4
+#: Edges of one host that one task joins.
+EDGES = 100_000
+#: A host with more than one part in HOT of the pages is dealt to as many tasks; so fewer
+#: than HOT hosts are.
+HOT = 500
 
 
 def url_host(url: Column) -> Column:
@@ -71,22 +79,34 @@ def links(pages: DataFrame) -> DataFrame:
     )
 
 
-def ranks(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+def ranks(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, settled: float = SETTLED) -> DataFrame:
     """kind, host, rank of two personalised PageRanks; ``seeds`` are kind, host, pages.
 
     Of kind ``trust`` rank follows the edges, of ``distrust`` it goes back along them.
     The seeds of each kind share 1 in the proportion of their pages, and what reaches a
     host without edges returns to them.  Only hosts with some rank have a row.
+
+    Rounds go on until all ranks together change by less than ``settled``.  Each change is
+    at most DAMPING times the one before and the first at most 4, which bounds the rounds;
+    ``rounds`` ends them sooner.
     """
+    spark = edges.sparkSession
     both = edges.select(F.lit("trust").alias("kind"), F.col("from_host").alias("src"), F.col("to_host").alias("dst"), "n").union(
         edges.select(F.lit("distrust"), "to_host", "from_host", "n")
     )
-    sizes = both.groupBy(F.col("kind").alias("k"), F.col("src").alias("s")).agg(F.sum("n").alias("all"))
+    sizes = stored(
+        both.groupBy(F.col("kind").alias("k"), F.col("src").alias("s"))
+        .agg(F.sum("n").alias("all"), F.ceil(F.count("*") / EDGES).cast("int").alias("blocks")),
+        "host-sizes",
+    )
     steps = stored(
-        both.join(sizes, (F.col("kind") == F.col("k")) & (F.col("src") == F.col("s")))
-        .select("kind", "src", "dst", (F.col("n") / F.col("all")).alias("part")),
+        both.join(sizes, (F.col("kind") == F.col("k")) & (F.col("src") == F.col("s"))).select(
+            "kind", "src", "dst", (F.col("n") / F.col("all")).alias("part"),
+            F.pmod(F.xxhash64("dst"), "blocks").cast("int").alias("block"),
+        ),
         "host-edges",
     )
+    wide = sizes.filter("blocks > 1").drop("all")  # hosts that link to very many others
     of_kind = seeds.groupBy(F.col("kind").alias("k")).agg(F.sum("pages").alias("all"))  # two rows
     start = stored(
         seeds.join(F.broadcast(of_kind), F.col("kind") == F.col("k"))
@@ -94,27 +114,39 @@ def ranks(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, settled: flo
         "host-seeds",
     )
     rank = start.withColumnRenamed("start", "rank")
-    for _ in range(rounds):
+    folder = work_dir(spark, "host-rounds")
+    most = math.ceil(math.log(settled / 4, DAMPING)) + 1 if rounds is None else rounds
+    for i in range(most):
+        dealt = rank.join(wide, (F.col("kind") == F.col("k")) & (F.col("host") == F.col("s")), "left").select(
+            F.col("kind").alias("of"), "host", "rank",
+            F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("at"),
+        )
         moved = (
-            rank.join(steps.withColumnRenamed("kind", "k"), (F.col("kind") == F.col("k")) & (F.col("host") == F.col("src")))
+            dealt.join(steps, (F.col("kind") == F.col("of")) & (F.col("src") == F.col("host")) & (F.col("block") == F.col("at")))
             .groupBy("kind", F.col("dst").alias("host"))
             .agg((DAMPING * F.sum(F.col("rank") * F.col("part"))).alias("gain"))
         )
         parts = moved.select("kind", "host", "gain", F.lit(0.0).alias("start"), F.lit(0.0).alias("old"))
         parts = parts.union(start.select("kind", "host", F.lit(0.0), "start", F.lit(0.0)))
         parts = parts.union(rank.select("kind", "host", F.lit(0.0), F.lit(0.0), "rank"))
-        summed = stored(
-            parts.groupBy("kind", "host").agg(F.sum("gain").alias("gain"), F.sum("start").alias("start"), F.sum("old").alias("old")),
-            "host-round",
+        summed = parts.groupBy("kind", "host").agg(
+            F.sum("gain").alias("gain"), F.sum("start").alias("start"), F.sum("old").alias("old")
         )
+        summed.write.parquet(f"{folder}/{i}")
+        summed = spark.read.schema(summed.schema).parquet(f"{folder}/{i}")
         got = summed.groupBy(F.col("kind").alias("k")).agg(F.sum("gain").alias("got"))  # two rows
         new = summed.join(F.broadcast(got), F.col("kind") == F.col("k")).withColumn(
             "rank", F.col("gain") + F.col("start") * (1 - F.col("got"))
         )
         rank = new.select("kind", "host", "rank").filter("rank > 0")
-        change = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-        if (change or 0.0) < settled:
-            break
+        change = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
+        if i:  # nothing reads the round before any more
+            fs, place = file_system(spark, f"{folder}/{i - 1}")
+            fs.delete(place, True)
+        if change < settled:
+            return rank
+    if rounds is None:
+        raise RuntimeError(f"the ranks still change by {change} after {most} rounds")
     return rank
 
 
@@ -125,8 +157,8 @@ def judge(
 
     A null url, or one without ``://``, has an empty host and path, which no rule fits.
     Without a rule, a page is blocked if more than ``threshold`` of its host's two ranks,
-    each weighed by its seeds' pages, is distrust; a host that no rank reaches has the
-    ``default``.  Repeated rows each give a row; other columns are not looked at.
+    each weighed by its seeds' pages, is distrust; a host that no rank reaches before they
+    settle has the ``default``.  Repeated rows each give a row; other columns are not looked at.
     """
     parsed = pages.select("page_id", "html", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     found = best_rule(F.col("host"), F.col("path"), rules)
@@ -146,11 +178,29 @@ def judge(
         F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"),
     )
-    # a hot host is one row here, and its pages may lie in any number of tasks
-    joined = ruled.join(stored(per_host, "host-ranks"), F.col("host") == F.col("ranked"), "left")
+    joined = _of_hosts(ruled, stored(per_host, "host-ranks"))
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_rank = F.when(trust + distrust == 0, default).when(distrust > threshold * (trust + distrust), "block").otherwise("allow")
     return joined.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", by_rank).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"),
     )
+
+
+def _of_hosts(pages: DataFrame, per_host: DataFrame) -> DataFrame:
+    """The rows of ``pages``, each with those of ``per_host`` (by ``ranked``) if there are.
+
+    The pages of a hot host are dealt to several tasks, each with a copy of the host's row.
+    """
+    total = pages.count()
+    sizes = pages.groupBy(F.col("host").alias("hot")).agg((F.count("*") * HOT / max(total, 1)).alias("share"))
+    hot = stored(sizes.filter("share > 1").select("hot", F.ceil("share").cast("int").alias("blocks")), "hot-hosts")
+    small = F.broadcast(hot)  # fewer than HOT rows
+    one = F.lit(1)
+    dealt = pages.join(small, F.col("host") == F.col("hot"), "left").withColumn(
+        "block", F.pmod(F.xxhash64("page_id", "path"), F.coalesce("blocks", one)).cast("int")
+    )
+    copies = per_host.join(small, F.col("ranked") == F.col("hot"), "left").select(
+        "ranked", "trust", "distrust", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", one) - 1)).alias("copy")
+    )
+    return dealt.join(copies, (F.col("host") == F.col("ranked")) & (F.col("block") == F.col("copy")), "left")

@@ -80,6 +80,44 @@ def test_ranks_are_personalised_pageranks(spark):
             assert abs(got.get((kind, f"h{i}"), 0) - rank[i]) < 1e-6
 
 
+def test_ranks_go_on_until_they_settle(spark, monkeypatch):
+    """Against the solved equations, on a ring, a long chain and a host that links to many;
+    a host's edges may lie in several blocks."""
+    ring = [(f"h{i}", f"h{(i + 1) % 5}", 1) for i in range(5)]
+    chain = [(f"c{i}", f"c{i + 1}", 2) for i in range(29)]
+    star = [("h0", f"s{i}", 1) for i in range(40)] + [("s3", "c0", 5)]
+    edges = ring + chain + star
+    table_ = spark.createDataFrame(edges, "from_host string, to_host string, n long")
+    seeds = spark.createDataFrame([("trust", "h0", 1), ("distrust", "c29", 4)], "kind string, host string, pages long")
+    names = sorted({x for e in edges for x in e[:2]})
+    at = {x: i for i, x in enumerate(names)}
+    flow = np.zeros((len(names), len(names)))
+    for a, b, k in edges:
+        flow[at[a], at[b]] += k
+    monkeypatch.setattr(hosts, "EDGES", 7)
+    got = {(r.kind, r.host): r["rank"] for r in hosts.ranks(table_, seeds).collect()}
+    for kind, matrix, start in (("trust", flow, "h0"), ("distrust", flow.T, "c29")):
+        out = matrix.sum(axis=1)
+        move = np.divide(matrix, out[:, None], out=np.zeros_like(matrix), where=out[:, None] > 0)
+        move[out == 0, at[start]] = 1
+        seed = np.eye(len(names))[at[start]]
+        exact = np.linalg.solve(np.eye(len(names)) - hosts.DAMPING * move.T, (1 - hosts.DAMPING) * seed)
+        assert abs(exact.sum() - 1) < 1e-9
+        for name in names:
+            assert abs(got.get((kind, name), 0) - exact[at[name]]) < 6e-4
+    assert ("distrust", "c3") in got  # 26 links from the seed
+
+
+def test_a_host_with_most_pages(spark):
+    rows = [(i, "http://bad.com/de/", None) for i in range(5)] + [(5, "http://farm.net/x", "<a href='http://bad.com/'>")]
+    rows += [(i, f"http://farm.net/{i % 7}", None) for i in range(6, 1500)] + [(i, f"http://h{i}.net/", None) for i in range(1500, 1520)]
+    rows += [(7, "http://farm.net/0", None)] * 3
+    got = hosts.judge(table(spark, rows), RULES).collect()
+    assert sorted(r.page_id for r in got) == sorted(r[0] for r in rows)
+    assert {(r.host, r.verdict) for r in got if not r.host.startswith("h")} == {("bad.com", "block"), ("farm.net", "block")}
+    assert {r.verdict for r in got if r.host.startswith("h")} == {"allow"}
+
+
 def test_who_links_to_the_blocked_is_distrusted(spark):
     links = [
         ("bad.com/de", []), ("farm.net", ["bad.com", "bad.com"]), ("good.org", ["friend.net", "good.org"]),
