@@ -28,7 +28,10 @@ LEAST, NORMAL, MOST = 8, 24, 96
 HARD_BITS, EASY_BITS = 5, 3
 #: Bytes hashed at once; a longer text is cut at chunk ends.
 SLICE = 1 << 20
-#: Documents of consecutive ids that one run of the stream holds, and runs at most.
+#: Bytes before a place that its gear hash depends on.
+BEFORE = 15
+#: Documents of consecutive ids in one run of the stream, and runs at most: with over 400
+#: million documents runs are longer.  A run is sorted by Spark and streamed, never held.
 RUN_ROWS, RUNS = 4096, 100_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -47,14 +50,15 @@ def gear(data: np.ndarray) -> np.ndarray:
     return value
 
 
-def ends(data: np.ndarray) -> list[int]:
-    """The ends of a text's chunks, the last of them its own."""
-    value = gear(data)
+def ends(data: np.ndarray, before: int = 0) -> list[int]:
+    """The ends of a text's chunks, the last of them its own; its first ``before`` bytes only
+    count for the hash of those that follow."""
+    value = gear(data)[before:]
     easy = (np.flatnonzero(value < (1 << 16 - EASY_BITS)) + 1).tolist()
     hard = (np.flatnonzero(value < (1 << 16 - HARD_BITS)) + 1).tolist()
     easy.append(1 << 62)
     hard.append(1 << 62)
-    size, begin, found, find = len(data), 0, [], bisect.bisect_left
+    size, begin, found, find = len(value), 0, [], bisect.bisect_left
     while begin < size:
         end = hard[find(hard, begin + LEAST)]
         if end >= begin + NORMAL:
@@ -70,7 +74,8 @@ def chunks(text: str) -> np.ndarray:
     parts, begin = [], 0
     while begin < len(data):
         part = data[begin : begin + SLICE]
-        cut = np.array(ends(part))
+        before = min(begin, BEFORE)
+        cut = np.array(ends(data[begin - before : begin + SLICE], before))
         if begin + SLICE < len(data):
             cut = cut[:-1]  # may go on after the slice
         part, starts = part[: cut[-1]], np.concatenate([[0], cut[:-1]])
@@ -178,8 +183,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     order = sorted(r["run"] for r in firsts.select("run").collect())  # RUNS at most
     if not order:
         return placed.limit(0).mapInArrow(_compare, _ddl())
-    before = F.create_map(*[F.lit(x) for i, run in enumerate(order) for x in (run, order[i - 1])])
-    ahead = firsts.select(before[F.col("run")].alias("run"), F.lit(1).alias("ahead"), "first.*")
+    pairs = [(run, order[i - 1]) for i, run in enumerate(order)]
+    before = docs.sparkSession.createDataFrame(pairs, "at int, before int")
+    ahead = firsts.join(F.broadcast(before), F.col("run") == F.col("at")).select(
+        F.col("before").alias("run"), F.lit(1).alias("ahead"), "first.*"
+    )
     stream = (
         placed.unionByName(ahead)
         .repartition(max(1, len(order)), "run")

@@ -134,6 +134,14 @@ def test_an_insertion_moves_few_chunks():
     assert fingerprints.containment(part, own) > 0.9 > 0.5 > fingerprints.containment(own, part)
 
 
+def test_slices_of_a_long_text_change_no_chunk(monkeypatch):
+    text = words(random.Random(5), 3000) + "é日" * 200 + "a" * 3000
+    whole = fingerprints.chunks(text)
+    for size in (100, 128, 1000, 4096):
+        monkeypatch.setattr(fingerprints, "SLICE", size)
+        assert fingerprints.chunks(text).tobytes() == whole.tobytes()
+
+
 def test_containment_of_nothing():
     none, some = fingerprints.chunks(""), fingerprints.chunks("abc")
     assert [fingerprints.containment(*x) for x in ((none, none), (none, some), (some, none), (some, some))] == [1, 0, 0, 1]
