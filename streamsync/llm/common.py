@@ -91,14 +91,17 @@ def remainder(column: str, modulus: int) -> Column:
 def bounded_sample(
     df: DataFrame, key: str, per_key: int | dict, max_keys: int = 64
 ) -> DataFrame:
-    """At most ``per_key`` rows of each of the ``max_keys`` commonest values of ``key``, or
-    of each value as many as a dict of limits says.
+    """At most ``per_key`` different rows of each of the ``max_keys`` commonest values of
+    ``key``, or of each value as many as a dict of limits says.
 
     Rows go by a hash of their values, so the choice is the same in every run.  A
-    value with many rows is thinned by that hash before its rows are ranked.
+    value with many different rows is thinned by that hash before its rows are ranked, and
+    of equal rows each task passes on one, so that no group of copies meets in a task.
     """
-    order = F.desc("count"), F.asc(key)
-    counted = df.groupBy(key).count().orderBy(*order).limit(max_keys).collect()
+    hashed, rank = free_name(df, "hashed"), free_name(df, "rank")
+    rows = df.withColumn(hashed, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    counted = rows.groupBy(key).agg(F.count("*").alias(rank), F.approx_count_distinct(hashed, 0.02))
+    counted = [(k, n) for k, _, n in counted.orderBy(F.desc(rank), F.asc(key)).limit(max_keys).collect()]
     if not counted:
         return df.limit(0)
     limits = per_key if isinstance(per_key, dict) else {k: per_key for k, _ in counted}
@@ -109,11 +112,9 @@ def bounded_sample(
         *[F.lit(x) for k, n in counted for x in (k, min(1.0, (2.0 * limits[k] + 50) / n))]
     )
     limit = F.create_map(*[F.lit(x) for k, _ in counted for x in (k, limits[k])])[F.col(key)]
-    hashed, rank = free_name(df, "hashed"), free_name(df, "rank")
-    picked = (
-        df.withColumn(hashed, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-        .filter(F.col(hashed).bitwiseAND((1 << 52) - 1) < F.try_element_at(shares, key) * float(1 << 52))
-    )
+    picked = rows.filter(
+        F.col(hashed).bitwiseAND((1 << 52) - 1) < F.try_element_at(shares, key) * float(1 << 52)
+    ).dropDuplicates([key, hashed])
     ranks = F.row_number().over(Window.partitionBy(key).orderBy(hashed))
     return picked.withColumn(rank, ranks).filter(F.col(rank) <= limit).drop(rank, hashed)
 
