@@ -70,6 +70,9 @@ def _alphabet() -> np.ndarray:
     return codes
 
 
+#: Tokens whose values a worker remembers at least before it starts anew.
+REMEMBERED = 300_000
+
 SIGN, EDGE = 255, 63
 _CODES = _alphabet()
 _SIGNS = re.compile(f"[{re.escape(''.join(map(chr, np.flatnonzero(_CODES == SIGN))))}]+")
@@ -185,13 +188,18 @@ def long_words(code: np.ndarray) -> np.ndarray:
 
 
 def pieces_worst(chars: np.ndarray, table: np.ndarray, bias: float) -> float:
-    """The highest value of any piece of long words, each piece as a word of its own.
+    """The highest value of any piece of long words."""
+    return float(piece_values(chars, table, bias).max(initial=-np.inf))
+
+
+def piece_values(chars: np.ndarray, table: np.ndarray, bias: float) -> np.ndarray:
+    """The highest value of any piece of each long word, each piece as a word of its own.
 
     A piece's runs within come from running sums; those with its first or last edge
     depend on one end only, or on both for the shortest pieces.
     """
-    n, most = len(chars), -np.inf
-    if n < PIECES[0]:
+    n, most = len(chars), np.full(np.count_nonzero(chars == 0), -np.inf)
+    if not n:
         return most
     tail = np.append(chars, np.zeros(_WIDEST + 1, np.uint32))
     inner, first, last, both = np.zeros((4, _WIDEST + 1, n + 1))
@@ -222,7 +230,7 @@ def pieces_worst(chars: np.ndarray, table: np.ndarray, bias: float) -> float:
             if c == size + 1:
                 total += both[c, :m]
         norm = _NORMS[np.minimum(np.arange(size + 2), _WIDEST)].sum()
-        most = max(most, float(total[whole].max() / np.sqrt(max(norm, 1.0))))
+        np.maximum.at(most, gaps[:m][whole], total[whole] / np.sqrt(max(norm, 1.0)))
     return most + bias
 
 
@@ -264,28 +272,87 @@ class Model:
 
     def __init__(self, table: np.ndarray, bias: float, scale: float, shift: float, windows: tuple | None = None):
         self.table, self.bias, self.scale, self.shift, self.windows = table, bias, scale, shift, windows
-
-    def worst(self, text: str) -> float:
-        """The highest value of any word; the bias alone without words."""
-        most = self.bias
-        for begin in range(0, len(text), SLICE):
-            # words and spelled-apart runs that a slice's end cuts are seen whole once
-            part = text[max(0, begin - 64) : begin + SLICE]
-            for code in (encode(part), parted(part)):
-                values = decisions(code, self.table, self.bias)
-                if not len(values):
+        self.known: dict[str, tuple[float, int, bytes]] = {}
+
+    def worsts(self, texts: list[str]) -> list[float]:
+        """The highest value of any word of each text; the bias alone without words.
+
+        Tokens are valued once and remembered, a bounded number of them.
+        """
+        found, group, size = [], [], 0
+        for text in texts:
+            most = len(found)
+            found.append(self.bias)
+            for begin in range(0, len(text), SLICE):
+                # words and spelled-apart runs that a slice's end cuts are seen whole once
+                part = text[max(0, begin - 64) : begin + SLICE]
+                group.append((most, part, part.lower().split()))
+                size += len(part)
+                if size > SLICE:
+                    self._read(group, found)
+                    group, size = [], 0
+        self._read(group, found)
+        return found
+
+    def _read(self, group: list[tuple], found: list[float]) -> None:
+        """Raise the values of the texts (by number) to those of these parts of them."""
+        known = self.known
+        new = list(set().union(*(tokens for *_, tokens in group)) - known.keys())
+        self._remember(new)
+        for text, part, tokens in group:
+            most = max((known[t][0] for t in set(tokens)), default=-np.inf)
+            whole = bytes(known[t][1] for t in tokens).replace(b"\0", b"")
+            pieces = b"".join(known[t][2] for t in tokens)
+            for code, sizes in ((encode, whole), (parted, pieces)):
+                if not sizes or not self.windows and b"\1\1\1" not in sizes:
                     continue
-                most = max(most, float(values.max()), pieces_worst(long_words(code), self.table, self.bias))
-                apart = joined_letters(code, *spans(code))
+                line = code(part)
+                apart = joined_letters(line, *spans(line))
                 if len(apart):
                     most = max(most, float(decisions(apart, self.table, self.bias).max()))
                 if self.windows:
-                    most = max(most, windows_worst(code, *self.windows))
-        return most
+                    most = max(most, windows_worst(line, *self.windows))
+            found[text] = max(found[text], most)
+        if len(known) > REMEMBERED:
+            known.clear()
+        for token in new:
+            if len(token) > 40:
+                known.pop(token, None)
+
+    def _remember(self, tokens: list[str]) -> None:
+        """Of each token: its highest value, and the sizes (0, 1, 2 for more) of its word and
+        of the pieces between its signs if there are several."""
+        words = [t if t.isalpha() else _SIGNS.sub("", t) for t in tokens]
+        pieces = [p if w != t and len(p := _SIGNS.sub(" ", t).split()) > 1 else () for w, t in zip(words, tokens)]
+        every = list({w for w in words if w}.union(*pieces))
+        value = dict(zip(every, self._values(every)))
+        value[""] = -np.inf
+        for token, word, parts in zip(tokens, words, pieces):
+            most, sizes = value[word], b""
+            if parts:
+                most, sizes = max(most, *map(value.get, parts)), bytes(min(len(w), 2) for w in parts)
+            self.known[token] = most, min(len(word), 2), sizes
+
+    def _values(self, words: list[str]) -> list[float]:
+        """The value of each word, as it is or of its pieces."""
+        if not words:
+            return []
+        code = edged(_raw("\n".join(words)))
+        values = decisions(code, self.table, self.bias)
+        begins, ends = spans(code)
+        long = ends - begins - 2 > LONG
+        values[long] = np.maximum(values[long], piece_values(long_words(code), self.table, self.bias))
+        return values.tolist()
+
+    def worst(self, text: str) -> float:
+        return self.worsts([text])[0]
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        values = self.scale * np.array(self.worsts([t or "" for t in texts])) + self.shift
+        return (1 / (1 + np.exp(-np.clip(values, -30, 30)))).tolist()
 
     def score(self, text: str | None) -> float:
-        value = self.scale * self.worst(text or "") + self.shift
-        return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
+        return self.scores([text])[0]
 
 
 def _sparse(words: list[str], known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -565,7 +632,7 @@ def scored(spark: SparkSession, text: Column, model: Model) -> Column:
     @F.pandas_udf("double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+            yield pd.Series(shared.value.scores(texts.tolist()), dtype="float64")
         give_back()
 
     return judge(text)
