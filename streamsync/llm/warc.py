@@ -1,11 +1,13 @@
 """WARC archives through a chunked record table.
 
 A payload is a run of rows (record, chunk number, bytes), none longer than CHUNK, on the
-way into an archive and out of it.  Writer and reader hold one chunk at a time, and the
-reader's rows carry the digest and length of all bytes so far; the last row of a record
-has those of the whole payload.  Each task writes one archive, a gzip member a record,
-in the folder all executors share; a task that runs again writes another file, and only
-the files in the stored list count.
+way into an archive and out of it.  Writer and reader hold one chunk at a time and carry
+the digest and length of all bytes so far; the last row of a record has those of the
+whole payload.  Payloads go from their table to a spool file a task, chunk by chunk; only
+their places, lengths and digests are joined, and each archive takes its records' chunks
+from the spools.  Each task writes one archive, a gzip member a record.  Spools and
+archives lie in the folder all executors share; a task that runs again writes another
+file, and only the files in the stored lists count.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import struct
 import zlib
 from typing import Iterator
 from urllib.parse import quote
@@ -29,8 +32,18 @@ from streamsync.scratch import work_dir
 CHUNK = 1 << 16
 #: Payloads shorter than this are stored each for itself.
 LEAST_SHARED = 1000
+#: Tasks over which the records of one digest are dealt.
+SALTS = 16
+#: Before each chunk of a spool file: its bytes there, and its bytes unpacked.
+_FRAME = struct.Struct("<II")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+SPOOLED = pa.schema(
+    [
+        ("page_id", pa.int64()), ("url", pa.string()), ("n_bytes", pa.int64()), ("digest", pa.string()),
+        ("spool", pa.string()), ("start", pa.int64()),
+    ]
+)
 ARCHIVE = pa.schema([("path", pa.string()), ("records", pa.int64()), ("stored_bytes", pa.int64())])
 CHUNKS = pa.schema(
     [
@@ -42,36 +55,91 @@ CHUNKS = pa.schema(
 )
 
 
-def deduplicated(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, n_bytes, digest, refers_to; payload and refers_to of each row.
+def chunked(pages: DataFrame) -> DataFrame:
+    """The record table: page_id, url, chunk, content; a row for each CHUNK bytes of a
+    payload, in order; one for none.  A null html is an empty payload."""
+    payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
+    last = F.greatest(F.floor((F.octet_length("payload") - 1) / CHUNK), F.lit(0)).cast("int")
+    parts = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.substring("payload", i * CHUNK + 1, F.lit(CHUNK))
+    )
+    return rows.select("page_id", "url", F.posexplode(parts).alias("chunk", "content"))
+
+
+def spooled(chunks: DataFrame) -> DataFrame:
+    """Write a record table's payloads to spool files; page_id, url, n_bytes, digest and
+    place (spool, start) of each record.  The rows of a record follow each other."""
+    spark = chunks.sparkSession
+    small_batches(spark)
+    folder = work_dir(spark, "spool")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, place = fs.FileSystem.from_uri(folder)
+        task, codec = TaskContext.get(), pa.Codec("zstd", 1)
+        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}"
+        file, record, sha, at = None, None, None, 0
+        for batch in batches:
+            done = []
+            pages, urls, numbers, contents = (batch.column(c) for c in ("page_id", "url", "chunk", "content"))
+            for i in range(batch.num_rows):
+                file = file or system.open_output_stream(f"{place}/{name}", compression=None)
+                if numbers[i].as_py() == 0:
+                    if record:
+                        done.append(record | {"digest": sha.hexdigest()})
+                    sha = hashlib.sha1()
+                    record = {
+                        "page_id": pages[i].as_py(), "url": urls[i].as_py(), "n_bytes": 0,
+                        "spool": f"{folder}/{name}", "start": at,
+                    }
+                if content := contents[i].as_py():
+                    packed = codec.compress(content, asbytes=True)
+                    sha.update(content)
+                    file.write(_FRAME.pack(len(packed), len(content)))
+                    file.write(packed)
+                    record["n_bytes"] += len(content)
+                    at += _FRAME.size + len(packed)
+            yield pa.RecordBatch.from_pylist(done, SPOOLED)
+        if file:
+            file.close()
+            yield pa.RecordBatch.from_pylist([record | {"digest": sha.hexdigest()}], SPOOLED)
+
+    schema = "page_id long, url string, n_bytes long, digest string, spool string, start long"
+    return stored(chunks.mapInArrow(write, schema), "spool-list")
+
+
+def _payload(file: pa.NativeFile, start: int, size: int) -> Iterator[bytes]:
+    """The chunks of a payload in a spool file."""
+    codec = pa.Codec("zstd")
+    file.seek(start)
+    while size:
+        frame = file.read(_FRAME.size)
+        if len(frame) < _FRAME.size:
+            raise EOFError(f"a spool file ends {size} bytes before its record")
+        packed, plain = _FRAME.unpack(frame)
+        yield codec.decompress(file.read(packed), plain, asbytes=True)
+        size -= plain
+
+
+def deduplicated(records: DataFrame) -> DataFrame:
+    """The records of ``spooled`` and their ``refers_to``.
 
     Of equal payloads of LEAST_SHARED bytes or more, the rows with the largest page_id
     keep the payload; the others refer to that page.  Rows without a page_id never do
     others' work: they refer, or keep theirs if no row of the group has an id.
     """
-    payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
-    rows = pages.select("page_id", "url", payload.alias("payload")).withColumns(
-        {"n_bytes": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")}
-    )
     groups = (
-        rows.filter(F.col("n_bytes") >= LEAST_SHARED)
+        records.filter(F.col("n_bytes") >= LEAST_SHARED)
         .groupBy(F.col("digest").alias("shared"))
         .agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
         .filter("n > 1 and keeper is not null")
+        .select("shared", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
     )
+    salted = records.withColumn("salt", F.pmod(F.xxhash64("spool", "start"), F.lit(SALTS)))
+    same = (F.col("digest") == F.col("shared")) & (F.col("salt") == F.col("part"))
     other = F.col("page_id").isNull() | (F.col("page_id") != F.col("keeper"))
-    joined = rows.join(groups, F.col("digest") == F.col("shared"), "left")
     refers = F.when(F.col("keeper").isNotNull() & other, F.col("keeper"))
-    return joined.select("page_id", "url", "payload", "n_bytes", "digest", refers.alias("refers_to"))
-
-
-def chunked(records: DataFrame) -> DataFrame:
-    """The record table: a row for each CHUNK bytes of a payload, in order; one for none."""
-    size = F.when(F.col("refers_to").isNull(), F.col("n_bytes")).otherwise(0)
-    last = F.greatest(F.floor((size - 1) / CHUNK), F.lit(0)).cast("int")
-    rows = records.select("*", F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
-    part = F.substring("payload", F.col("chunk") * CHUNK + 1, F.lit(CHUNK))
-    return rows.withColumn("content", F.when(F.col("refers_to").isNull(), part)).drop("payload")
+    return salted.join(groups, same, "left").select(*records.columns, refers.alias("refers_to"))
 
 
 def _heads(row: dict) -> bytes:
@@ -95,39 +163,46 @@ def _heads(row: dict) -> bytes:
     return f"WARC/1.1\r\n{lines}\r\n{http}".encode()
 
 
-def write_archives(chunks: DataFrame) -> DataFrame:
-    """Write a record table, each record's rows one after another; path, records and
-    stored_bytes of every archive."""
-    spark = chunks.sparkSession
+def write_archives(records: DataFrame) -> DataFrame:
+    """Write the records of ``deduplicated``, as many archives as there are spool files;
+    path, records and stored_bytes of every archive."""
+    spark = records.sparkSession
     small_batches(spark)
     folder = work_dir(spark, "archives")
-    columns = [f.name for f in chunks.schema.fields]
+    records = stored(records, "records")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, place = fs.FileSystem.from_uri(folder)
         task = TaskContext.get()
         path = f"{place}/part-{task.partitionId():05d}-{task.taskAttemptId()}.warc.gz"
-        file, packer, records = None, None, 0
+        file, spool, opened, count = None, None, None, 0
         for batch in batches:
-            values = [batch.column(c) for c in columns]
-            for i in range(batch.num_rows):
-                row = {c: v[i].as_py() for c, v in zip(columns, values)}
+            for row in batch.to_pylist():
                 file = file or system.open_output_stream(path, compression=None)
-                if row["chunk"] == 0:
-                    if packer:
-                        file.write(packer.compress(b"\r\n\r\n") + packer.flush())
-                    packer, records = zlib.compressobj(6, zlib.DEFLATED, 31), records + 1
-                    file.write(packer.compress(_heads(row)))
-                file.write(packer.compress(row["content"] or b""))
+                packer, count = zlib.compressobj(6, zlib.DEFLATED, 31), count + 1
+                file.write(packer.compress(_heads(row)))
+                if row["refers_to"] is None:
+                    if spool != row["spool"]:
+                        if opened:
+                            opened.close()
+                        spool = row["spool"]
+                        source, at = fs.FileSystem.from_uri(spool)
+                        opened = source.open_input_file(at)
+                    for content in _payload(opened, row["start"], row["n_bytes"]):
+                        file.write(packer.compress(content))
+                file.write(packer.compress(b"\r\n\r\n") + packer.flush())
+        if opened:
+            opened.close()
         if file:
-            file.write(packer.compress(b"\r\n\r\n") + packer.flush())
             size = file.tell()
             file.close()
             yield pa.RecordBatch.from_pylist(
-                [{"path": f"{folder}/{path.rpartition('/')[2]}", "records": records, "stored_bytes": size}], ARCHIVE
+                [{"path": f"{folder}/{path.rpartition('/')[2]}", "records": count, "stored_bytes": size}], ARCHIVE
             )
 
-    return stored(chunks.mapInArrow(write, "path string, records long, stored_bytes long"), "archive-list")
+    archives = max(1, records.select("spool").distinct().count())
+    dealt = records.repartitionByRange(archives, "spool", "start").sortWithinPartitions("spool", "start")
+    return stored(dealt.mapInArrow(write, "path string, records long, stored_bytes long"), "archive-list")
 
 
 def _read(path: str) -> Iterator[dict]:
@@ -217,7 +292,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, as the
     archives have it.  A null html is an empty payload; a url is kept with any character
     that a header can't hold percent-encoded.  Repeated rows are records each."""
-    chunks = read_archives(write_archives(chunked(deduplicated(pages))))
+    chunks = read_archives(write_archives(deduplicated(spooled(chunked(pages)))))
     return chunks.filter("last").select(
         "page_id",
         F.col("bytes_so_far").alias("payload_bytes"),

@@ -45,7 +45,7 @@ def test_round_trip(spark):
 
 
 def test_chunks_carry_digests_and_hold_no_whole_record(spark):
-    archives = warc.write_archives(warc.chunked(warc.deduplicated(pages_table(spark, PAGES))))
+    archives = warc.write_archives(warc.deduplicated(warc.spooled(warc.chunked(pages_table(spark, PAGES)))))
     rows = warc.read_archives(archives).collect()
     assert archives.agg(F.sum("records")).first()[0] == len(PAGES)
     assert max(len(r.content) for r in rows) == warc.CHUNK
@@ -60,8 +60,28 @@ def test_chunks_carry_digests_and_hold_no_whole_record(spark):
             assert (r.bytes_so_far, r.digest_so_far) == (len(before), hashlib.sha1(before).hexdigest())
 
 
+def test_only_places_and_digests_are_shuffled(spark):
+    chunks = warc.chunked(pages_table(spark, PAGES))
+    assert "Exchange" not in chunks._jdf.queryExecution().executedPlan().toString()
+    assert chunks.agg(F.max(F.octet_length("content"))).first()[0] == warc.CHUNK
+    records = warc.spooled(chunks)
+    assert records.columns == ["page_id", "url", "n_bytes", "digest", "spool", "start"]
+    for r in records.collect():
+        html = next(h for p, _, h in PAGES if p == r.page_id and hashlib.sha1((h or "").encode()).hexdigest() == r.digest)
+        with open(r.spool.removeprefix("file:"), "rb") as file:
+            assert b"".join(warc._payload(file, r.start, r.n_bytes)) == (html or "").encode()
+    with open(records.filter("page_id = 11").first().spool.removeprefix("file:"), "rb") as file, pytest.raises(EOFError):
+        list(warc._payload(file, 1 << 40, 5))
+
+
+def test_a_large_group_of_copies_and_a_long_payload(spark):
+    rows = [(i, f"u{i}", "copy " * 300) for i in range(400)] + [(None, "n", "copy " * 300)] * 3
+    rows += [(1000 + i, "u", f"é{i}" * 700_000) for i in range(2)] + [(2000, None, "é0" * 700_000)]
+    assert rows_of(warc.round_trip(pages_table(spark, rows).repartition(5))) == expected(rows)
+
+
 def test_archives_are_what_the_format_says(spark):
-    archives = warc.write_archives(warc.chunked(warc.deduplicated(pages_table(spark, PAGES[:6]))))
+    archives = warc.write_archives(warc.deduplicated(warc.spooled(warc.chunked(pages_table(spark, PAGES[:6])))))
     for row in archives.collect():
         raw = open(row.path.removeprefix("file:"), "rb").read()
         assert len(raw) == row.stored_bytes
