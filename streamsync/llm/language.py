@@ -9,6 +9,8 @@ rows; texts are read whole in learning and in prediction.
 from __future__ import annotations
 
 import itertools
+import pickle
+import zlib
 from typing import Iterator
 
 import numpy as np
@@ -16,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamsync.llm.common import bounded_sample, free_name, remainder, small_batches
+from streamsync.llm.common import bounded_sample, free_name, give_back, remainder, small_batches
 from streamsync.llm.linear import train_svm
 
 #: Languages of one family are told apart by machines of their own; any other language
@@ -110,8 +112,22 @@ def fit(docs: DataFrame, training: Column, per_language: int = PER_LANGUAGE) ->
 
     usable = docs.filter(training & has_letters(F.col("text")) & F.col("lang").isNotNull())
     sample = bounded_sample(usable.select("lang", "text"), "lang", per_language, LANGUAGES)
-    rows = sample.select("lang", digest("text").alias("row")).collect()
-    return Model([r[0] for r in rows], np.array([np.frombuffer(r[1], "<f4") for r in rows]).reshape(-1, WIDTH))
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [pair for batch in batches for pair in zip(batch["lang"], batch["row"])]
+        found.sort()  # so that the model does not depend on the order of arrival
+        rows = np.empty((len(found), WIDTH), "<f4")
+        for i, (name, row) in enumerate(found):
+            rows[i], found[i] = np.frombuffer(row, "<f4"), name
+        model = zlib.compress(pickle.dumps(Model(found, rows)), 1)
+        del found, rows
+        give_back()
+        yield pd.DataFrame({"model": [model]})
+
+    # the bounded sample is one task's; only the machines, WIDTH numbers each, reach the driver
+    digests = sample.select("lang", digest("text").alias("row")).repartition(1)
+    trained = digests.mapInPandas(train, "model binary").collect()
+    return pickle.loads(zlib.decompress(trained[0][0])) if trained else Model([], np.zeros((0, WIDTH)))
 
 
 def has_letters(text: Column) -> Column:
