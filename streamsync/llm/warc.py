@@ -35,7 +35,7 @@ LEAST_SHARED = 1000
 #: Tasks over which the records of one digest are dealt.
 SALTS = 16
 #: Before each chunk of a spool file: its bytes there, and its bytes unpacked.
-_FRAME = struct.Struct("<II")
+_FRAME, _FRAME_BYTES = "<II", 8
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 SPOOLED = pa.schema(
@@ -95,10 +95,10 @@ def spooled(chunks: DataFrame) -> DataFrame:
                 if content := contents[i].as_py():
                     packed = codec.compress(content, asbytes=True)
                     sha.update(content)
-                    file.write(_FRAME.pack(len(packed), len(content)))
+                    file.write(struct.pack(_FRAME, len(packed), len(content)))
                     file.write(packed)
                     record["n_bytes"] += len(content)
-                    at += _FRAME.size + len(packed)
+                    at += _FRAME_BYTES + len(packed)
             yield pa.RecordBatch.from_pylist(done, SPOOLED)
         if file:
             file.close()
@@ -113,10 +113,10 @@ def _payload(file: pa.NativeFile, start: int, size: int) -> Iterator[bytes]:
     codec = pa.Codec("zstd")
     file.seek(start)
     while size:
-        frame = file.read(_FRAME.size)
-        if len(frame) < _FRAME.size:
+        frame = file.read(_FRAME_BYTES)
+        if len(frame) < _FRAME_BYTES:
             raise EOFError(f"a spool file ends {size} bytes before its record")
-        packed, plain = _FRAME.unpack(frame)
+        packed, plain = struct.unpack(_FRAME, frame)
         yield codec.decompress(file.read(packed), plain, asbytes=True)
         size -= plain
 
