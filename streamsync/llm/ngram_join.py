@@ -38,7 +38,7 @@ POSTINGS = 1 << 22
 RANGES, LOOSE = 16, 40
 #: Classes of a cluster that a task compares with as many others.
 BLOCK = 1024
-#: Members of a prefix group that one task compares with one leader.
+#: Members of a prefix group that one task compares with one leader, or with as many others.
 SALTED = 2048
 
 
@@ -403,19 +403,29 @@ def _within(found: DataFrame, clusters: DataFrame, linked: DataFrame, percent: i
 
 
 def _rest(members: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes of different clusters that meet in their prefixes."""
+    """Every pair of classes of different clusters that meet in their prefixes.
+
+    The classes of a shingle are dealt into blocks of about SALTED, and each pair of blocks
+    is a join key of its own, so that no task has all pairs of a shingle."""
     mixed = members.groupBy(F.col("shingle").alias("s")).agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size")
+    )
+    blocks = F.ceil(F.col("size") / SALTED)
+    open_ = members.join(mixed.filter("least <> most"), F.col("shingle") == F.col("s")).select(
+        "shingle", "set_id", "n", "place", "component", F.pmod(F.xxhash64("set_id"), blocks).alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"),
     )
-    open_ = members.join(mixed.filter("least <> most"), F.col("shingle") == F.col("s"))
-    one = open_.select("shingle", "set_id", "n", "place", "component")
-    two = one.toDF("o_shingle", "o_id", "m", "at", "o_component")
-    met = one.join(two, (F.col("shingle") == F.col("o_shingle")) & (F.col("set_id") < F.col("o_id")))
-    met = met.filter(
+    names = ["shingle", "set_id", "n", "place", "component"]
+    one = open_.filter("block <= other").select(*names, F.col("block").alias("low"), F.col("other").alias("high"))
+    two = open_.filter("block >= other").select(*names, F.col("other").alias("low"), F.col("block").alias("high"))
+    two = two.toDF("o_shingle", "o_id", "m", "at", "o_component", "o_low", "o_high")
+    once = (F.col("low") < F.col("high")) | (F.col("set_id") < F.col("o_id"))
+    same = (F.col("shingle") == F.col("o_shingle")) & (F.col("low") == F.col("o_low")) & (F.col("high") == F.col("o_high"))
+    met = one.join(two, same & once).filter(
         (F.col("component") != F.col("o_component"))
         & _may_match(F.col("n"), F.col("place"), F.col("m"), F.col("at"), percent)
     )
-    return met.select(F.col("set_id").alias("a"), F.col("o_id").alias("b")).distinct()
+    return met.select(F.least("set_id", "o_id").alias("a"), F.greatest("set_id", "o_id").alias("b")).distinct()
 
 
 def links(docs: DataFrame, shingles: int, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -98,6 +98,24 @@ def test_clusters_larger_than_a_block(spark, documents):
     assert 1 < len(set(label.tolist())) < 1300
 
 
+def test_blocks_of_a_shingle_give_each_pair_once(spark, monkeypatch):
+    """A passage that many clusters share, in one block and in many."""
+    draw = random.Random(8)
+    rows = [(i * 7 - 90, 40 + draw.randrange(8), shingle, draw.randrange(12), 60, i // draw.randrange(1, 4)) for i in range(60) for shingle in (5, 6 + i % 2)]
+    rows += [(1000 + i, 50, 9, 0, 4, 77) for i in range(4)]  # one cluster alone: no pairs
+    schema = "set_id long, n long, shingle long, place int, classes long, component long"
+    wanted = set()
+    for a, n, shingle, place, _, one in rows:
+        for b, m, other, at, _, two in rows:
+            most = min(place, at) + min(n - place, m - at)
+            if a < b and shingle == other and one != two and 100 * min(n, m) >= 80 * max(n, m) and 180 * most >= 80 * (n + m):
+                wanted.add((a, b))
+    for size in (2048, 7, 1):
+        monkeypatch.setattr(ngram_join, "SALTED", size)
+        pairs = [tuple(r) for r in ngram_join._rest(spark.createDataFrame(rows, schema), 80).collect()]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == wanted
+
+
 def test_odd_rows(spark, documents):
     long = "v1 v2 v3 v4 v5 v6 " * 60_000
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "q r s t u v"), (None, "a b c d e f"), (None, "z"), (9, long), (8, long + "end")]
