@@ -71,6 +71,36 @@ def test_family_comes_first(spark, documents):
     assert list(model.pairs) == [("de", "en")]
 
 
+def own_signs(i, n=12):
+    return " ".join(chr(0x4E00 + 40 * i + k) * 2 for k in range(n))
+
+
+def test_every_labelled_row_is_learned(spark, documents):
+    # no two texts share a character, so a row that was left out would be a guess
+    rows = [(i, own_signs(i), ("xx", "yy")[i % 2], "s") for i in range(48)] + [(48, own_signs(48), "zz", "s")]
+    docs = documents(rows + rows[:6])
+    dealt, languages = language.dealt(docs, per_language=4)
+    found = dealt.collect()
+    assert languages == ["xx", "yy", "zz"] and len({r.hashed for r in found}) == 49
+    sizes = {g: sum(r.group == g for r in found) for g in {r.group for r in found}}
+    assert len(sizes) >= 4 and {r.group for r in found if r.lang == "zz"} == set(sizes)
+    model = language.fit(docs, language.F.lit(True), per_language=4)
+    right = [model.predict(language.features(text))[0] == lang for _, text, lang, _ in rows]
+    assert sum(right) >= 45
+
+
+def test_threshold_counts_every_held_out_row(spark, documents):
+    docs = sample(documents).filter("doc_id < 900")
+    model = language.fit(docs, language.F.lit(True))
+    scores = [model.predict(language.features(r.text))[1] for r in docs.collect()]
+    low = [(1000, "the of " + "qq ww kk " * 3, "xx", "s")]
+    below = model.predict(language.features(low[0][1]))[1]
+    assert below < min(scores) and model.predict(language.features(low[0][1]))[0] == "xx"
+    many = docs.unionByName(documents(low))
+    least = language.least_score(many, language.F.lit(True), model)
+    assert least == pytest.approx(max(0, min(language.LEAST, below - language.BELOW)), abs=2e-5)
+
+
 @pytest.fixture(scope="module")
 def learned():
     good = [f"a quiet text about the weather number {w} and rivers" for w in "one two three four five six seven eight nine ten".split() * 30]
