@@ -112,6 +112,13 @@ def whole_schema(spark: SparkSession, path: str, partitions: Sequence[str]) -> S
     return StructType([*inner, *(StructField(p, StringType()) for p in partitions)])
 
 
+def packed(rows: DataFrame, files: int) -> DataFrame:
+    """Rows of a folder in so many partitions, without a shuffle if the scan has that many: a
+    task then reads whole pieces of files, about as many bytes as it writes."""
+    many = rows.rdd.getNumPartitions()
+    return rows.coalesce(files) if many >= files else rows.repartition(files)
+
+
 def _differences(one: StructType, other: StructType) -> set[tuple[str, str]]:
     here, there = ({(f.name, f.dataType.simpleString()) for f in s.fields} for s in (one, other))
     return here ^ there
@@ -159,7 +166,7 @@ def compact(
         if found:
             rows.hint("rebalance", *found).write.partitionBy(*found).parquet(fresh)
         else:
-            rows.repartition(files).write.parquet(fresh)
+            packed(rows, files).write.parquet(fresh)
         same_rows = rows.count() == spark.read.schema(schema).parquet(fresh).count()
         lost = _differences(schema, whole_schema(spark, fresh, found))
         if not same_rows or lost or _state(spark, path) != before:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamsync.config import parse
-from streamsync.maintenance.compact import coalesce_count, compact, compact_table, partition_count
+from streamsync.maintenance.compact import coalesce_count, compact, compact_table, packed, partition_count
 from streamsync.operators import changes, envelope, offsets, words
 from streamsync.sinks import catalog, files, jdbc
 from streamsync.sources import readers
@@ -372,6 +372,19 @@ def test_compaction_rewrites_whatever_the_number_of_files(spark, tmp_path):
     assert compact(spark, path, 1, pattern=f"{path}/*") == 1
 
 
+def test_compaction_deals_pieces_of_files_without_a_shuffle(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(64_000).repartition(16).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert rows.rdd.getNumPartitions() >= 2
+    few = packed(rows, 2)
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+    few.write.parquet(f"{tmp_path}/few")
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/few").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 2 and max(sizes) <= 48_000 and sum(sizes) == 64_000
+    assert packed(spark.read.parquet(f"{tmp_path}/few"), 40).rdd.getNumPartitions() == 40
+
+
 def crashed(tmp_path, path):
     """A folder as a compaction that died between its two renames leaves it."""
     os.rename(path, f"{path}_old_abc")
