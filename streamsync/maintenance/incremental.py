@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,9 +88,10 @@ def small_files(spark: SparkSession, path: str, target: int) -> dict[str, dict[s
     listing = fs.listFiles(place, True)
     while listing.hasNext():
         status = listing.next()
-        name = status.getPath().getName()
-        if not name.startswith(("_", ".")) and status.getLen() < FULL * target:
-            found[status.getPath().getParent().toString()][status.getPath().toString()] = status.getLen()
+        place, size = status.getPath().toString(), status.getLen()
+        folder, _, name = place.rpartition("/")
+        if not name.startswith(("_", ".")) and size < FULL * target:
+            found[folder][place] = size
     return found
 
 
@@ -115,15 +118,17 @@ def compact_incremental(spark: SparkSession, path: str, target_mib: float = 256)
     if not merged:
         return 0
     every = [name for _, names in merged for name in names]
-    # rows find their bin by the file they lie in
+    # rows find their bin by the file they lie in; the list of files is small
     listed = [(name, i) for i, (_, names) in enumerate(merged) for name in names]
     bin_of = spark.createDataFrame(listed, "file string, _bin int")
     rows = _rows_of(spark, every)
-    dealt = rows.join(bin_of, F.col("_file") == F.col("file")).drop("_file", "file")
+    dealt = rows.join(F.broadcast(bin_of), F.col("_file") == F.col("file")).drop("_file", "file")
     parent, _, name = path.rpartition("/")
     work = f"{parent}/.{name}_incremental_{uuid.uuid4().hex}"
     try:
-        dealt.repartition(len(merged), "_bin").write.partitionBy("_bin").parquet(work)
+        # a bin is a task of its own, whose one file needs no order of the rows
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", 8):
+            dealt.repartitionById(len(merged), F.col("_bin")).write.partitionBy("_bin").parquet(work)
         written = spark.read.parquet(work)
         if written.count() != spark.read.option("mergeSchema", True).parquet(*every).count():
             raise RuntimeError(f"{path} changed while it was compacted; nothing was replaced")
@@ -132,6 +137,8 @@ def compact_incremental(spark: SparkSession, path: str, target_mib: float = 256)
             for status in journal.fs.listStatus(journal.at(f"{work}/_bin={i}")):
                 if status.getPath().getName().endswith(".parquet"):
                     moves.append((status.getPath().toString(), f"{folder}/{status.getPath().getName()}"))
+        if len({target for _, target in moves}) < len(moves):
+            raise RuntimeError("two merged files have the same name; nothing was replaced")
     except Exception:
         journal.fs.delete(journal.at(work), True)
         raise
@@ -140,6 +147,17 @@ def compact_incremental(spark: SparkSession, path: str, target_mib: float = 256)
     return len(moves)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: int) -> Iterator[None]:
+    """A setting of the session while something is written."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _rows_of(spark: SparkSession, names: list[str]) -> DataFrame:
     """The rows of some files, with all columns that any has, and their file."""
     rows = spark.read.option("mergeSchema", True).parquet(*names)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from streamsync.maintenance import incremental
 from streamsync.maintenance.incremental import bins, compact_incremental
+from streamsync.plans import tables
 from streamsync.streaming.jobs import finish
 from streamsync.streaming.late import batch_watermark, late_rows
 
@@ -47,6 +48,29 @@ def test_large_files_keep_their_names_and_small_ones_merge(spark, tmp_path):
     assert not [n for n in os.listdir(tmp_path) if "incremental" in n]
 
 
+def test_bins_of_one_folder_do_not_take_each_others_name(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(96_000).select("id", F.rand(1).alias("x")).repartition(48).write.parquet(path)
+    before = spark.read.parquet(path).agg(F.count("*"), F.sum("id")).first()
+    target = max(parquet_files(path).values()) * 2.5 / 1024 / 1024
+    merged = compact_incremental(spark, path, target_mib=target)
+    after = parquet_files(path)
+    assert merged == len(after) == 24
+    # each was written by a task of its own
+    assert len({os.path.basename(name)[:10] for name in after}) == merged
+    assert spark.read.parquet(path).agg(F.count("*"), F.sum("id")).first() == before
+
+
+def test_more_rows_make_more_small_files(spark, monkeypatch):
+    counts = []
+    monkeypatch.setattr(tables, "compact_incremental", lambda s, path, target_mib: counts.append(len(parquet_files(path))))
+    sf = "/root/testdata/sf0.01"
+    tables.compact_incremental_(spark, sf)
+    monkeypatch.setattr(tables, "SMALL_ROWS", 2_000)
+    assert tables.compact_incremental_(spark, sf).count() == 60_000
+    assert counts[0] == 4 * 7 and counts[2] == 15 * 7
+
+
 def test_files_of_different_columns_merge(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(5).coalesce(1).write.parquet(path)
