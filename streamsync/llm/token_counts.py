@@ -12,6 +12,7 @@ token's string in them, are encoded whole by the tokenizer, so the count is alwa
 from __future__ import annotations
 
 import json
+import os
 import re
 from functools import lru_cache
 from typing import Iterator
@@ -46,7 +47,7 @@ def _tokenizer(path: str):
 
 
 def _lengths(tokenizer, texts: list[str]) -> list[int]:
-    return [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
 
 def _byte_letters() -> dict[str, int]:
@@ -76,9 +77,13 @@ def special_strings(path: str) -> list[str]:
 
 
 class Counter:
-    """Counts the tokens of texts; ``whole`` are the pre-tokens known to be one token."""
+    """Counts the tokens of texts; ``whole`` are the pre-tokens known to be one token.
+
+    A task has a core of its own: threads of the library would only wait for each other.
+    """
 
     def __init__(self, path: str, whole: frozenset[str]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.whole, self.merged = _tokenizer(path), whole, {}
         self.special = special_strings(path)
 

@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -64,6 +65,16 @@ def test_count_query(spark, documents):
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
 
 
+def test_a_counter_keeps_to_its_core(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    counter = token_counts.Counter(WORDS, frozenset())
+    texts = [f"q{i}zx{i * 7919 % 1000} xqzk{chr(97 + i % 26)}vw" for i in range(2000)]
+    counts = [counter.count(t) for t in texts]
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    tokenizer = Tokenizer.from_file(WORDS)
+    assert counts == [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def laid_out(rows, capacity):
     by_sequence = {}
     for r in rows:
