@@ -153,6 +153,8 @@ def dealt(usable: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[DataFram
             if len(seen) > REMEMBERED:
                 seen.clear()
             yield pd.DataFrame(found, columns=["group", "hashed", "lang", "row"])
+        seen.clear()
+        give_back()
 
     return rows.mapInPandas(deal, "group long, hashed long, lang string, row binary"), sorted(counts)
 
@@ -223,6 +225,7 @@ def predicted(spark: SparkSession, text: Column, model: Model) -> Column:
         for texts in batches:
             found = [shared.value.predict(features(t)) if t else (UNKNOWN, 0.0) for t in texts]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
+        give_back()
 
     return judge(F.when(has_letters(text), text))
 

@@ -22,6 +22,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ WIDTH, PERCENT = 5, 80
 POSTINGS = 1 << 22
 #: Least number of ranges of the index; similarity in percent within a cluster.
 RANGES, LOOSE = 16, 40
+#: Bits by which a task parts what it holds, to sort one part after the other.
+PART_BITS = 4
 #: Classes of a cluster that a task compares with as many others.
 BLOCK = 1024
 #: Members of a prefix group that one task compares with one leader, or with as many others.
@@ -61,6 +64,7 @@ def sets(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
             arrays = [batch.column(f.name) for f in others]
             arrays += [pa.array(np.diff(bounds)), _signed(set_names(hashes, bounds))]
             yield pa.RecordBatch.from_arrays(arrays, [*(f.name for f in others), "n_shingles", "set_id"])
+        give_back()
 
     schema = docs.drop(text).schema.add("n_shingles", "long").add("set_id", "long")
     return docs.mapInArrow(hashed, schema)
@@ -89,36 +93,59 @@ _BLOCK_DDL = "target int, n long, classes binary, postings binary"
 _CLASS = np.dtype([("id", "<u8"), ("size", "<u4")])
 
 
+def _parts(hashes: np.ndarray, from_bit: int, bits: int = PART_BITS) -> Iterator[np.ndarray]:
+    """Where the hashes are that have each value of the ``bits`` bits after the first
+    ``from_bit``, by rising value."""
+    part = hashes >> np.uint64(64 - from_bit - bits)
+    part &= np.uint64((1 << bits) - 1)
+    part = part.astype(np.uint8)
+    for value in range(1 << bits):
+        yield np.flatnonzero(part == value)
+
+
+def _block(target: int, classes: np.ndarray, of: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A block of postings: their hashes, classes and more, with only the classes they have."""
+    used, local = np.unique(of, return_inverse=True)
+    table = zstandard.ZstdCompressor(level=1).compress(classes[used].tobytes())
+    postings = _pack(columns[0], local.astype(np.uint32), *columns[1:])
+    row = {"target": target, "n": len(of), "classes": table, "postings": postings}
+    return pa.RecordBatch.from_pylist([row], _BLOCK)
+
+
+def _blocks(held: list, bits: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of a list of (shingles, names, sizes) of sets, which is empty then."""
+    names = np.concatenate([n for _, n, _ in held])
+    sizes = np.concatenate([s for _, _, s in held])
+    _, first = np.unique(names, return_index=True)
+    keep = np.zeros(len(names), bool)
+    keep[first] = True
+    keep &= sizes > 0
+    classes = np.empty(int(keep.sum()), _CLASS)
+    classes["id"], classes["size"] = names[keep], sizes[keep]
+    total = int(sizes[keep].sum())
+    hashes, of = np.empty(total, np.uint64), np.repeat(np.arange(len(classes), dtype=np.uint32), sizes[keep])
+    at = nth = 0
+    held.reverse()
+    while held:
+        found, _, lengths = held.pop()
+        found = found[np.repeat(keep[nth : nth + len(lengths)], lengths)]
+        hashes[at : at + len(found)] = found
+        at, nth = at + len(found), nth + len(lengths)
+    top = min(bits, PART_BITS)
+    for part, some in enumerate(_parts(hashes, 0, top)):
+        some = some[np.argsort(hashes[some])]
+        here, owner = hashes[some], of[some]
+        targets = np.arange(part << (bits - top), ((part + 1) << (bits - top)) + 1)
+        edges = np.searchsorted(here >> np.uint64(64 - bits), targets)
+        for target, a, b in zip(targets.tolist(), edges, edges[1:]):
+            if a < b:
+                yield _block(target, classes, owner[a:b], here[a:b])
+
+
 def _index(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """Blocks of (shingle, class) by range of shingles, each with the classes that it has; a
     class is there once for all texts of a block."""
 
-    def blocks(held: list) -> Iterator[pa.RecordBatch]:
-        hashes = np.concatenate([h for h, _, _ in held])
-        names = np.concatenate([n for _, n, _ in held])
-        sizes = np.concatenate([s for _, _, s in held])
-        _, first = np.unique(names, return_index=True)
-        keep = np.zeros(len(names), bool)
-        keep[first] = True
-        keep &= sizes > 0
-        of = np.repeat(np.arange(len(names), dtype=np.uint32), sizes)
-        some = keep[of]
-        hashes, of = hashes[some], (np.cumsum(keep, dtype=np.uint32) - np.uint32(1))[of[some]]
-        held.clear()
-        del some
-        order = np.argsort(hashes)
-        hashes, of = hashes[order], of[order]
-        classes = np.empty(int(keep.sum()), _CLASS)
-        classes["id"], classes["size"] = names[keep], sizes[keep]
-        edges = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1))
-        for target, (a, b) in enumerate(zip(edges, edges[1:])):
-            if a < b:  # only the classes that this range has
-                used, local = np.unique(of[a:b], return_inverse=True)
-                table = zstandard.ZstdCompressor(level=1).compress(classes[used].tobytes())
-                postings = _pack(hashes[a:b], local.astype(np.uint32))
-                row = {"target": target, "n": b - a, "classes": table, "postings": postings}
-                yield pa.RecordBatch.from_pylist([row], _BLOCK)
-
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
@@ -126,10 +153,10 @@ def _index(docs: DataFrame, width: int, bits: int) -> DataFrame:
             held.append((hashes, set_names(hashes, bounds), np.diff(bounds)))
             n += len(hashes)
             if n >= POSTINGS:
-                yield from blocks(held)
-                held, n = [], 0
+                yield from _blocks(held, bits)
+                n = 0
         if n:
-            yield from blocks(held)
+            yield from _blocks(held, bits)
         give_back()
 
     return docs.select("text").mapInArrow(post, _BLOCK_DDL)
@@ -137,58 +164,68 @@ def _index(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
 def _read_blocks(batches: Iterator[pa.RecordBatch], *types: str) -> tuple[np.ndarray, list[np.ndarray]]:
     """All classes of a group's blocks, and its postings with numbers of classes."""
-    tables, columns = [], []
+    batches = [batch.select(["n", "classes", "postings"]) for batch in batches]
+    total = sum(pc.sum(batch.column("n")).as_py() or 0 for batch in batches)
+    every, tables, at, known = [np.empty(total, t) for t in types], [], 0, 0
     for batch in batches:
-        for row in batch.select(["n", "classes", "postings"]).to_pylist():
-            table = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["classes"]), _CLASS)
-            found = _unpack(row["postings"], row["n"], *types)
-            found[1] = (found[1] + np.uint32(sum(map(len, tables)))).astype(np.uint32)
+        for n, table, postings in zip(*batch.columns):
+            table = np.frombuffer(zstandard.ZstdDecompressor().decompress(table.as_buffer()), _CLASS)
+            found = _unpack(postings.as_buffer(), n.as_py(), *types)
+            found[1] = found[1] + np.uint32(known)
+            for column, some in zip(every, found):
+                column[at : at + len(some)] = some
             tables.append(table)
-            columns.append(found)
+            at, known = at + len(found[0]), known + len(table)
     table = np.concatenate(tables)
     _, first, number = np.unique(table["id"], return_index=True, return_inverse=True)
-    every = [np.concatenate(c) for c in zip(*columns)]
     every[1] = number.astype(np.uint32)[every[1]]
     return table[first], every
 
 
+def _several(hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different postings of shingles with several classes, by shingle and class, and how
+    many classes each shingle has."""
+    order = np.argsort(hashes)
+    hashes, of = hashes[order], of[order]
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+    times = np.diff(np.append(starts, len(hashes)))
+    several = np.repeat(times > 1, times)
+    hashes, of = hashes[several], of[several]
+    order = np.lexsort((of, hashes))
+    hashes, of = hashes[order], of[order]
+    once = np.ones(len(hashes), bool)  # a class may be in several blocks
+    once[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+    hashes, of = hashes[once], of[once]
+    new = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
+    times = np.diff(np.append(np.flatnonzero(new), len(hashes)))
+    df = np.repeat(times, times).astype(np.uint32)
+    return hashes[df > 1], of[df > 1], df[df > 1]
+
+
+def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Of one range's blocks: the postings of shingles with several classes, in blocks by
+    range of classes."""
+    classes, (hashes, of) = _read_blocks(batches, "<u8", "<u4")
+    found = [_several(hashes[some], of[some]) for some in _parts(hashes, bits)]
+    del hashes, of
+    hashes, of, df = (np.concatenate(column) for column in zip(*found))
+    del found
+    to = (classes["id"] >> np.uint64(64 - bits)).astype(np.int32)[of]
+    order = np.argsort(to, kind="stable")
+    edges = np.searchsorted(to[order], np.arange((1 << bits) + 1))
+    del to
+    for target, (a, b) in enumerate(zip(edges, edges[1:])):
+        if a < b:
+            here = order[a:b]
+            yield _block(target, classes, of[here], hashes[here], df[here])
+
+
 def _shared(index: DataFrame, bits: int) -> DataFrame:
     """Blocks of (shingle, class, number of classes) of shingles with several classes,
     by range of classes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, (hashes, of) = _read_blocks(batches, "<u8", "<u4")
-        order = np.argsort(hashes, kind="stable")
-        hashes, of = hashes[order], of[order]
-        del order
-        new = np.append(True, hashes[1:] != hashes[:-1])
-        starts = np.flatnonzero(new)
-        times = np.diff(np.append(starts, len(hashes)))
-        several = np.repeat(times > 1, times)
-        hashes, of = hashes[several], of[several]
-        order = np.lexsort((of, hashes))
-        hashes, of = hashes[order], of[order]
-        once = np.ones(len(hashes), bool)  # a class may be in several blocks
-        once[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-        hashes, of = hashes[once], of[once]
-        new = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
-        starts = np.flatnonzero(new)
-        times = np.diff(np.append(starts, len(hashes)))
-        df = np.repeat(times, times).astype(np.uint32)
-        del new, starts, times, several, once
-        hashes, of, df = hashes[df > 1], of[df > 1], df[df > 1]
-        target = (classes["id"] >> np.uint64(64 - bits)).astype(np.int32)
-        to = target[of]
-        order = np.argsort(to, kind="stable")
-        edges = np.searchsorted(to[order], np.arange((1 << bits) + 1))
-        for t, (a, b) in enumerate(zip(edges, edges[1:])):
-            if a < b:
-                here = order[a:b]
-                used, local = np.unique(of[here], return_inverse=True)
-                table = zstandard.ZstdCompressor(level=1).compress(classes[used].tobytes())
-                postings = _pack(hashes[here], local.astype(np.uint32), df[here])
-                row = {"target": t, "n": b - a, "classes": table, "postings": postings}
-                yield pa.RecordBatch.from_pylist([row], _BLOCK)
+        yield from _counted(batches, bits)
         give_back()
 
     return index.groupBy("target").applyInArrow(count, _BLOCK_DDL)
@@ -221,8 +258,10 @@ def _candidates(blocks: DataFrame, percent: int) -> DataFrame:
         keep = count >= np.maximum(1, _least_overlap(sizes, percent))
         some = keep[of]
         hashes, of, df = hashes[some], of[some], df[some]
+        del some
         order = np.lexsort((hashes, df, of))
         hashes, of, df = hashes[order], of[order], df[order]
+        del order
         rows = []
         bounds = np.searchsorted(of, np.arange(len(classes) + 1))
         for c in np.flatnonzero(keep):
@@ -247,6 +286,8 @@ def _candidates(blocks: DataFrame, percent: int) -> DataFrame:
                 rows = []
         if rows:
             yield pa.RecordBatch.from_pylist(rows, _SET)
+        del hashes, of, df, rows
+        give_back()
 
     schema = (
         "set_id long, n long, shared binary, spread binary, "
@@ -282,6 +323,7 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int, least: int) -> D
             full = (one == 65535).any(axis=1) | (two == 65535).any(axis=1)
             keep = full | ((100 + least) * most >= least * sizes)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
+        give_back()
 
     likely = both.select("a", "b", "a_n", "b_n", "a_spread", "b_spread").mapInArrow(near, "a long, b long")
     likely = stored(likely, "likely-pairs")  # one Python worker a task, not two
@@ -301,6 +343,7 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int, least: int) -> D
             pairs = [batch.column("a"), batch.column("b"), pa.array(link, pa.bool_())]
             every = pa.RecordBatch.from_arrays(pairs, ["a", "b", "link"])
             yield every.filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     wide = both.select("a", "b", "a_n", "b_n", "a_shared", "b_shared")
     return wide.mapInArrow(alike, "a long, b long, link boolean")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamsync.llm.common import OUTSIDE_LATIN, small_batches, stored
+from streamsync.llm.common import OUTSIDE_LATIN, give_back, small_batches, stored
 
 #: Pieces of one group; a group leaves a few sequences partly empty.
 GROUP_PIECES = 8192
@@ -164,6 +164,7 @@ def cut(spark: SparkSession, text: Column, path: str, end: int, longest: int) ->
         encode = _encoder(path)
         for texts in batches:
             yield pd.Series([_pieces(encode(t) if t else [], end, longest) for t in texts])
+        give_back()
 
     return pieces(text)
 

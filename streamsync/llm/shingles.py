@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Text bytes hashed at once; a longer text is cut between words.
-SLICE = 1 << 20
+#: Text bytes hashed at once (about 50 bytes of memory each); a longer text is cut between words.
+SLICE = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -374,11 +374,13 @@ def _sparse(words: list[str], known: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _kernel(words: list[str], known: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Kernel values of words (rows) and landmarks; ``marks`` has a row for each column."""
     out = np.zeros((len(words), marks.shape[1]), np.float32)
-    for begin in range(0, len(words), 128):
-        word, column, value = _sparse(words[begin : begin + 128], known)
+    for begin in range(0, len(words), 32):  # a row of ``marks`` for each run of so many words
+        word, column, value = _sparse(words[begin : begin + 32], known)
         if len(word):
             rows, first = np.unique(word, return_index=True)
-            out[begin + rows] = np.add.reduceat(marks[column] * value[:, None], first)
+            some = marks[column]
+            some *= value[:, None]
+            out[begin + rows] = np.add.reduceat(some, first)
     return out
 
 
@@ -398,24 +400,33 @@ def _columns(words: list[str]) -> np.ndarray:
     return known
 
 
+def _marks(landmarks: list[str], known: np.ndarray) -> np.ndarray:
+    """The landmarks' runs: a row for each column of a run, a column for each landmark."""
+    marks = np.zeros((known.max() + 1, len(landmarks)), np.float32)
+    word, column, value = _sparse(landmarks, known)
+    np.add.at(marks, (column, word), value)
+    return marks
+
+
 class _Machine:
     """Nyström features at the landmarks, and the machine trained on them."""
 
     def __init__(self, good: list[str], bad: list[str], weights: list[float], landmarks: list[str]):
         known = _columns(landmarks)
-        marks = np.zeros((known.max() + 1, len(landmarks)), np.float32)
-        word, column, value = _sparse(landmarks, known)
-        np.add.at(marks, (column, word), value)
+        marks = _marks(landmarks, known)
         values, vectors = np.linalg.eigh((marks.T @ marks).astype(np.float64))
         keep = values > 1e-4 * values.max(initial=1e-9)
         whiten = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
         words = bad + good
-        kernel = _kernel(words, known, marks) @ whiten
+        kernel = _kernel(words, known, marks)
+        del marks  # the largest table, filled again for the machine's weights
+        kernel = kernel @ whiten
         labels = np.arange(len(words)) < len(bad)
         each = np.array([*weights, *[1.0] * len(good)])
         machine, self.bias = train_svm(kernel, labels, PENALTY, each)
+        del kernel
         self.table = np.zeros(1 << RUN_BITS, np.float32)
-        self.table[known >= 0] = marks @ (whiten @ machine)
+        self.table[known >= 0] = _marks(landmarks, known) @ (whiten @ machine)
 
     def values(self, words: list[str]) -> np.ndarray:
         return decisions(coded(words), self.table, self.bias)
@@ -631,13 +642,19 @@ def scored(spark: SparkSession, text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(shared.value.scores(texts.tolist()), dtype="float64")
-        give_back()
+        yield from judged(batches, shared.value)
 
     return judge(text)
 
 
+def judged(batches: Iterator[pd.Series], model: Model) -> Iterator[pd.Series]:
+    """The scores of a task's texts; a worker that waits for its next task keeps no tokens."""
+    for texts in batches:
+        yield pd.Series(model.scores(texts.tolist()), dtype="float64")
+    model.known.clear()
+    give_back()
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every row.
 

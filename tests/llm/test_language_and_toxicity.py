@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from streamsync.llm import language, linear, toxicity
@@ -211,3 +213,25 @@ def test_toxicity_of_odd_rows(spark, documents):
     kept = toxicity.keep_civil(docs, labels)
     assert kept.columns == docs.columns and kept.count() == 4
     assert toxicity.score_documents(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_a_finished_task_keeps_no_tokens():
+    model = toxicity.learn(["you are a blorf", "blorf again", "blorf you"] * 4 + [f"fine day {i}" for i in range(40)], [1] * 12 + [0] * 40)
+    texts = [pd.Series(["a blorf", None]), pd.Series(["some other words"])]
+    got = [x for batch in toxicity.judged(iter(texts), model) for x in batch]
+    assert got == model.scores(["a blorf", None, "some other words"])
+    list(toxicity.judged(iter(texts), model))
+    assert not model.known
+
+
+def test_memory_of_a_machine():
+    draw = np.random.default_rng(6)
+    words = ["".join(map(chr, draw.integers(97, 123, 12))) for _ in range(4000)]
+    runs = toxicity._columns(sorted(words[:800])).max() + 1
+    tracemalloc.start()
+    try:
+        toxicity._Machine(words[400:], words[:400], [1.0] * 400, sorted(words[:800]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 4 * 800 * int(runs) + 60e6  # the landmarks' runs, and little with them

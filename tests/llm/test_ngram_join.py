@@ -1,6 +1,7 @@
 import random
 import re
-from collections import defaultdict
+import tracemalloc
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -168,3 +169,57 @@ def test_index_bytes_stay_bounded_as_ranges_grow(spark):
     # a range lists the classes it has, so no more than one for each shingle
     shingles = 300 * 116
     assert size(11) <= 40 * shingles and size(11) < 8 * size(4)
+
+
+def peak(run):
+    """The most bytes that Python and numpy held at once beyond what they held before."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_shingles_and_blocks():
+    words = np.random.default_rng(3).integers(0, 10**6, 600_000)
+    texts = [" ".join(map(str, words[i : i + 300])).encode() for i in range(0, len(words), 300)]
+    some = texts[:500]  # 1 MB
+    assert peak(lambda: shingles.shingle_sets(some)) < 25e6
+    hashes, bounds = shingles.shingle_sets(texts)
+    held = lambda: [(hashes.copy(), shingles.set_names(hashes, bounds), np.diff(bounds))]
+    assert peak(lambda: [0 for _ in ngram_join._blocks(held(), 4)]) < 45 * len(hashes)
+    blocks = [b for h in (held(), held()) for b in ngram_join._blocks(h, 0)]
+    assert peak(lambda: [0 for _ in ngram_join._counted(blocks, 0)]) < 45 * 2 * len(hashes)
+
+
+def test_blocks_have_every_posting_once():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 500, 40).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(60)]
+    sets = [*sets, *sets[:7], np.empty(0, np.uint64)]  # copies, and one without shingles
+    bounds = np.cumsum([0, *map(len, sets)])
+    names = shingles.set_names(np.concatenate(sets), bounds)
+    true = {(h, n) for s, n in zip(sets, names.tolist()) for h in s.tolist()}
+    times = Counter(h for h, _ in true)
+    parts = [slice(0, 20), slice(20, 50), slice(50, len(sets))]
+    for bits in (0, 3, 6):
+        held = [[(np.concatenate(sets[p]), names[p], np.array([len(s) for s in sets[p]]))] for p in parts]
+        held = [[*held[0], *held[1]], held[2]]  # two blocks' worth; the copies are in the other one
+        by_range = defaultdict(list)
+        for some in held:
+            for block in ngram_join._blocks(some, bits):
+                by_range[block.column("target")[0].as_py()].append(block)
+            assert not some
+        seen, counts, classes_of = set(), [], {}
+        for target, blocks in by_range.items():
+            classes, (hashes, of) = ngram_join._read_blocks(blocks, "<u8", "<u4")
+            assert (hashes >> np.uint64(64 - bits) == target).all() if bits else target == 0
+            seen |= set(zip(hashes.tolist(), classes["id"][of].tolist()))
+            for block in ngram_join._counted(blocks, bits):
+                classes, (hashes, of, df) = ngram_join._read_blocks([block], "<u8", "<u4", "<u4")
+                counts += zip(hashes.tolist(), classes["id"][of].tolist(), df.tolist())
+                classes_of |= dict(zip(classes["id"].tolist(), classes["size"].tolist()))
+        assert seen == true
+        assert sorted(counts) == sorted((h, n, times[h]) for h, n in true if times[h] > 1)
+        sizes = dict(zip(names.tolist(), map(len, sets)))
+        assert all(sizes[n] == size for n, size in classes_of.items())
