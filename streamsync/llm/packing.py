@@ -161,14 +161,21 @@ def cut(spark: SparkSession, text: Column, path: str, end: int, longest: int) ->
 
     @F.pandas_udf("array<struct<start: long, length: long, ids_crc32: long>>")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = _encoder(path)
-        for texts in batches:
-            yield pd.Series([_pieces(encode(t) if t else [], end, longest) for t in texts])
-        give_back()
+        yield from _cut_batches(batches, path, end, longest)
 
     return pieces(text)
 
 
+def _cut_batches(batches: Iterator[pd.Series], path: str, end: int, longest: int) -> Iterator[pd.Series]:
+    """The pieces of a task's texts; a worker that waits for its next task keeps no vocabulary."""
+    encode = _encoder(path)
+    for texts in batches:
+        yield pd.Series([_pieces(encode(t) if t else [], end, longest) for t in texts])
+    del encode
+    _encoder.cache_clear()
+    give_back()
+
+
 def _pieces(ids: list[int], end: int, longest: int) -> list[dict]:
     code = np.array([*ids, end], dtype="<u4")
     first = len(code) % longest or longest

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -147,3 +148,11 @@ def test_op1_and_op6_on_the_tables(spark):
     counted = queries.op6_token_counts(spark, sf).collect()
     assert len(counted) == len(docs)
     assert all(r.n_tokens == len(tokenizer.encode(docs[r.doc_id] or "", add_special_tokens=False).ids) for r in counted)
+
+
+def test_a_finished_task_keeps_no_vocabulary():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = packing._encoder(path)("some words, cut")
+    (found,) = packing._cut_batches(iter([pd.Series(["some words, cut", None])]), path, 2, 1024)
+    assert found[0] == packing._pieces(ids, 2, 1024) and found[1][0]["length"] == 1
+    assert packing._encoder.cache_info().currsize == 0
